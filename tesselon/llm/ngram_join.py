@@ -3,7 +3,7 @@
 Documents whose n-gram sets have Jaccard likeness of at least num/den are linked. Equal sets collapse into one class
 first, so copies never meet as pairs. The product's blocks come from a size-derived bound: sets of likeness >= t and
 size <= r differ in at most d = floor(r*(1-t)/t) grams, so when the grams are dealt by hash into d + 1 parts, at least
-one part is the same in both. Documents that share a part form a block; inside a block the overlap counts are
+one part is the same in both (levels() adds spare parts, so that nearly empty ones need not count). Documents that share a part form a block; inside a block the overlap counts are
 accumulated over column blocks of the incidence matrix, and pairs below the bound c >= t*(a + b - c) are discarded.
 Blocks over `block_grams` or `block_docs` are cut into tiles, each a task of its own, and a tile returns a forest of its
 links and each document's number of links, never the pairs: output stays linear in the documents for groups of any size.
@@ -12,21 +12,35 @@ No link is missed and no partner, part or block is capped; sets are compared by
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import connected_components, dropped, written
+from .shared import connected_components, map_arrow, written
 
 
-def levels(num: int, den: int, most: int = 1 << 40) -> list[tuple[int, int]]:
-    """(smallest size, number of parts) of each size level; a level spans a factor of 1.5.
+def levels(num: int, den: int, most: int = 1 << 40) -> list[tuple[int, int, int, int]]:
+    """(smallest size, parts, thin, spare) of each size level; sizes under the first can only be linked to an equal set.
 
-    Sizes under the first level can only be linked to an equal set.
+    Linked sets of a level differ in at most d grams, and there are d + 1 + spare parts. A part of at most `thin` grams
+    says little, so a set leaves out its thin parts if it has at most `spare` of them: two linked sets share spare + 1
+    parts at least, so that one that isn't thin is among them, or else both have more thin ones and leave out none.
+    Where d is 1 there are no parts (0): a set meets others by itself and by itself less one gram.
     """
     low, out = -(-num // (den - num)) if den > num else most, []
     while low < most:
-        high = low * 3 // 2
-        out.append((low, high * (den - num) // num + 1))
+        high = max(low, -(-2 * num // (den - num)) - 1)  # the largest size with d = 1
+        if out or high * (den - num) // num > 1:
+            high = low * 4 // 3
+            d = high * (den - num) // num
+            mean = low / (d + 2)
+            thin = int(mean / 3)
+            chance = sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(thin + 1))
+            spare = 2 + math.ceil(1.25 * chance * d)
+            out.append((low, d + 1 + spare, thin, spare))
+        else:
+            out.append((low, 0, 0, 0))
         low = high + 1
     return out
 
@@ -60,9 +74,11 @@ def part_keys(sets, num: int, den: int):
 
     from .words import mixed
 
-    table = levels(num, den)
-    lows = np.array([low for low, _ in table], np.int64)
+    table = np.array(levels(num, den), np.int64)
     size = np.array([len(s) for s in sets], np.int64)
+    if not len(table):
+        return np.zeros(0, np.uint64), np.zeros(len(sets), np.int64)
+    lows = table[:, 0]
     level = np.searchsorted(lows, size, "right") - 1
     above = np.minimum(level + 1, len(lows) - 1)
     # A set also meets larger partners on the next level if one of that size can be alike enough.
@@ -71,22 +87,34 @@ def part_keys(sets, num: int, den: int):
     at = np.concatenate([level[level >= 0], above[both]])
     order = np.argsort(doc, kind="stable")
     doc, at = doc[order], at[order]
-    parts = np.array([k for _, k in table], np.int64)[at] if len(at) else np.zeros(0, np.int64)
+    _, parts, thin, spare = table[at].T
+    single = parts == 0
+    parts = np.where(single, size[doc] + 1, parts)
     base = np.concatenate([[0], np.cumsum(parts)])
-    sums = np.zeros(int(base[-1]), np.uint64)
-    if len(doc):
-        g = np.concatenate([sets[d] for d in doc])
-        take = size[doc]
-        slot = np.repeat(base[:-1], take) + ((g >> np.uint64(33)).astype(np.int64) * np.repeat(parts, take) >> 31)
-        by = np.argsort(slot, kind="stable")
-        slot, g = slot[by], mixed(g[by] ^ np.uint64(0x5851F42D4C957F2D))
-        head = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
-        sums[slot[head]] = np.add.reduceat(g, head)
-        mark = np.repeat(at, parts).astype(np.uint64) << np.uint64(32) | (np.arange(len(sums)) - np.repeat(base[:-1], parts)).astype(np.uint64)
-        sums = mixed(sums ^ mixed(mark + np.uint64(1)))
-    count = np.zeros(len(sets), np.int64)
-    np.add.at(count, doc, parts)
-    return sums, count
+    total = int(base[-1])
+    if not total:
+        return np.zeros(0, np.uint64), np.zeros(len(sets), np.int64)
+    take = size[doc]
+    g = np.concatenate([sets[d] for d in doc])
+    slot = np.repeat(base[:-1], take) + ((g >> np.uint64(33)).astype(np.int64) * np.repeat(parts, take) >> 31)
+    m = mixed(g ^ np.uint64(0x5851F42D4C957F2D))
+    by = np.argsort(slot, kind="stable")
+    slot, by = slot[by], m[by]
+    sums, grams = np.zeros(total, np.uint64), np.bincount(slot, minlength=total)
+    head = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+    sums[slot[head]] = np.add.reduceat(by, head)
+    owner = np.repeat(np.arange(len(doc)), parts)
+    lean = grams <= thin[owner]
+    keep = ~lean | (np.bincount(owner[lean], minlength=len(doc)) > spare)[owner]
+    mark = at[owner].astype(np.uint64) << np.uint64(32) | (np.arange(total) - base[:-1][owner]).astype(np.uint64)
+    keep |= single[owner]
+    at_gram = np.concatenate([[0], np.cumsum(take)])
+    for i in np.flatnonzero(single):
+        own = m[at_gram[i] : at_gram[i + 1]]
+        sums[base[i] : base[i + 1]] = own.sum() - np.concatenate([np.zeros(1, np.uint64), own])
+        mark[base[i] : base[i + 1]] = np.uint64(int(at[i]) << 32)
+    keys = mixed(sums ^ mixed(mark + np.uint64(1)))[keep]
+    return keys, np.bincount(doc[owner[keep]], minlength=len(sets))
 
 
 def _features(num: int, den: int, n: int, fold: bool):
@@ -202,7 +230,7 @@ def ngram_jaccard_join(
     read, so their names cannot clash.
     """
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    feats, _ = written(given.mapInArrow(_features(num, den, n, fold), "id long, n long, s1 long, s2 long, keys array<long>"), "grams")
+    feats, _ = written(map_arrow(given, _features(num, den, n, fold), "id long, n long, s1 long, s2 long, keys array<long>"), "grams")
     sets = feats.where("n > 0 and id is not null")
     classes, _ = written(sets.select("id", "n", "s1", "s2").distinct().groupBy("s1", "s2", "n").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
     reps = classes.select(F.col("class_id").alias("id"), "s1", "s2", "copies")
@@ -218,7 +246,7 @@ def ngram_jaccard_join(
     tiled = tiled.select("component", F.least("side", "other").alias("t1"), F.greatest("side", "other").alias("t2"), "id", "side", "copies")
     work = tiled.join(given.where("id is not null"), "id").select("component", "t1", "t2", "id", "side", "copies", "text")
     work = work.repartition("component", "t1", "t2").sortWithinPartitions("component", "t1", "t2", "id")
-    found, _ = written(work.mapInArrow(_tiles(num, den, n, fold), "id long, root long, n_links long"), "links")
+    found, _ = written(map_arrow(work, _tiles(num, den, n, fold), "id long, root long, n_links long"), "links")
     linked, _ = connected_components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
     label = found.groupBy("id").agg(F.sum("n_links").alias("links")).join(linked.withColumnRenamed("node", "id"), "id", "left")
     label = label.select(F.col("id").alias("class_id"), F.col("component"), "links")

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chat, mixing
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -19,8 +21,60 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents repeated so that each source has the same expected number of rows, in a global random order."""
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    from .secrets import digests
+
+    return digests(_table(spark, sf_dir, "documents"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the bytes that they decode to."""
+    import public_tokenizers
+
+    from .bpe import digests
+
+    return digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one whose texts hold control strings, formatted and read back."""
+    own = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))))).alias("t"))
+    own = own.select(F.lit(-1).cast("long").alias("conv_id"), "t.turn", "t.role", F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digests(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own))
+
+
+def _op8_sql() -> str:
+    t = chat.INST
+    escaped = "replace(text, '\\', '\\0')"
+    for sign, control in zip(t.signs, t.controls):
+        escaped = f"replace({escaped}, '{control}', '\\{sign}')"
+    size = "".join(f"WHEN '{x.role}' THEN {len(x.opening) + len(x.closing)} " for x in t.turns)
+    return f"""
+WITH turns AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+sums AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(length({escaped}) + CASE role {size}END)::BIGINT AS formatted_chars, string_agg(role, '>' ORDER BY turn, role, text) AS roles
+  FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars,
+  regexp_full_match(roles, '(system>)?user(>assistant>user)*(>assistant)?') AS valid FROM sums"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_mix_sources": op3_mix_sources,
+    "op4_secret_scan": op4_secret_scan,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op8_chat_formatting": op8_chat_formatting,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_mix_sources": mixing.mix_sql(),
+    "op8_chat_formatting": _op8_sql(),
+}
