@@ -79,7 +79,7 @@ def mix_sources(
     out = out.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_n"))))
     out = out.withColumn("mix_order", F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), F.col("mix_id"), F.col("mix_copy").cast("string"))), 1, 15))
     out = out.orderBy("mix_order")
-    more = [F.col("mix_copy").cast("long").alias(copy_col)] * bool(copy_col) + [F.col("mix_order").alias(order_col)] * bool(order_col)
+    more = [F.col(c).cast(kind).alias(name) for c, kind, name in (("mix_copy", "long", copy_col), ("mix_order", "string", order_col)) if name]
     return out.select(*(F.col(f"`{c}`") for c in cols), *more)
 
 

@@ -3,11 +3,11 @@
 Documents whose n-gram sets have Jaccard likeness of at least num/den are linked. Equal sets collapse into one class
 first, so copies never meet as pairs. The product's blocks come from a size-derived bound: sets of likeness >= t and
 size <= r differ in at most d = floor(r*(1-t)/t) grams, so when the grams are dealt by hash into d + 1 parts, at least
-one part is the same in both (levels() adds spare parts, so that nearly empty ones need not count). Documents that share a part form a block; inside a block the overlap counts are
-accumulated over column blocks of the incidence matrix, and pairs below the bound c >= t*(a + b - c) are discarded.
-Blocks over `block_grams` or `block_docs` are cut into tiles, each a task of its own, and a tile returns a forest of its
-links and each document's number of links, never the pairs: output stays linear in the documents for groups of any size.
-No link is missed and no partner, part or block is capped; sets are compared by 64-bit gram hashes.
+one part is the same in both (levels() adds spare parts, so that nearly empty ones need not count). Documents that share
+a part form a block; inside a block the overlap counts are accumulated over column blocks of the incidence matrix, and
+pairs below the bound c >= t*(a + b - c) are discarded. Blocks over `block_grams` or `block_docs` are cut into tiles (see
+blocks.py): output stays linear in the documents for groups of any size. No link is missed and no partner, part or block
+is capped; sets are compared by 64-bit gram hashes.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import connected_components, map_arrow, written
+from .blocks import cluster_links
+from .shared import map_arrow, written
 
 
 def levels(num: int, den: int, most: int = 1 << 40) -> list[tuple[int, int, int, int]]:
@@ -142,80 +143,32 @@ def _features(num: int, den: int, n: int, fold: bool):
     return run
 
 
-def _tiles(num: int, den: int, n: int, fold: bool):
-    """Over rows sorted by tile: the links inside each tile as (id, root, n_links)."""
+def _alike(num: int, den: int, n: int, fold: bool):
+    """Whether the gram sets of texts are linked: overlap counts summed over column blocks of the incidence matrix."""
 
-    def product(ids, side, times, sets, cross):
+    def product(texts):
         import numpy as np
 
-        m = len(ids)
-        size = np.array([len(s) for s in sets], np.int64)
-        if m < 2:
-            return [], [], []
+        sets = [s for _, part in gram_sets(texts, n, fold) for s in part]
+        m, size = len(sets), np.array([len(s) for s in sets], np.int64)
         grams, col = np.unique(np.concatenate(sets), return_inverse=True)
         row = np.repeat(np.arange(m), size)
         shared = np.bincount(col, minlength=len(grams)) > 1  # a gram of one document adds to no overlap
-        new = np.cumsum(shared) - 1
-        keep = shared[col]
+        keep, new, width = shared[col], np.cumsum(shared) - 1, int(shared.sum())
         row, col = row[keep], new[col[keep]]
         order = np.argsort(col, kind="stable")
         row, col = row[order], col[order]
-        width = int(shared.sum())
         overlap = np.zeros((m, m), np.float32)
         step = max(256, (1 << 22) // m)
         for at in range(0, width, step):
-            a, b = np.searchsorted(col, [at, at + step])
+            lo, hi = np.searchsorted(col, [at, at + step])
             x = np.zeros((m, min(step, width - at)), np.float32)
-            x[row[a:b], col[a:b] - at] = 1
+            x[row[lo:hi], col[lo:hi] - at] = 1
             overlap += x @ x.T
         c = overlap.astype(np.int64)
-        alike = (den * c >= num * (size[:, None] + size[None, :] - c)) & (c > 0)
-        np.fill_diagonal(alike, False)
-        if cross:
-            alike &= side[:, None] != side[None, :]
-        links = alike @ times
-        root = np.arange(m)
-        todo = np.ones(m, bool)
-        for i in np.argsort(ids, kind="stable"):
-            if not todo[i]:
-                continue
-            reach, front = np.zeros(m, bool), np.zeros(m, bool)
-            reach[i] = front[i] = True
-            while front.any():
-                front = alike[front].any(0) & ~reach
-                reach |= front
-            root[reach] = i
-            todo &= ~reach
-        hit = links > 0
-        return ids[hit], ids[root[hit]], links[hit]
+        return (c > 0) & (den * c >= num * (size[:, None] + size[None, :] - c))
 
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        held, tile = [], None
-
-        def done():
-            if not held:
-                return None
-            ids, side, times = (np.array([h[k] for h in held], np.int64) for k in range(3))
-            a, b, c = product(ids, side, times, [h[3] for h in held], tile[1] != tile[2])
-            return pa.RecordBatch.from_pydict({"id": pa.array(a, pa.int64()), "root": pa.array(b, pa.int64()), "n_links": pa.array(c, pa.int64())})
-
-        for b in batches:
-            keys = list(zip(*(b.column(k).to_pylist() for k in range(6)), strict=True))  # cluster, t1, t2, id, side, times
-            for first, sets in gram_sets(b.column(6), n, fold):
-                for key, s in zip(keys[first : first + len(sets)], sets, strict=True):
-                    if key[:3] != tile:
-                        if (out := done()) is not None:
-                            yield out
-                        held.clear()
-                        tile = key[:3]
-                    held.append((key[3], key[4], key[5], s))
-        if (out := done()) is not None:
-            yield out
-
-    return run
+    return product
 
 
 def ngram_jaccard_join(
@@ -236,21 +189,10 @@ def ngram_jaccard_join(
     reps = classes.select(F.col("class_id").alias("id"), "s1", "s2", "copies")
     posts = sets.where("size(keys) > 0").join(reps, ["id", "s1", "s2"], "left_semi").select("id", F.explode("keys").alias("key"))
     lead = posts.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("key", "lead")
-    near, _ = written(posts.join(lead, "key").where("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v")).distinct(), "candidates")
-    blocks, _ = connected_components(near)
-    members = blocks.union(blocks.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "id")
-    members = members.join(reps.groupBy("id").agg(F.max("copies").alias("copies")), "id").join(sets.groupBy("id").agg(F.max("n").alias("n")), "id")
-    cut = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("n") / block_grams), F.lit(1)).cast("long").alias("cuts"))
-    tiled = members.join(cut, "component").withColumn("side", F.pmod(F.xxhash64("id"), F.col("cuts")))
-    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
-    tiled = tiled.select("component", F.least("side", "other").alias("t1"), F.greatest("side", "other").alias("t2"), "id", "side", "copies")
-    work = tiled.join(given.where("id is not null"), "id").select("component", "t1", "t2", "id", "side", "copies", "text")
-    work = work.repartition("component", "t1", "t2").sortWithinPartitions("component", "t1", "t2", "id")
-    found, _ = written(map_arrow(work, _tiles(num, den, n, fold), "id long, root long, n_links long"), "links")
-    linked, _ = connected_components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
-    label = found.groupBy("id").agg(F.sum("n_links").alias("links")).join(linked.withColumnRenamed("node", "id"), "id", "left")
-    label = label.select(F.col("id").alias("class_id"), F.col("component"), "links")
-    out = feats.select("id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left").join(label, "class_id", "left")
+    near = posts.join(lead, "key").where("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v")).distinct()
+    sizes = reps.groupBy("id").agg(F.max("copies").alias("copies")).join(sets.groupBy("id").agg(F.max("n").alias("size")), "id")
+    label = cluster_links(near, sizes, given.where("id is not null").select("id", F.col("text").alias("p")), _alike(num, den, n, fold), block_docs, block_grams)
+    out = feats.select("id", "n", "s1", "s2").join(classes.join(label, "class_id", "left"), ["s1", "s2", "n"], "left")
     real = F.col("id").isNotNull()
     return out.select(
         F.col("id").alias(id_col),

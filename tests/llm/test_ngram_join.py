@@ -85,3 +85,12 @@ def test_components_of_a_long_chain(spark):
     e = spark.range(1, 300).selectExpr("id as u", "id - 1 as v").union(spark.createDataFrame([(900, 901), (901, 901), (None, 3)], "u long, v long"))
     out = {r["node"]: r["component"] for r in connected_components(e)[0].collect()}
     assert out == {**{i: 0 for i in range(1, 300)}, 901: 900}
+
+
+def test_repeated_rows_count_once(spark):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(4, " ".join(words)), (4, " ".join(words)), (6, " ".join([*words, "end"]))]
+    from tesselon.llm.ngram_join import ngram_jaccard_join
+
+    out = ngram_jaccard_join(spark.createDataFrame([(i, t, "s", "x") for i, t in rows], SCHEMA)).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["n_links"]) for r in out) == [(4, 4, 1), (4, 4, 1), (6, 4, 1)]
