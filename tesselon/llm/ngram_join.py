@@ -1,8 +1,10 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix with itself.
 
 Documents whose n-gram sets have Jaccard likeness of at least num/den are linked. Equal sets collapse into one class
-first, so copies never meet as pairs. The product's blocks come from a size-derived bound: sets of likeness >= t and
-size <= r differ in at most d = floor(r*(1-t)/t) grams, so when the grams are dealt by hash into d + 1 parts, at least
+first, so copies never meet as pairs. Two size-derived bounds decide what is multiplied. A set of n grams of which more
+than (1 - t) * n are in no other class cannot reach likeness t: such sets drop out, on the evidence of a sample of the
+grams by hash, in which those that no other class has are counted. The blocks of the product come from the second
+bound: sets of likeness >= t and size <= r differ in at most d = floor(r*(1-t)/t) grams, so when the grams are dealt by hash into d + 1 parts, at least
 one part is the same in both (levels() adds spare parts, so that nearly empty ones need not count). Documents that share
 a part form a block; inside a block the overlap counts are accumulated over column blocks of the incidence matrix, and
 pairs below the bound c >= t*(a + b - c) are discarded. Blocks over `block_grams` or `block_docs` are cut into tiles (see
@@ -18,8 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import cluster_links
+from .meeting import SENT, met
 from .shared import map_arrow, written
 
+BITS = 48  # of the sampled grams: one that meets another by chance only keeps a set in for longer
+BUCKET = 2_000_000  # sampled grams that meet in one bucket
+
 
 def levels(num: int, den: int, most: int = 1 << 40) -> list[tuple[int, int, int, int]]:
     """(smallest size, parts, thin, spare) of each size level; sizes under the first can only be linked to an equal set.
@@ -118,26 +124,73 @@ def part_keys(sets, num: int, den: int):
     return keys, np.bincount(doc[owner[keep]], minlength=len(sets))
 
 
-def _features(num: int, den: int, n: int, fold: bool):
+def signature(grams):
+    """Two 64-bit hashes of a set of gram hashes."""
+    import numpy as np
+
+    from .words import mixed
+
+    if not len(grams):
+        return 0, 0
+    return int(mixed(grams + np.uint64(11)).sum().view(np.int64)), int(mixed(grams ^ np.uint64(0x2545F4914F6CDD1D)).sum().view(np.int64))
+
+
+def _survey(n: int, fold: bool, per_mille: int):
+    """(id, n, m, s1, s2) of each text: the sizes of its set and of the set's sample, and its signature."""
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        from .words import mixed
+        for b in batches:
+            for first, sets in gram_sets(b.column(1), n, fold):
+                s1, s2 = zip(*map(signature, sets))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array([len(sampled(s, per_mille)) for s in sets], pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64())], ["id", "n", "m", "s1", "s2"])
+
+    return run
+
+
+def sampled(grams, per_mille: int):
+    """The grams that the bound is tested on, as BITS-bit hashes."""
+    import numpy as np
+
+    return grams[(grams & np.uint64(0xFFFF)) % np.uint64(1000) < np.uint64(per_mille)] >> np.uint64(64 - BITS)
+
+
+def _send(n: int, fold: bool, per_mille: int, buckets: int):
+    def run(batches):
+        import numpy as np
+
+        from .meeting import Sender
 
+        out = Sender(buckets, BITS, False)
         for b in batches:
-            ids = b.column(0)
             for first, sets in gram_sets(b.column(1), n, fold):
-                size = np.array([len(s) for s in sets], np.int64)
-                sig = np.zeros((2, len(sets)), np.uint64)
-                for i, s in enumerate(sets):
-                    if len(s):
-                        sig[0, i], sig[1, i] = mixed(s + np.uint64(11)).sum(), mixed(s ^ np.uint64(0x2545F4914F6CDD1D)).sum()
-                keys, count = part_keys(sets, num, den)
+                real = np.array(b.column(0).slice(first, len(sets)).is_valid())
+                for s, ok in zip(sets, real):
+                    if ok and len(s):
+                        g = sampled(s, per_mille)
+                        yield from out.add(g, np.full(len(g), signature(s)[0], np.int64))
+        yield from out.flush()
+
+    return run
+
+
+def _keys(num: int, den: int, n: int, fold: bool):
+    """(id, n, copies, keys, text) of the texts that have the signature wanted of them."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            want = list(zip(b.column(1).to_pylist(), b.column(2).to_pylist()))
+            for first, sets in gram_sets(b.column(4), n, fold):
+                take = [k for k, s in enumerate(sets) if signature(s) == want[first + k]]
+                own = [sets[k] for k in take]
+                keys, count = part_keys(own, num, den)
+                rows = pa.array([first + k for k in take], pa.int64())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(sets)), pa.array(size), pa.array(sig[0].view(np.int64)), pa.array(sig[1].view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64)))],
-                    ["id", "n", "s1", "s2", "keys"],
+                    [b.column(0).take(rows), pa.array([len(s) for s in own], pa.int64()), b.column(3).take(rows), pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64))), b.column(4).take(rows)],
+                    ["id", "n", "copies", "keys", "text"],
                 )
 
     return run
@@ -183,16 +236,23 @@ def ngram_jaccard_join(
     read, so their names cannot clash.
     """
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    feats, _ = written(map_arrow(given, _features(num, den, n, fold), "id long, n long, s1 long, s2 long, keys array<long>"), "grams")
+    per_mille = min(1000, 2000 * (den - num) // den)
+    feats, _ = written(map_arrow(given, _survey(n, fold, per_mille), "id long, n long, m long, s1 long, s2 long"), "grams")
     sets = feats.where("n > 0 and id is not null")
-    classes, _ = written(sets.select("id", "n", "s1", "s2").distinct().groupBy("s1", "s2", "n").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
-    reps = classes.select(F.col("class_id").alias("id"), "s1", "s2", "copies")
-    posts = sets.where("size(keys) > 0").join(reps, ["id", "s1", "s2"], "left_semi").select("id", F.explode("keys").alias("key"))
+    classes, _ = written(sets.distinct().groupBy("s1", "s2", "n", "m").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
+    buckets = max(64, (classes.agg(F.sum("m")).first()[0] or 0) // BUCKET)
+    common = met(map_arrow(given, _send(n, fold, per_mille, buckets), SENT), later=False).groupBy(F.col("ref").alias("s1")).agg(F.sum(F.size("hashes")).alias("common"))
+    # A gram may be counted as common more than once, so a set may stay in for no reason, but none drops out for no reason.
+    alone = F.col("m") - F.coalesce("common", F.lit(0))
+    may = classes.join(common, "s1", "left").where((den * (F.col("n") - alone) >= num * F.col("n")) & (F.col("n") >= levels(num, den)[0][0] if den > num else F.lit(False)))
+    wide = may.select(F.col("class_id").alias("id"), "s1", "s2", "copies").join(given, "id").select("id", "s1", "s2", "copies", "text")
+    docs_left, _ = written(map_arrow(wide, _keys(num, den, n, fold), "id long, n long, copies long, keys array<long>, text string"), "survivors")
+    posts = docs_left.select("id", F.explode("keys").alias("key"))
     lead = posts.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("key", "lead")
     near = posts.join(lead, "key").where("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v")).distinct()
-    sizes = reps.groupBy("id").agg(F.max("copies").alias("copies")).join(sets.groupBy("id").agg(F.max("n").alias("size")), "id")
-    label = cluster_links(near, sizes, given.where("id is not null").select("id", F.col("text").alias("p")), _alike(num, den, n, fold), block_docs, block_grams)
-    out = feats.select("id", "n", "s1", "s2").join(classes.join(label, "class_id", "left"), ["s1", "s2", "n"], "left")
+    sizes = docs_left.groupBy("id").agg(F.max("copies").alias("copies"), F.max("n").alias("size"))
+    label = cluster_links(near, sizes, docs_left.select("id", F.col("text").alias("p")), _alike(num, den, n, fold), block_docs, block_grams)
+    out = feats.select("id", "n", "s1", "s2").join(classes.drop("m").join(label, "class_id", "left"), ["s1", "s2", "n"], "left")
     real = F.col("id").isNotNull()
     return out.select(
         F.col("id").alias(id_col),

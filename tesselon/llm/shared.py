@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.shipping import map_arrow
+
 _own_dir: dict[str, str] = {}
-_sent: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,22 +24,6 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[app]
 
 
-def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """df.mapInArrow, with this package sent to the executors' Python once per application."""
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _sent:
-        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        at = os.path.join(tempfile.mkdtemp(prefix="tesselon-"), f"{os.path.basename(top)}.zip")
-        with zipfile.ZipFile(at, "w") as z:
-            for folder, _, names in os.walk(top):
-                for name in names:
-                    if name.endswith(".py"):
-                        z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(top)))
-        context.addPyFile(at)
-        _sent.add(context.applicationId)
-    return df.mapInArrow(function, schema)
-
-
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder, which cuts its lineage, and read it back."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

@@ -74,7 +74,7 @@ def test_odd_rows(spark):
 def test_blobs_round_trip():
     import numpy as np
 
-    from tesselon.llm.substrings import packed, unpacked
+    from tesselon.llm.meeting import packed, unpacked
 
     rng = np.random.default_rng(1)
     h, r = rng.integers(0, 1 << 48, 5000, dtype=np.uint64), rng.integers(-(1 << 62), 1 << 62, 5000)
