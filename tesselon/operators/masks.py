@@ -157,9 +157,7 @@ class _Layers:
         self.rapid = np.maximum(0.5 * (x[..., 0] + x[..., 2]) - x[..., 1], 0)
         density = R.od(work)
         self.od = density.sum(-1)
-        found = R.stain_vectors(rgb, dynamic=c.dynamic_stains, default=c.stains)
-        h, e, r = R.unmixed3(density, (found["h"], found["e"], found["r"]))
-        self.stain_source = found["source"]
+        h, e, r = R.unmixed3(density, c.stains)
         edge = R.sobel(R.blur5(self.gray))
         self.rapid_n, self.od_n, self.edge = (R.scaled(a, lo, hi, self.valid) for a, lo, hi in ((self.rapid, 5, 98), (self.od, 10, 98), (edge, 30, 99)))
         self.h, self.e, self.residual = (R.scaled(a, 5, 99, self.valid) for a in (h, e, r))
@@ -278,13 +276,21 @@ def build_mask(rgb, c: MaskConfig = MaskConfig(), loose: bool = False):
     clean &= ~crop
     shares = {"mask": clean, "ink": ink, "edge_art": edge_art, "rbc_like": rbc, "clot_like": clot, "drop_blood_like": blood, "large_white_void": cavity, "pale_void": pale, "hard_white_bg": background, "h_rescue": rescue}
     shares |= {"soft_rescue": soft, "supplement_added": added, "edge_false": false, "border_drop": rim, "edge_crop_removed": crop, "black_canvas": a.canvas, "bg_white": a.bright, "valid_stats": a.valid}
-    return clean, {**stats, "mode": "fallback" if loose else "primary", "stain_source": a.stain_source, **{f"{k}_frac": float(v.mean()) for k, v in shares.items()}}
+    return clean, {**stats, "mode": "fallback" if loose else "primary", **{f"{k}_frac": float(v.mean()) for k, v in shares.items()}}
 
 
 def _band(value, low, high):
     return "low_tissue" if value < low else "high_tissue" if value > high else "ok"
 
 
+def with_stains(rgb, c: MaskConfig) -> tuple[MaskConfig, str]:
+    """The settings with the image's own stain vectors where they can be estimated, and where they come from."""
+    if not c.dynamic_stains:
+        return c, "static"
+    found = R.stain_vectors(rgb, default=c.stains)
+    return replace(c, stains=(tuple(found["h"]), tuple(found["e"]), tuple(found["r"]))), found["source"]
+
+
 def status_fields(rgb, mask, c: MaskConfig = MaskConfig()) -> dict:
     """The mask's share of the image and of what is no black canvas, and the status that each earns."""
     seen = ~R.black_canvas(rgb)
@@ -365,7 +371,9 @@ def mask_table(images: DataFrame, c: MaskConfig = MaskConfig(), suffix: str | No
                     own = c
                     if ext and (str(ext[0]).lower() == ".mrxs" or R.black_canvas(rgb).mean() >= 0.75 or R.bbox_fraction(rgb) <= 0.15):
                         own = replace(c, **PROFILES["sparse_canvas_pure_v1"])
+                    own, source = with_stains(rgb, own)
                     mask, got = best_mask(rgb, own)
+                    got["stain_source"] = source
                     row |= {k: v for k, v in got.items() if k in row} | {"mask": np.packbits(mask).tobytes(), "white_leak": white_leak(rgb, mask, own)}
                 except Exception as e:  # one bad image must not end the others
                     row |= {"mask_status": "mask_error", "mask_status_effective": "mask_error", "error_type": type(e).__name__, "error_message": " ".join(str(e).split())[:500]}

@@ -105,3 +105,72 @@ def feature_stage(slides: DataFrame, scored: DataFrame, gated: DataFrame, open_s
 def regate_from_scores(scored: DataFrame, g: gate.TumorGate, by: str = "slide_uid", prob: str = "tumor_prob", key: str = "patch_id") -> dict[str, DataFrame]:
     """The outputs of a gate from stored scores, without a model: slide rows, top k and high-only patches."""
     return {"slides": gate.regate(scored, by, prob, key, g), "topk": gate.top_scored(scored, by, prob, key, g.topk), "high_only": gate.high_only(scored, by, prob, key, g)}
+
+
+def mine_stage(slides: DataFrame, open_slide: Callable, make: Callable, k: int, downsample: float = 16.0, stride: int = 16, half: int = 3, least: float = 0.10, s: Settings = Settings()) -> DataFrame:
+    """The k most likely patches of each slide: windows of a pen-free mask that hold enough of it, read around their centre.
+
+    Windows that do not lie wholly inside the slide are left out, as are flat ones and those that are no tissue.
+    """
+    import numpy as np
+
+    from ..functions.shipping import map_pandas
+    from ..operators import raster as R
+
+    thumbs = plugins.thumbnails(slides, open_slide, downsample).where("error is null")
+
+    def clean(frames):
+        import pandas as pd
+
+        for frame in frames:
+            for uid, h, w, data in frame[["img", "h", "w", "rgb"]].itertuples(index=False):
+                y, x = np.nonzero(R.clean_mask(np.frombuffer(data, np.uint8).reshape(int(h), int(w), 3)))
+                yield pd.DataFrame({"slide_uid": uid, "y": y.astype("int32"), "x": x.astype("int32")})
+
+    mask = map_pandas(thumbs.select("img", "h", "w", "rgb"), clean, "slide_uid string, y int, x int")
+    sizes = thumbs.select(F.col("img").alias("slide_uid"), F.col("h").alias("height"), F.col("w").alias("width"), "downsample")
+    points = geo.window_density(geo.grid(sizes, "width", "height", stride), mask, "slide_uid", half, least)
+    x0, y0 = (F.bround(F.col(c) * F.col("downsample")).cast("int") - s.read // 2 for c in ("x", "y"))
+    points = points.withColumns({"x0": x0, "y0": y0, "patch_id": F.col("y").cast("long") * F.col("width") + F.col("x")})
+    inside = (F.col("x0") >= 0) & (F.col("y0") >= 0) & (F.col("x0") + s.read <= F.col("width") * F.col("downsample")) & (F.col("y0") + s.read <= F.col("height") * F.col("downsample"))
+    points = points.where(inside).join(slides.select("slide_uid", "path"), "slide_uid")
+
+    def usable(frames):
+        for frame in frames:
+            keep = []
+            for h, w, data, error in frame[["h", "w", "rgb", "error"]].itertuples(index=False):
+                rgb = np.frombuffer(data, np.uint8).reshape(int(h), int(w), 3) if error is None and data is not None else None
+                keep.append(rgb is not None and not R.patch_verdict(rgb) and rgb.std() >= 5)
+            yield frame[keep]
+
+    tiles = plugins.read_tiles(points, open_slide, s.tile, s.read)
+    scored = plugins.score_tiles(map_pandas(tiles, usable, tiles.schema), make)
+    return gate.top_scored(scored, "slide_uid", "tumor_prob", "patch_id", k)
+
+
+def training_points(slides: DataFrame, annotations: DataFrame, labels: dict[str, int], spacing: float = 56.0, per_class: int = 5000, least: int = 50, ignore: tuple[str, ...] = ()) -> DataFrame:
+    """Labelled grid points of annotated polygons: slides (slide_id, mpp, w, h), annotations (slide_id, class_name, rings).
+
+    Points of ignored classes are left out, each class of a slide keeps its first points by x and y, and slides with too few
+    points of every class are dropped.
+    """
+    step = F.greatest(F.lit(1), F.bround(F.lit(spacing) / F.col("mpp")).cast("int"))
+    points = geo.grid(slides.withColumn("step", step), "w", "h", "step")
+    out = None
+    for name, label in labels.items():
+        one = geo.points_in_polygons(points, annotations.where(F.col("class_name") == name), ["slide_id"]).withColumn("label", F.lit(label))
+        out = one if out is None else out.unionByName(one)
+    if ignore:
+        out = geo.points_in_polygons(out, annotations.where(F.col("class_name").isin(*ignore)), ["slide_id"], "left_anti")
+    from ..functions.ranks import top_per_key
+
+    out = top_per_key(out, ["slide_id", "label"], [F.col("x"), F.col("y")], per_class)
+    enough = out.groupBy("slide_id", "label").agg(F.count("*").alias("n")).groupBy("slide_id").agg(F.max("n").alias("n")).where(F.col("n") >= least)
+    return out.join(enough.select("slide_id"), "slide_id", "left_semi").select("slide_id", F.col("x").alias("x_qp"), F.col("y").alias("y_qp"), "label", F.col("mpp").alias("mpp0"))
+
+
+def reference_tiles(tries: DataFrame, by: str, slot: str, attempt: str, ok: str, most: int = 30) -> DataFrame:
+    """Of each slot of each image the first accepted one of at most `most` tries."""
+    good = tries.where(F.col(ok) & (F.col(attempt) < most))
+    row = F.struct(*(F.col(c) for c in tries.columns))
+    return good.groupBy(by, slot).agg(F.min_by(row, F.col(attempt)).alias("__r")).select("__r.*")
