@@ -174,3 +174,41 @@ def od_covariance(pixels: DataFrame, by: list[str]) -> DataFrame:
     p = p.withColumn("__n", n).where("__n > 1e-8")
     u = {c: F.col(f"__{c}") / F.col("__n") for c in ("r", "g", "b")}
     return p.groupBy(*by).agg(*(F.covar_samp(u[a], u[b]).alias(f"cov_{a}{b}") for a, b in ("rr", "rg", "rb", "gg", "gb", "bb")))
+
+
+def tile_flags(pixels: DataFrame, by: list[str]) -> DataFrame:
+    """Whether each tile is black (by mean or by dark pixels), too dark to keep, tissue, and flat."""
+    mean_rgb = (F.col("r") + F.col("g") + F.col("b")) / 3.0
+    p = pixels.withColumns({"__m": mean_rgb, "__v": F.explode(F.array("r", "g", "b"))})
+
+    def share(c):
+        return F.avg(c.cast("int"))
+
+    out = p.groupBy(*by).agg(
+        F.avg("__m").alias("mean"),
+        share(F.col("__m") <= 5).alias("dark_share"),
+        share(F.greatest("r", "g", "b") <= 15).alias("black_share"),
+        share(~(F.least("r", "g", "b") > 220)).alias("tissue_share"),
+        F.stddev_pop("__v").alias("sd"),
+    )
+    return out.select(
+        *by,
+        ((F.col("mean") < 5) | (F.col("dark_share") >= 0.80)).alias("is_black"),
+        ((F.col("black_share") >= 0.95) | (F.col("mean") < 10)).alias("to_purge"),
+        (F.col("tissue_share") >= 0.60).alias("is_tissue"),
+        (F.col("sd") < 5).alias("low_texture"),
+        F.col("tissue_share"),
+        F.col("sd"),
+    )
+
+
+def candidate_estimate(height, width, mask_frac, stride) -> Column:
+    """About how many candidates a grid has in a mask."""
+    return _c(height) * _c(width) * _c(mask_frac) / (_c(stride) * _c(stride))
+
+
+def before_and_after(raw: DataFrame, normalised: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Tiles that both tables have, with each column of both and their difference."""
+    a = raw.select(key, *(F.col(c).alias(f"{c}_raw") for c in columns))
+    b = normalised.select(key, *(F.col(c).alias(f"{c}_norm") for c in columns))
+    return a.join(b, key).withColumns({f"{c}_diff": F.col(f"{c}_norm") - F.col(f"{c}_raw") for c in columns})

@@ -115,6 +115,27 @@ def q_patch_verdict(spark, sf):
     return pixels(spark).groupBy("img").agg(F.count_if(P.black_canvas(P.gray())).alias("black"), verdict.alias("verdict"))
 
 
+@query(f"""WITH {PIXELS}, v AS (SELECT img, (r + g + b) / 3.0::DOUBLE AS m, greatest(r, g, b) AS hi, least(r, g, b) AS lo, unnest([r, g, b]) AS v FROM pixels),
+a AS (SELECT img, avg(m) AS mean, avg((m <= 5)::INT) AS dark, avg((hi <= 15)::INT) AS black, avg((NOT lo > 220)::INT) AS tissue, stddev_pop(v) AS sd FROM v GROUP BY img)
+SELECT img, mean < 5 OR dark >= 0.8 AS is_black, black >= 0.95 OR mean < 10 AS to_purge, tissue >= 0.6 AS is_tissue, sd < 5 AS low_texture, round(tissue, 9) AS tissue_share, round(sd, 6) AS sd, round(24 * 24 * tissue / 16, 6) AS candidates FROM a""")
+def q_tile_flags(spark, sf):
+    """Black, dark, tissue and flat tiles, and how many candidates to expect."""
+    out = P.tile_flags(pixels(spark), ["img"])
+    n = F.round(P.candidate_estimate(F.lit(SIDE), F.lit(SIDE), "tissue_share", F.lit(4)), 6)
+    return out.withColumn("candidates", n).withColumns({"tissue_share": F.round("tissue_share", 9), "sd": F.round("sd", 6)})
+
+
+@query(f"""WITH {PIXELS}, a AS (SELECT img, avg(r) AS m FROM pixels GROUP BY img), b AS (SELECT img, avg(least(r + 10, 255)) AS m FROM pixels WHERE img % 2 = 0 GROUP BY img)
+SELECT img, round(a.m, 6) AS mean_raw, round(b.m, 6) AS mean_norm, round(b.m - a.m, 6) AS mean_diff FROM a JOIN b USING (img)""")
+def q_before_and_after(spark, sf):
+    """Tiles before and after a change of colour, joined by name."""
+    p = pixels(spark)
+    raw = p.groupBy("img").agg(F.avg("r").alias("mean"))
+    new = p.where("img % 2 = 0").groupBy("img").agg(F.avg(F.least(F.col("r") + 10, F.lit(255))).alias("mean"))
+    out = P.before_and_after(raw, new, "img", ["mean"])
+    return out.select("img", *(F.round(c, 6).alias(c) for c in out.columns[1:]))
+
+
 @query()
 def k_tile_kernels(spark, sf):
     """The array kernels over the same images: quality metrics and tile features."""

@@ -267,3 +267,22 @@ def q_precheck(spark, sf):
     k = F.col("c_custkey")
     c = table(spark, sf, "customer").select(k.cast("string").alias("slide_uid"), k, F.when(k % 4 == 0, "read_error").when(k % 4 == 1, "ok").alias("mask_status"))
     return gate.precheck(c.select("slide_uid"), c.where("c_custkey % 3 <> 0"))
+
+
+@query("""WITH s AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey % 3 * 10 END AS x, CASE WHEN c_custkey % 5 < 2 THEN 900 ELSE 1000 END AS w, c_custkey % 11 = 0 AS failed FROM customer)
+SELECT x IS NOT NULL AS has_bounds, coalesce(x <> 0, FALSE) AS needs_shift, x IS NOT NULL AND w < 1000 AS bounds_smaller, failed, count(*) AS n FROM s GROUP BY ALL""")
+def q_bounds_audit(spark, sf):
+    """Slides by what their bounds are like."""
+    k = F.col("c_custkey")
+    s = table(spark, sf, "customer").select(
+        F.lit(1000).alias("width"), F.lit(800).alias("height"), F.when(k % 4 != 0, k % 3 * 10).alias("bounds_x"), F.lit(0).alias("bounds_y"), F.when(k % 5 < 2, 900).otherwise(1000).alias("bounds_w"), F.lit(800).alias("bounds_h"),
+        F.when(k % 11 == 0, "OSError").alias("error"),
+    )
+    return slides.bounds_audit(s)
+
+
+@query("SELECT l_suppkey, l_orderkey, l_extendedprice FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_extendedprice FROM lineitem) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey) = 1")
+def q_best_tile(spark, sf):
+    """The best tile of each image, the first of equal ones."""
+    t = table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_extendedprice").distinct()
+    return slides.best_tile(t, "l_suppkey", "l_extendedprice", "l_orderkey")

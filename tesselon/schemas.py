@@ -45,15 +45,17 @@ HARD_EXAMPLES = _schema("slide_id STRING, x INT, y INT, label INT, png_path STRI
 FEATURES = _schema("slide_uid STRING, patch_id LONG, feature ARRAY<FLOAT>")
 
 
-def conform(df: DataFrame, schema: T.StructType, aliases: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, aliases: dict[str, tuple[str, ...]] | None = None, required: tuple[str, ...] = ()) -> DataFrame:
     """df with exactly the columns of schema, found by trimmed lower-case name or by the first alias that is there.
 
-    Missing columns become null, text that is no number becomes null, and NaN becomes null.
+    Missing columns become null unless they are required, text that is no number becomes null, and NaN becomes null.
     """
     have = {c.strip().lower(): c for c in reversed(df.columns)}
     out = []
     for f in schema.fields:
         name = next((have[a] for a in (f.name.lower(), *(x.lower() for x in (aliases or {}).get(f.name, ()))) if a in have), None)
+        if name is None and f.name in required:
+            raise ValueError(f"column {f.name} is missing; there are {', '.join(df.columns)}")
         if name is None:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue

@@ -118,3 +118,21 @@ def rename_plan(files: DataFrame, new_name: Column) -> DataFrame:
     f = files.select("path", C.file_name("path").alias("old"), new_name.alias("new"))
     n = f.groupBy("new").agg(F.count("*").alias("n"))
     return f.join(n, "new").select("path", "old", "new", F.when(F.col("n") > 1, "collision").when(F.col("old") == F.col("new"), "keep").otherwise("rename").alias("action"))
+
+
+def bounds_audit(slides: DataFrame) -> DataFrame:
+    """Slides by whether their bounds are known, shifted and smaller than the canvas, and whether they failed to open.
+
+    slides: width, height, bounds_x, bounds_y, bounds_w, bounds_h and error.
+    """
+    known = F.col("bounds_x").isNotNull() & F.col("bounds_y").isNotNull() & F.col("bounds_w").isNotNull() & F.col("bounds_h").isNotNull()
+    shift = known & ((F.col("bounds_x") != 0) | (F.col("bounds_y") != 0))
+    smaller = known & ((F.col("bounds_w") < F.col("width")) | (F.col("bounds_h") < F.col("height")))
+    rows = slides.select(known.alias("has_bounds"), F.coalesce(shift, F.lit(False)).alias("needs_shift"), F.coalesce(smaller, F.lit(False)).alias("bounds_smaller"), F.col("error").isNotNull().alias("failed"))
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
+def best_tile(tiles: DataFrame, by: str, tissue: str, order: str) -> DataFrame:
+    """The tile of each image with the most tissue, the first of equal ones."""
+    row = F.struct(*(F.col(c) for c in tiles.columns))
+    return tiles.groupBy(by).agg(F.max_by(row, F.struct(F.col(tissue), -F.col(order))).alias("__r")).select("__r.*")
