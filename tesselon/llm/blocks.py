@@ -1,13 +1,15 @@
 """Links inside candidate clusters, counted tile by tile.
 
 Candidate edges only say which documents may be linked: their components are the clusters. A cluster that is too large
-for one task is cut into sides by hash, and each pair of sides is a tile, a task of its own; a tile compares its
-documents by one product and returns a spanning forest of the links it found, and how many links each document has in
-it. So the rows that leave a tile are as many as its documents, never its pairs.
+for one task is cut into sides, by size where links need like sizes and by hash within a size; each pair of sides that
+can hold a link is a tile, a task of its own. A tile compares its documents by one product and returns a spanning forest
+of the links it found, and how many links each document has in it. So the rows that leave a tile are as many as its
+documents, never its pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -57,7 +59,7 @@ def _tiles(alike: Callable):
             np.fill_diagonal(found, False)
             if tile[1] != tile[2]:
                 found &= side[:, None] != side[None, :]
-            links = found @ copies
+            links = np.concatenate([found[k : k + 256] @ copies for k in range(0, len(ids), 256)])
             hit = np.flatnonzero(links > 0)
             root = _forest(found, np.argsort(ids, kind="stable"))
             return pa.RecordBatch.from_pydict({"id": pa.array(ids[hit]), "root": pa.array(ids[root[hit]]), "n_links": pa.array(links[hit])})
@@ -78,19 +80,38 @@ def _tiles(alike: Callable):
     return run
 
 
-def cluster_links(edges: DataFrame, reps: DataFrame, payload: DataFrame, alike: Callable, block_docs: int = 1024, block_size: int = 2_000_000) -> DataFrame:
+def cluster_links(edges: DataFrame, reps: DataFrame, payload: DataFrame, alike: Callable, block_docs: int = 1024, block_size: int = 2_000_000, ratio: float | None = None) -> DataFrame:
     """(class_id, component, links) of every document with a link: the smallest id reachable, and its number of links.
 
     edges: candidate pairs (u, v); reps: (id, copies, size), one row per document, a link to it counts `copies` times;
     payload: (id, p), what `alike` compares: it gets an Arrow array of p and returns a square matrix of booleans.
+    ratio: the smaller size of two linked documents is at least so much of the larger one; None: sizes don't matter.
     A tile holds at most about 2 * block_docs documents and 2 * block_size of summed size, or one document.
     """
     near, _ = written(edges, "candidates")
     blocks, _ = connected_components(near)
     members = blocks.union(blocks.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "id").join(reps, "id")
-    cut = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_size), F.lit(1)).cast("long").alias("cuts"))
-    tiled = members.join(cut, "component").withColumn("side", F.pmod(F.xxhash64("id"), F.col("cuts")))
-    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+    whole = members.groupBy("component").agg(((F.count("*") <= block_docs) & (F.sum("size") <= block_size)).alias("whole"))
+    # Sizes of two linked documents fall into one band or two neighbouring ones; the bands are a little wider than needed.
+    band = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / (1.0001 * math.log(1 / ratio))) if ratio else F.lit(0)
+    members = members.join(whole, "component").withColumn("band", F.when(F.col("whole"), F.lit(0)).otherwise(band).cast("long"))
+    cut = members.groupBy("component", "band").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_size), F.lit(1)).cast("long").alias("cuts"))
+    cut, _ = written(cut, "cuts")
+    # The cuts of a band and of its neighbours, in one row.
+    around = cut.select("component", F.explode(F.array(*(F.struct((F.col("band") + d).alias("band"), F.lit(d).alias("d")) for d in (-1, 0, 1)))).alias("b"), "cuts")
+    around = around.groupBy("component", F.col("b.band").alias("band")).agg(*(F.coalesce(F.max(F.when(F.col("b.d") == d, F.col("cuts"))), F.lit(0)).alias(f"cuts{d}") for d in (-1, 0, 1)))
+    tiled = members.join(around, ["component", "band"])
+
+    def side(b, h):
+        return b * (1 << 20) + h
+
+    def sides(b, n):
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1), lambda h: side(b, h))).otherwise(F.array().cast("array<long>"))
+
+    own = side(F.col("band"), F.pmod(F.xxhash64("id"), F.col("cuts0")))
+    # cuts1 came from the band below, cuts-1 from the band above.
+    others = F.concat(sides(F.col("band"), F.col("cuts0")), sides(F.col("band") - 1, F.col("cuts1")), sides(F.col("band") + 1, F.col("`cuts-1`")))
+    tiled = tiled.withColumn("side", own).withColumn("other", F.explode(others))
     tiled = tiled.select("component", F.least("side", "other").alias("t1"), F.greatest("side", "other").alias("t2"), "id", "side", F.col("copies").cast("long").alias("copies"))
     work = tiled.join(payload, "id").select("component", "t1", "t2", "id", "side", "copies", "p")
     work = work.repartition("component", "t1", "t2").sortWithinPartitions("component", "t1", "t2", "id")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.shipping import map_arrow
 
-FLUSH = 2_000_000  # hashes that a task sorts at once
+FLUSH = 1_000_000  # hashes that a task sorts at once
 
 
 def packed(hashes, refs, buckets: int, bits: int, later: bool):

@@ -12,7 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import written
+
 MOST_DRAW = 120  # for means of at most 16 the chance of a larger draw is under 1e-60, beyond what 52 bits can show
+MOST_SOURCES = 100_000  # that are broadcast: some MB
 _TWO52 = float(1 << 52)
 
 
@@ -70,7 +73,9 @@ def mix_sources(
     out. Columns of these names in docs are replaced. Rows that repeat id and text are drawn alike and all repeated.
     Rows with null id or text are drawn by what they have.
     """
-    rates = target_rates(docs, weights, rows, source_col)
+    rates, _ = written(target_rates(docs, weights, rows, source_col), "rates")
+    if rates.count() <= MOST_SOURCES:  # beyond that the join shuffles, and adaptive execution splits hot sources
+        rates = F.broadcast(rates)
     cols = [c for c in docs.columns if c not in (copy_col, order_col)]
     own = docs.select(*(F.col(f"`{c}`") for c in cols))
     key = F.concat_ws(":", F.coalesce(own[id_col].cast("string"), F.lit("")), F.md5(F.coalesce(own[text_col].cast("string"), F.lit(""))))

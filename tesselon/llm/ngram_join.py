@@ -3,19 +3,16 @@
 Documents whose n-gram sets have Jaccard likeness of at least num/den are linked. Equal sets collapse into one class
 first, so copies never meet as pairs. Two size-derived bounds decide what is multiplied. A set of n grams of which more
 than (1 - t) * n are in no other class cannot reach likeness t: such sets drop out, on the evidence of a sample of the
-grams by hash, in which those that no other class has are counted. The blocks of the product come from the second
-bound: sets of likeness >= t and size <= r differ in at most d = floor(r*(1-t)/t) grams, so when the grams are dealt by hash into d + 1 parts, at least
-one part is the same in both (levels() adds spare parts, so that nearly empty ones need not count). Documents that share
-a part form a block; inside a block the overlap counts are accumulated over column blocks of the incidence matrix, and
-pairs below the bound c >= t*(a + b - c) are discarded. Blocks over `block_grams` or `block_docs` are cut into tiles (see
-blocks.py): output stays linear in the documents for groups of any size. No link is missed and no partner, part or block
-is capped; sets are compared by 64-bit gram hashes.
+grams by hash and then once more on all of them, by counting those that no other class has. The blocks of the product
+come from the second bound: a set's n - ceil(t * n) + 1 rarest grams hold one of every set that it is linked to (see
+prefix()). Documents that share such a gram form a block; inside a block the overlap counts are accumulated over column
+blocks of the incidence matrix, and pairs below the bound c >= t * (a + b - c) are discarded. Blocks over `block_grams` or
+`block_docs` are cut into tiles (see blocks.py): output stays linear in the documents for groups of any size. No link is
+missed and no partner or block is capped; sets are compared by 64-bit gram hashes.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,34 +21,10 @@ from .meeting import SENT, met
 from .shared import map_arrow, written
 
 BITS = 48  # of the sampled grams: one that meets another by chance only keeps a set in for longer
+MOST_HOT = 500_000  # frequent grams that are broadcast, 8 MB; any choice of them gives the same links
 BUCKET = 2_000_000  # sampled grams that meet in one bucket
 
 
-def levels(num: int, den: int, most: int = 1 << 40) -> list[tuple[int, int, int, int]]:
-    """(smallest size, parts, thin, spare) of each size level; sizes under the first can only be linked to an equal set.
-
-    Linked sets of a level differ in at most d grams, and there are d + 1 + spare parts. A part of at most `thin` grams
-    says little, so a set leaves out its thin parts if it has at most `spare` of them: two linked sets share spare + 1
-    parts at least, so that one that isn't thin is among them, or else both have more thin ones and leave out none.
-    Where d is 1 there are no parts (0): a set meets others by itself and by itself less one gram.
-    """
-    low, out = -(-num // (den - num)) if den > num else most, []
-    while low < most:
-        high = max(low, -(-2 * num // (den - num)) - 1)  # the largest size with d = 1
-        if out or high * (den - num) // num > 1:
-            high = low * 4 // 3
-            d = high * (den - num) // num
-            mean = low / (d + 2)
-            thin = int(mean / 3)
-            chance = sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(thin + 1))
-            spare = 2 + math.ceil(1.25 * chance * d)
-            out.append((low, d + 1 + spare, thin, spare))
-        else:
-            out.append((low, 0, 0, 0))
-        low = high + 1
-    return out
-
-
 def gram_sets(column, n: int, fold: bool):
     """For groups of rows: (first row, list of sorted distinct gram hashes of each text).
 
@@ -75,53 +48,64 @@ def gram_sets(column, n: int, fold: bool):
         yield first, sets
 
 
-def part_keys(sets, num: int, den: int):
-    """Flat keys and their number for each set: a hash of each part of each level that the set can meet a partner in."""
+def prefix(grams, num: int, den: int, hot, times):
+    """The grams that a set meets others by: its n - ceil(t * n) + 1 rarest ones.
+
+    Sets of likeness t share at least ceil(t * n) of either's grams, so if both are sorted by one order of all grams, their
+    prefixes share one. Any order will do; the rarest come first, by the table of frequent grams (hot, sorted, and times).
+    """
     import numpy as np
 
-    from .words import mixed
+    n = len(grams)
+    k = n - -(-num * n // den) + 1
+    if not len(hot):
+        return grams[:k]
+    at = np.minimum(np.searchsorted(hot, grams), len(hot) - 1)
+    often = np.where(hot[at] == grams, times[at], 0)
+    return grams[np.argsort(often, kind="stable")[:k]]  # the grams are sorted, which settles ties
+
+
+def hot_grams(texts: DataFrame, n: int, fold: bool, most: int):
+    """(grams, times): about the `most` grams that the most texts hold, sorted; others may be missing.
+
+    Tasks count the grams of some thousand texts at a time and pass on those of two texts or more.
+    """
+    import numpy as np
+
+    def count(batches):
+        import pyarrow as pa
+
+        held, size = [], 0
+
+        def out():
+            u, c = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(u[c > 1].view(np.int64)), pa.array(c[c > 1])], ["gram", "c"])
 
-    table = np.array(levels(num, den), np.int64)
-    size = np.array([len(s) for s in sets], np.int64)
-    if not len(table):
-        return np.zeros(0, np.uint64), np.zeros(len(sets), np.int64)
-    lows = table[:, 0]
-    level = np.searchsorted(lows, size, "right") - 1
-    above = np.minimum(level + 1, len(lows) - 1)
-    # A set also meets larger partners on the next level if one of that size can be alike enough.
-    both = (level >= 0) & (den * size >= num * lows[above]) & (above > level)
-    doc = np.concatenate([np.flatnonzero(level >= 0), np.flatnonzero(both)])
-    at = np.concatenate([level[level >= 0], above[both]])
-    order = np.argsort(doc, kind="stable")
-    doc, at = doc[order], at[order]
-    _, parts, thin, spare = table[at].T
-    single = parts == 0
-    parts = np.where(single, size[doc] + 1, parts)
-    base = np.concatenate([[0], np.cumsum(parts)])
-    total = int(base[-1])
-    if not total:
-        return np.zeros(0, np.uint64), np.zeros(len(sets), np.int64)
-    take = size[doc]
-    g = np.concatenate([sets[d] for d in doc])
-    slot = np.repeat(base[:-1], take) + ((g >> np.uint64(33)).astype(np.int64) * np.repeat(parts, take) >> 31)
-    m = mixed(g ^ np.uint64(0x5851F42D4C957F2D))
-    by = np.argsort(slot, kind="stable")
-    slot, by = slot[by], m[by]
-    sums, grams = np.zeros(total, np.uint64), np.bincount(slot, minlength=total)
-    head = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
-    sums[slot[head]] = np.add.reduceat(by, head)
-    owner = np.repeat(np.arange(len(doc)), parts)
-    lean = grams <= thin[owner]
-    keep = ~lean | (np.bincount(owner[lean], minlength=len(doc)) > spare)[owner]
-    mark = at[owner].astype(np.uint64) << np.uint64(32) | (np.arange(total) - base[:-1][owner]).astype(np.uint64)
-    keep |= single[owner]
-    at_gram = np.concatenate([[0], np.cumsum(take)])
-    for i in np.flatnonzero(single):
-        own = m[at_gram[i] : at_gram[i + 1]]
-        sums[base[i] : base[i + 1]] = own.sum() - np.concatenate([np.zeros(1, np.uint64), own])
-        mark[base[i] : base[i + 1]] = np.uint64(int(at[i]) << 32)
-    keys = mixed(sums ^ mixed(mark + np.uint64(1)))[keep]
-    return keys, np.bincount(doc[owner[keep]], minlength=len(sets))
+        for b in batches:
+            for _, sets in gram_sets(b.column(0), n, fold):
+                held += sets
+                size += sum(map(len, sets))
+                if size > 1_000_000:
+                    yield out()
+                    held, size = [], 0
+        if size:
+            yield out()
+
+    seen, _ = written(map_arrow(texts.select("text"), count, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c")), "frequent")
+    # The lowest of some hundred thresholds that not more than `most` grams reach.
+    step = F.floor(F.log("c") * 8).cast("int")
+    least, above = None, 0
+    for row in sorted(seen.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["step"]):
+        above += row["n"]
+        if above > most:
+            break
+        least = row["step"]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    top = seen.where(step >= least).toArrow()
+    grams, times = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
+    order = np.argsort(grams)
+    return grams[order], times[order]
 
 
 def signature(grams):
@@ -174,7 +158,18 @@ def _send(n: int, fold: bool, per_mille: int, buckets: int):
     return run
 
 
-def _keys(num: int, den: int, n: int, fold: bool):
+def _may_link(classes: DataFrame, texts: DataFrame, num: int, den: int, n: int, fold: bool, per_mille: int) -> DataFrame:
+    """Those of the classes (with n, and m, the size of the sample) whose grams are not too often in no other class.
+
+    A gram may be counted as common more than once, so a set may stay in for no reason, but none drops out for no reason.
+    """
+    buckets = max(64, (classes.agg(F.sum("m")).first()[0] or 0) // BUCKET)
+    common = met(map_arrow(texts, _send(n, fold, per_mille, buckets), SENT), later=False).groupBy(F.col("ref").alias("s1")).agg(F.sum(F.size("hashes")).alias("common"))
+    alone = F.col("m") - F.coalesce("common", F.lit(0))
+    return classes.join(common, "s1", "left").where(den * (F.col("n") - alone) >= num * F.col("n")).drop("common")
+
+
+def _keys(num: int, den: int, n: int, fold: bool, hot):
     """(id, n, copies, keys, text) of the texts that have the signature wanted of them."""
     def run(batches):
         import numpy as np
@@ -185,7 +180,8 @@ def _keys(num: int, den: int, n: int, fold: bool):
             for first, sets in gram_sets(b.column(4), n, fold):
                 take = [k for k, s in enumerate(sets) if signature(s) == want[first + k]]
                 own = [sets[k] for k in take]
-                keys, count = part_keys(own, num, den)
+                each = [prefix(s, num, den, *hot.value) for s in own]
+                keys, count = np.concatenate([np.zeros(0, np.uint64), *each]), [len(k) for k in each]
                 rows = pa.array([first + k for k in take], pa.int64())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -196,30 +192,63 @@ def _keys(num: int, den: int, n: int, fold: bool):
     return run
 
 
+RARE = 48  # documents up to which a gram's pairs are counted one by one
+PAIRS = 4_000_000  # that are counted at once
+
+
+def overlaps(sets):
+    """How many grams each two sets share: the incidence matrix times itself, summed over blocks of its columns.
+
+    Columns of few documents are multiplied as lists of their pairs, the others as dense blocks.
+    """
+    import numpy as np
+
+    m = len(sets)
+    out = np.zeros((m, m), np.int32)
+    grams, col = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(m), [len(s) for s in sets])
+    order = np.argsort(col, kind="stable")
+    row, times = row[order], np.bincount(col, minlength=len(grams))
+    start = np.cumsum(times) - times
+    few = np.flatnonzero((times > 1) & (times <= RARE))
+    pairs = np.cumsum(times[few] ** 2)
+    at = 0
+    while at < len(few):
+        end = max(at + 1, int(np.searchsorted(pairs, (pairs[at - 1] if at else 0) + PAIRS, "right")))
+        c, s = times[few[at:end]], start[few[at:end]]
+        # Entry i of a column of c documents meets all c of them.
+        first = np.repeat(s, c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        many = np.repeat(c, c)
+        second = np.repeat(np.repeat(s, c), many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        out += np.bincount(np.repeat(row[first], many) * m + row[second], minlength=m * m).reshape(m, m).astype(np.int32)
+        at = end
+    often = np.flatnonzero(times > RARE)
+    step = max(256, (1 << 22) // m)
+    for at in range(0, len(often), step):
+        part = often[at : at + step]
+        x = np.zeros((m, len(part)), np.float32)
+        c = times[part]
+        entry = np.repeat(start[part], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        x[row[entry], np.repeat(np.arange(len(part)), c)] = 1
+        out += (x @ x.T).astype(np.int32)
+    return out
+
+
 def _alike(num: int, den: int, n: int, fold: bool):
-    """Whether the gram sets of texts are linked: overlap counts summed over column blocks of the incidence matrix."""
+    """Whether the gram sets of texts are linked."""
 
     def product(texts):
         import numpy as np
 
         sets = [s for _, part in gram_sets(texts, n, fold) for s in part]
-        m, size = len(sets), np.array([len(s) for s in sets], np.int64)
-        grams, col = np.unique(np.concatenate(sets), return_inverse=True)
-        row = np.repeat(np.arange(m), size)
-        shared = np.bincount(col, minlength=len(grams)) > 1  # a gram of one document adds to no overlap
-        keep, new, width = shared[col], np.cumsum(shared) - 1, int(shared.sum())
-        row, col = row[keep], new[col[keep]]
-        order = np.argsort(col, kind="stable")
-        row, col = row[order], col[order]
-        overlap = np.zeros((m, m), np.float32)
-        step = max(256, (1 << 22) // m)
-        for at in range(0, width, step):
-            lo, hi = np.searchsorted(col, [at, at + step])
-            x = np.zeros((m, min(step, width - at)), np.float32)
-            x[row[lo:hi], col[lo:hi] - at] = 1
-            overlap += x @ x.T
-        c = overlap.astype(np.int64)
-        return (c > 0) & (den * c >= num * (size[:, None] + size[None, :] - c))
+        size = np.array([len(s) for s in sets], np.int32)
+        c = overlaps(sets)
+        # den * c >= num * (a + b - c), a few rows at a time
+        out = np.zeros(c.shape, bool)
+        for k in range(0, len(size), 256):
+            part = c[k : k + 256].astype(np.int64)
+            out[k : k + 256] = (part > 0) & ((den + num) * part >= num * (size[k : k + 256, None].astype(np.int64) + size[None, :]))
+        return out
 
     return product
 
@@ -240,18 +269,20 @@ def ngram_jaccard_join(
     feats, _ = written(map_arrow(given, _survey(n, fold, per_mille), "id long, n long, m long, s1 long, s2 long"), "grams")
     sets = feats.where("n > 0 and id is not null")
     classes, _ = written(sets.distinct().groupBy("s1", "s2", "n", "m").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
-    buckets = max(64, (classes.agg(F.sum("m")).first()[0] or 0) // BUCKET)
-    common = met(map_arrow(given, _send(n, fold, per_mille, buckets), SENT), later=False).groupBy(F.col("ref").alias("s1")).agg(F.sum(F.size("hashes")).alias("common"))
-    # A gram may be counted as common more than once, so a set may stay in for no reason, but none drops out for no reason.
-    alone = F.col("m") - F.coalesce("common", F.lit(0))
-    may = classes.join(common, "s1", "left").where((den * (F.col("n") - alone) >= num * F.col("n")) & (F.col("n") >= levels(num, den)[0][0] if den > num else F.lit(False)))
-    wide = may.select(F.col("class_id").alias("id"), "s1", "s2", "copies").join(given, "id").select("id", "s1", "s2", "copies", "text")
-    docs_left, _ = written(map_arrow(wide, _keys(num, den, n, fold), "id long, n long, copies long, keys array<long>, text string"), "survivors")
+    large = classes.where(F.col("n") * (den - num) >= num)  # smaller sets are linked to equal ones only
+    may = _may_link(large, given, num, den, n, fold, per_mille)
+    first, _ = written(may.select(F.col("class_id").alias("id"), "s1", "s2", "n", "copies").join(given, "id"), "sampled")
+    # Once more with all grams, among those that are left.
+    some = first.select(F.col("id").alias("class_id"), "s1", "s2", "n", F.col("n").alias("m"), "copies").distinct()
+    may = _may_link(some, first.select("id", "text"), num, den, n, fold, 1000)
+    wide = may.select(F.col("class_id").alias("id"), "s1", "s2", "copies").join(first.select("id", "text"), "id").select("id", "s1", "s2", "copies", "text")
+    hot = docs.sparkSession.sparkContext.broadcast(hot_grams(first, n, fold, MOST_HOT))
+    docs_left, _ = written(map_arrow(wide, _keys(num, den, n, fold, hot), "id long, n long, copies long, keys array<long>, text string"), "survivors")
     posts = docs_left.select("id", F.explode("keys").alias("key"))
     lead = posts.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("key", "lead")
     near = posts.join(lead, "key").where("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v")).distinct()
     sizes = docs_left.groupBy("id").agg(F.max("copies").alias("copies"), F.max("n").alias("size"))
-    label = cluster_links(near, sizes, docs_left.select("id", F.col("text").alias("p")), _alike(num, den, n, fold), block_docs, block_grams)
+    label = cluster_links(near, sizes, docs_left.select("id", F.col("text").alias("p")), _alike(num, den, n, fold), block_docs, block_grams, num / den)
     out = feats.select("id", "n", "s1", "s2").join(classes.drop("m").join(label, "class_id", "left"), ["s1", "s2", "n"], "left")
     real = F.col("id").isNotNull()
     return out.select(

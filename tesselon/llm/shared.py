@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.shipping import map_arrow
 
 _own_dir: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,6 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder, which cuts its lineage, and read it back."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -37,6 +39,12 @@ def dropped(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application; results that have not been written yet need them."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        dropped(spark, path)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> tuple[DataFrame, str]:
     """Label every node of an undirected edge table (u long, v long) with the smallest node it can reach.
 

@@ -84,7 +84,7 @@ def run_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mixed(total)
 
 
-def joined(column, most: int = 4 * PIECE):
+def joined(column, most: int = PIECE):
     """Groups of rows of an Arrow string column, of about `most` bytes: (first row, byte buffer, word starts, ends, bounds).
 
     Yields (i, texts, buf, offsets): texts i.. as bytes, their buffer joined by line feeds, and each text's start in it

@@ -71,3 +71,11 @@ def test_odd_rows(spark):
     assert mix_sources(df, {}).collect() == [] and mix_sources(df, {"none": 1.0}).collect() == []
     empty = spark.createDataFrame([], SCHEMA)
     assert mix_sources(empty).collect() == [] and mix_sources(empty).columns == [*empty.columns[:3], "copy", "mix_key"]
+
+
+def test_more_sources_than_are_broadcast(spark, monkeypatch):
+    from tesselon.llm import mixing
+
+    want = [(r["doc_id"], r["copy"]) for r in mix_sources(frame(spark)).collect()]
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
+    assert [(r["doc_id"], r["copy"]) for r in mix_sources(frame(spark)).collect()] == want

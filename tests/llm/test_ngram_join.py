@@ -94,3 +94,37 @@ def test_repeated_rows_count_once(spark):
 
     out = ngram_jaccard_join(spark.createDataFrame([(i, t, "s", "x") for i, t in rows], SCHEMA)).collect()
     assert sorted((r["doc_id"], r["component_id"], r["n_links"]) for r in out) == [(4, 4, 1), (4, 4, 1), (6, 4, 1)]
+
+
+def test_intermediate_tables_can_be_cleared(spark):
+    import os
+
+    from tesselon.llm import shared
+
+    df, path = shared.written(spark.range(3), "x")
+    assert df.count() == 3 and os.path.exists(path.removeprefix("file://"))
+    shared.clear(spark)
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
+@pytest.mark.parametrize("most", [0, 3, 1000])
+def test_any_table_of_frequent_grams_gives_the_same(spark, monkeypatch, most):
+    from tesselon.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "MOST_HOT", most)
+    rows = corpus(60)
+    assert got(spark, rows, 5, 80, 100) == brute(rows, 5, 80, 100)
+
+
+def test_overlaps_of_rare_and_frequent_grams(monkeypatch):
+    import numpy as np
+
+    from tesselon.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "PAIRS", 500)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 40 if i % 3 else 4000, rng.integers(0, 90))).astype(np.uint64) for i in range(150)]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    got = ngram_join.overlaps(sets)
+    shared = np.bincount(np.concatenate(sets).astype(int)) > 1
+    assert all(got[i][j] == want[i][j] for i in range(150) for j in range(150) if i != j) and shared.any()
