@@ -61,6 +61,9 @@ def norm01(value: str, by: list[str], low: float = 5, high: float = 99) -> Colum
     return F.when(hi <= lo + 1e-6, 0.0).otherwise(F.least(F.greatest((_c(value) - lo) / (hi - lo), F.lit(0.0)), F.lit(1.0)))
 
 
+# The colour ranges of pens, blood and dark strokes below.
+
+
 def ink_qc(h: Column, s: Column, v: Column, g: Column) -> Column:
     """Pen colours and dark strokes, as the quality check sees them."""
     pen = ((v < 70) & (s > 18)) | (h.between(25, 110) & (s > 22) & (v < 250)) | (h.between(85, 140) & (s > 22) & (v < 250)) | (((h >= 145) | (h <= 10)) & (s > 150) & (v < 245))

@@ -10,10 +10,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _sent: set[str] = set()
+_LIMIT, _UNSET, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once per application."""
+    """Send this package to the executors' Python, once per application, and keep Arrow batches small.
+
+    Batches are limited by rows, which long texts make large; where the session leaves their limit by bytes at its
+    default, it becomes BATCH_BYTES, so that a Python worker's memory doesn't depend on the texts. One row may be longer.
+    """
+    if spark.conf.get(_LIMIT, None) in (None, _UNSET):
+        spark.conf.set(_LIMIT, BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _sent:
         return

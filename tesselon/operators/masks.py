@@ -19,6 +19,7 @@ from . import raster as R
 class MaskConfig:
     """Thresholds of the steps; areas are shares of the image, percentiles are of the valid pixels."""
 
+    # The defaults.
     border_px: int = 10
     bright_gray: int = 244
     bright_sat: int = 20
@@ -116,6 +117,7 @@ class MaskConfig:
     dynamic_stains: bool = True
 
 
+# Fixed values.
 #: Named overlays of the defaults; a profile's values win over those given beside it.
 PROFILES: dict[str, dict] = {
     "default": {},

@@ -12,6 +12,7 @@ from ..functions.ranks import pct_rank_avg, top_per_key
 
 @dataclass(frozen=True)
 class QcThresholds:
+    # The defaults.
     tissue_min: float = 0.80
     focus_min: float = 50.0
     brightness_min: float = 80.0
@@ -35,6 +36,7 @@ def qc_predicate(t: QcThresholds = QcThresholds(), **columns: str) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+# Fixed values.
 #: How much each percentile rank adds to the cell-rich score.
 WEIGHTS = {"h_mean": 0.30, "h_p90": 0.30, "texture": 0.30, "e_mean": 0.10, "white_frac": -0.40, "artifact_frac": -0.60, "blood_score": -0.30, "rbc_frac": -0.60}
 #: The rank columns' names.
