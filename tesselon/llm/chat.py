@@ -128,7 +128,7 @@ def read_back(formatted: Column, template: Template = INST) -> Column:
 
     def parsed(x):
         body = F.substr(x, F.lit(len(before) + 1), F.length(x) - len(before) - len(after))
-        cut = F.instr(body, between) if isinstance(body, str) else F.locate(between, body)
+        cut = F.locate(between, body)
         out = F.struct(unescaped(F.substr(body, F.lit(1), cut - 1), template).alias("role"), unescaped(F.substr(body, cut + len(between)), template).alias("text"))
         for t in template.turns:
             out = F.when(F.startswith(x, F.lit(t.opening)), F.struct(F.lit(t.role).alias("role"), inner(x, t.opening, t.closing).alias("text"))).otherwise(out)

@@ -129,9 +129,7 @@ class Page:
                     if name != "tr":
                         break
         if name in ("html", "body") and name in (tag[i] for i in stack):
-            stack.append(stack[-1])  # a second one adds nothing, and its end is ignored
-            stack.pop()
-            return
+            return  # a second one adds nothing
         up, me = stack[-1], len(tag)
         tag.append(name)
         self.parent.append(up)
@@ -210,11 +208,9 @@ class Page:
                 commas[i] += text.count(",") + text.count("，") + text.count("、")
                 if linked[i]:
                     links[i] += k
-        inline = [0] * n  # text of a node and of the inline nodes in it
-        mark = [0] * n
         for i in range(n - 1, 0, -1):
             p = parent[i]
-            if tag[i] not in BLOCK:
+            if tag[i] not in BLOCK:  # its text is the paragraph's own
                 own[p] += own[i]
                 commas[p] += commas[i]
             size[p] += size[i]
@@ -229,7 +225,6 @@ class Page:
             while at > 0 and step < 5:
                 score[at] += points / (1 if step == 0 else 2 if step == 1 else 3 * step)
                 at, step = parent[at], step + 1
-        del inline, mark
         best, top = 0, 0.0
         for i in range(1, n):
             if out[i] is not False or not size[i] or tag[i] in ("html",) or tag[i] not in BLOCK:
