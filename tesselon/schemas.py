@@ -61,7 +61,7 @@ def conform(df: DataFrame, schema: T.StructType, aliases: dict[str, tuple[str, .
             continue
         kind, col = df.schema[name].dataType, F.col(f"`{name}`")
         if isinstance(kind, T.StringType) and not isinstance(f.dataType, T.StringType):
-            col = F.try_cast(col, f.dataType) if hasattr(F, "try_cast") else col.try_cast(f.dataType)
+            col = col.try_cast(f.dataType)
         else:
             col = col.cast(f.dataType)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
