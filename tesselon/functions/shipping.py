@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _sent: set[str] = set()
-_LIMIT, _UNSET, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 8 << 20
+_LIMIT, _UNSET, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 2 << 20
 
 
 def ship(spark: SparkSession) -> None:
