@@ -22,10 +22,10 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of smallest id; rows without an id stay."""
+    """One document of each group of near duplicates, the one of smallest id, once; rows without an id stay."""
     groups = ngram_join.ngram_jaccard_join(docs, n=5, num=80, den=100)
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

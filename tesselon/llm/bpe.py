@@ -51,16 +51,19 @@ def encoded(enc, text: str, most: int = PIECE):
     """The token ids of a text as a uint32 array."""
     import numpy as np
 
+    def ids(part):
+        return np.array(enc.encode_ordinary(part), np.uint32)
+
     if len(text) <= min(most, 20_000):
-        return enc.encode_to_numpy(text, disallowed_special=())
+        return ids(text)
     out, at = [], 0
     for run in _LONG_RUN.finditer(text):
         # Followed by more text, the run is one match up to its last code point, which goes with what follows.
         end = run.end() - (run.end() < len(text))
-        out += [enc.encode_to_numpy(p, disallowed_special=()) for p in safe_parts(text[at : run.start()], most)]
+        out += [ids(p) for p in safe_parts(text[at : run.start()], most)]
         out.append(np.array(enc._encode_single_piece(text[run.start() : end]), np.uint32))
         at = end
-    out += [enc.encode_to_numpy(p, disallowed_special=()) for p in safe_parts(text[at:], most)]
+    out += [ids(p) for p in safe_parts(text[at:], most)]
     return np.concatenate(out)
 
 
@@ -106,13 +109,17 @@ def bpe_decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str =
     where, names = kept.columns.index(ids_col), [*kept.columns, bytes_col]
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         enc = encoding(data.value, pattern)
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                out = [None if ids is None else enc.decode_bytes(ids) for ids in part.column(where).to_pylist()]
+                ids = part.column(where)
+                flat, ends = ids.flatten().to_numpy().tolist(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy()).tolist()
+                out = [enc.decode_bytes(flat[a:b]) if ok else None for a, b, ok in zip([0, *ends], ends, ids.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names)
 
     return map_arrow(kept, run, T.StructType([*kept.schema.fields, T.StructField(bytes_col, T.BinaryType())]))

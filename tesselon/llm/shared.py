@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.shipping import map_arrow
 
+ROW_GROUP = 16 << 20  # bytes that a task holds back before it writes them
 _own_dir: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
 
@@ -29,7 +30,7 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder, which cuts its lineage, and read it back."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     _made.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
