@@ -101,7 +101,10 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
 
 
 def bpe_decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """The input with one more column, the raw bytes of its token ids; null ids give null. A column of that name is replaced."""
+    """The input with one more column, the raw bytes of its token ids; a column of that name is replaced.
+
+    Null ids give null, nulls among the ids are left out.
+    """
     from pyspark.sql import types as T
 
     data = _ranks(tokens, ranks_path)
@@ -118,6 +121,8 @@ def bpe_decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str =
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 ids = part.column(where)
+                if ids.flatten().null_count:
+                    ids = pa.array([x and [i for i in x if i is not None] for x in ids.to_pylist()], pa.list_(pa.int32()))
                 flat, ends = ids.flatten().to_numpy().tolist(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy()).tolist()
                 out = [enc.decode_bytes(flat[a:b]) if ok else None for a, b, ok in zip([0, *ends], ends, ids.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names)

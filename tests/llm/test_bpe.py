@@ -46,8 +46,8 @@ def test_digests(spark, enc):
 
 
 def test_decode_replaces_its_column_and_keeps_nulls(spark):
-    df = spark.createDataFrame([(1, [31373], "a"), (2, None, "b")], "doc_id long, ids array<int>, decoded string")
-    assert {r["doc_id"]: r["decoded"] for r in bpe.bpe_decode(df, PATH, P.PATTERN).collect()} == {1: b"hello", 2: None}
+    df = spark.createDataFrame([(1, [31373], "a"), (2, None, "b"), (3, [], "c"), (4, [None, 31373], "d")], "doc_id long, ids array<int>, decoded string")
+    assert {r["doc_id"]: r["decoded"] for r in bpe.bpe_decode(df, PATH, P.PATTERN).collect()} == {1: b"hello", 2: None, 3: b"", 4: b"hello"}
 
 
 def test_a_large_vocabulary_is_refused(spark, tmp_path, monkeypatch):
