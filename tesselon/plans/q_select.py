@@ -56,7 +56,7 @@ _SCORED = f"""
 WITH {PATCHES}, {_FEATURES}, ranked AS (SELECT slide, patch, {', '.join(f'{_pct(k)} AS {v}' for k, v in select.RANKS.items())} FROM feats),
 scored AS (SELECT *, round(0.30 * h_mean_p + 0.30 * h_p90_p + 0.30 * tex_p + 0.10 * e_p - 0.40 * white_p - 0.60 * artifact_p - 0.30 * blood_p - 0.60 * rbc_p, 9) AS score FROM ranked),
 typed AS (SELECT *, {_pct('score')} AS cell_rich_p FROM scored)
-SELECT slide, patch, score AS cell_rich_score, round(cell_rich_p, 9) AS cell_rich_p, CASE WHEN (blood_p >= 0.85 OR rbc_p >= 0.85) AND h_p90_p < 0.70 THEN 'C' WHEN cell_rich_p >= 0.70 AND artifact_p <= 0.70 THEN 'A'
+SELECT slide, patch, score + 0.0 AS cell_rich_score, round(cell_rich_p, 9) AS cell_rich_p, CASE WHEN (blood_p >= 0.85 OR rbc_p >= 0.85) AND h_p90_p < 0.70 THEN 'C' WHEN cell_rich_p >= 0.70 AND artifact_p <= 0.70 THEN 'A'
   WHEN cell_rich_p >= 0.45 AND artifact_p <= 0.80 THEN 'B' ELSE 'D' END AS type FROM typed"""
 
 
@@ -64,7 +64,7 @@ SELECT slide, patch, score AS cell_rich_score, round(cell_rich_p, 9) AS cell_ric
 def q_composite_type(spark, sf):
     """Percentile ranks of eight features, their weighted sum, its rank and the type."""
     out = select.score_patches(_features(spark, sf), ["slide"])
-    return out.select("slide", "patch", F.round("cell_rich_score", 9).alias("cell_rich_score"), F.round("cell_rich_p", 9).alias("cell_rich_p"), "type")
+    return out.select("slide", "patch", (F.round("cell_rich_score", 9) + 0.0).alias("cell_rich_score"), F.round("cell_rich_p", 9).alias("cell_rich_p"), "type")
 
 
 @query(f"WITH {PATCHES} SELECT slide, patch, value FROM patches QUALIFY row_number() OVER (PARTITION BY slide, floor(value / 25), floor(k / 20) ORDER BY value DESC, patch) <= 3")
