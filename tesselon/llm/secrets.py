@@ -26,7 +26,7 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 
 # Parts of names and how sensitive a value under such a name is.
 SENSITIVE = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 2, "secret": 3, "token": 3, "apikey": 3, "api_key": 3, "accesskey": 3, "access_key": 3, "privatekey": 3, "private_key": 3, "credential": 2, "auth": 1, "signing": 1, "encryption": 1, "client_key": 2, "conn_str": 2, "connectionstring": 2}
-_HINT = re.compile("|".join(sorted(SENSITIVE, key=len, reverse=True)), re.I | re.A)
+_PARTS = sorted({k.replace("_", "") for k in SENSITIVE})
 _NAME = r"[A-Za-z_$][\w$.-]{0,80}"
 _PAIR = re.compile(
     rf"""(?P<q>["']?)(?P<name>{_NAME})(?P=q)(?:\[\s?["']?(?P<key>{_NAME})["']?\s?\])?[ \t]{{0,8}}(?::[ \t]{{0,4}}[\w.\[\]]{{1,40}}[ \t]{{0,4}}=(?!=)|:=|=>|=(?![=>~])|:(?![:/]))[ \t]{{0,8}}(?P<value>[^\r\n]{{1,2000}})"""
@@ -51,6 +51,12 @@ def sensitivity(name: str) -> int:
     return max((v for k, v in SENSITIVE.items() if k in plain or k in plain.replace("_", "")), default=0)
 
 
+def may_hold_names(text: str) -> bool:
+    """False only if no name in the text is sensitive: what sensitivity() looks for is looked for without separators and case."""
+    plain = text.lower().replace("-", "").replace("_", "").replace(".", "")
+    return any(k in plain for k in _PARTS)
+
+
 def strength(value: str) -> float:
     """0 to 3 points for a literal that looks like a secret: length, mixed characters, entropy; below 0 if it can't be one."""
     if len(value) < 6 or _DULL.match(value) or re.search(r"\s", value):
@@ -99,7 +105,7 @@ def scan(text: str, least: float = 4.0) -> list[tuple[str, int, int]]:
     """All spans of a text, by start and then by kind."""
     base = base_spans(text)
     found = {}
-    if _HINT.search(text):
+    if may_hold_names(text):
         for name, a, b in name_literal_pairs(text):
             s = sensitivity(name)
             if s and s + strength(text[a:b]) >= least:

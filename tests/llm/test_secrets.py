@@ -50,6 +50,20 @@ def test_names_give_their_literals_away():
     assert literals('settings["credential"] = "Zkd93kdLLqp0"') == ["Zkd93kdLLqp0"]
 
 
+@pytest.mark.parametrize("name", ["x-api-key", "api.key", "access-key", "access.key", "private-key", "client-key", "clientKey", "connStr", "connection_string", "pass.word", "To-Ken"])
+def test_every_spelling_of_a_name_is_lexed(name):
+    assert literals(f"{name}: Zk93kdLLqp0aB7") == ["Zk93kdLLqp0aB7"]
+
+
+def test_the_gate_never_changes_a_scan(monkeypatch):
+    names = [k.replace("_", sep) for k in secrets.SENSITIVE for sep in ("", "_", "-", ".", "-_")]
+    names += [k.title().replace("_", "") for k in secrets.SENSITIVE] + ["x" + k[0] + "_" + k[1:] for k in secrets.SENSITIVE] + ["colour", "K\u212aey", "\u0130d"]
+    texts = [*TEXTS, *(f"{n} = 'Zkd93kdLLqp0!x'" for n in names)]
+    gated = [secrets.scan(t) for t in texts]
+    monkeypatch.setattr(secrets, "may_hold_names", lambda text: True)
+    assert [secrets.scan(t) for t in texts] == gated
+
+
 def test_plain_text_and_placeholders_are_left_alone():
     assert secrets.scan("The password is written on the door: nobody reads it. Tokens cost money; secrets do not.") == []
     assert literals('auth_pwd = "changeme"\nmy_pwd = "${PWD_FROM_ENV}"\ncolour = "Zkd93kdLLqp0"') == []
