@@ -29,12 +29,16 @@ SENSITIVE = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 2, "secret": 3,
 _PARTS = sorted({k.replace("_", "") for k in SENSITIVE})
 _NAME = r"[A-Za-z_$][\w$.-]{0,80}"
 _PAIR = re.compile(
-    rf"""(?P<q>["']?)(?P<name>{_NAME})(?P=q)(?:\[\s?["']?(?P<key>{_NAME})["']?\s?\])?[ \t]{{0,8}}(?::[ \t]{{0,4}}[\w.\[\]]{{1,40}}[ \t]{{0,4}}=(?!=)|:=|=>|=(?![=>~])|:(?![:/]))[ \t]{{0,8}}(?P<value>[^\r\n]{{1,2000}})"""
-    rf"""|<(?P<tag>{_NAME})>(?P<inner>[^<>\r\n]{{1,500}})</(?P=tag)>""",
+    rf"""(?P<q>["']?)(?P<name>{_NAME})(?P=q)(?:\[\s?["']?(?P<key>{_NAME})["']?\s?\])?[ \t]{{0,8}}(?::[ \t]{{0,4}}[\w.\[\]]{{1,40}}[ \t]{{0,4}}=(?!=)|:=|=>|=(?![=>~])|:(?![:/]))[ \t]{{0,8}}(?P<value>)(?=[^\r\n])"""
+    rf"""|<(?P<tag>{_NAME})>(?P<inner>[^<>\r\n]++)</(?P=tag)>""",
     re.A,
 )
-_TERM = re.compile(rf"""[ \t]{{0,8}}(?:[rbuf]?"(?P<a>(?:[^"\\\r\n]|\\.)*)"|[rbuf]?'(?P<b>(?:[^'\\\r\n]|\\.)*)'|`(?P<c>[^`\r\n]*)`|(?P<id>{_NAME})(?![\w(]))""", re.A)
-_BARE = re.compile(r"[ \t]{0,8}(?P<bare>[A-Za-z0-9+/_.=~!@#$%^&*-]{6,})[ \t]*(?:$|[\r\n,;}])", re.A)
+_TERM = re.compile(rf"""[ \t]{{0,8}}(?:[rbuf]?"(?P<a>(?:[^"\\\r\n]++|\\.)*+)"|[rbuf]?'(?P<b>(?:[^'\\\r\n]++|\\.)*+)'|`(?P<c>[^`\r\n]*)`|(?P<id>{_NAME})(?![\w(]))""", re.A)
+_PLUS = re.compile(r"[ \t]{0,8}(?:\+|\.\.|&)")
+_BLANK = re.compile(r"[ \t]{0,8}")
+_BARE = re.compile(r"[A-Za-z0-9+/_.=~!@#$%^&*-]++")
+_CLOSED = re.compile(r"[ \t]*+(?:$|[,;}])")
+_LINE = re.compile(r"[^\r\n]*+")
 _DULL = re.compile(r"(?i)^(?:true|false|null|none|nil|undefined|changeme|example|placeholder|your[-_ ].*|x+|\*+|\.+|-+|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|todo|test|string|str|int|bool)$")
 
 
@@ -70,14 +74,17 @@ def name_literal_pairs(text: str) -> list[tuple[str, int, int]]:
     """(name, start, end) of each literal that a name is given, directly or through constants, in the order of the text."""
     const: dict[str, list[tuple[int, int]]] = {}
     out = []
-    at = 0
+    at = end = run = 0  # the line that holds the value ends at end, the bare characters last met at run: each is looked for once
+    closed = False
     while m := _PAIR.search(text, at):
         if m["tag"]:
             out.append((m["tag"], m.start("inner"), m.end("inner")))
             at = m.end()
             continue
-        name, pos, end, got = m["key"] or m["name"], m.start("value"), m.end("value"), []
+        name, pos, got = m["key"] or m["name"], m.start("value"), []
         first = pos
+        if first >= end:
+            end = _LINE.match(text, first).end()
         while t := _TERM.match(text, pos, end):  # a sum of literals and constants
             k = next((k for k in "abc" if t[k] is not None), None)
             if k:
@@ -87,12 +94,18 @@ def name_literal_pairs(text: str) -> list[tuple[str, int, int]]:
             elif not got:
                 break
             pos = t.end()
-            plus = re.compile(r"[ \t]{0,8}(?:\+|\.\.|&)").match(text, pos, end)
+            plus = _PLUS.match(text, pos, end)
             if not plus:
                 break
             pos = plus.end()
-        if not got and (b := _BARE.match(text, first, end)):
-            got, pos = [(b.start("bare"), b.end("bare"))], b.end("bare")
+        if not got:
+            bare = _BLANK.match(text, first, end).end()
+            if bare >= run:
+                b = _BARE.match(text, bare, end)
+                run = b.end() if b else bare
+                closed = bool(_CLOSED.match(text, run, end))
+            if closed and run - bare >= 6:
+                got, pos = [(bare, run)], run
         if got:
             const[name] = got[:64]
             const.setdefault(name.rpartition(".")[2], got[:64])

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -64,6 +65,24 @@ def test_the_gate_never_changes_a_scan(monkeypatch):
     assert [secrets.scan(t) for t in texts] == gated
 
 
+def test_values_have_no_longest_length(spark):
+    long = "Zk93kdLLqp0aB7xQ" * 300
+    for text in (f'private_key = "{long}"', f"pwd: '{long}'", f"PRIVATE_KEY={long}", f"x = 1; PRIVATE_KEY={long} ;", f"<privateKey>{long}</privateKey>"):
+        assert literals(text) == [long]
+    terms = [f"Zk93kdLLqp{i:04d}" for i in range(60)]
+    pad = " " * 8
+    assert literals("private_key = " + f"{pad}+{pad}".join(f'"{t}"' for t in terms) + " + " + f'"{long}"') == [*terms, long]
+    df = spark.createDataFrame([(1, f"export PRIVATE_KEY={long}\nend")], "doc_id long, text string")
+    assert [r["text"] for r in secrets.redacted(df).collect()] == ["export PRIVATE_KEY=[SECRET]\nend"]
+
+
+@pytest.mark.parametrize("text", ["pwd=" * 50_000 + "(", "pwd=a\\" * 40_000, "pwd='\\" * 40_001, "<pwd>" * 40_000, "pwd: (\t" * 30_000, "pwd=abcdefg " * 20_000])
+def test_long_lines_are_lexed_once(text):
+    began = time.process_time()
+    secrets.scan(text)
+    assert time.process_time() - began < 10
+
+
 def test_plain_text_and_placeholders_are_left_alone():
     assert secrets.scan("The password is written on the door: nobody reads it. Tokens cost money; secrets do not.") == []
     assert literals('auth_pwd = "changeme"\nmy_pwd = "${PWD_FROM_ENV}"\ncolour = "Zkd93kdLLqp0"') == []
