@@ -70,18 +70,20 @@ def strength(value: str) -> float:
     return min(1.0, len(value) / 16) + min(1.0, (kinds - 1) / 2) + min(1.0, bits / 4)
 
 
-def name_literal_pairs(text: str) -> list[tuple[str, int, int]]:
-    """(name, start, end) of each literal that a name is given, directly or through constants, in the order of the text."""
-    const: dict[str, list[tuple[int, int]]] = {}
-    out = []
+def scored_literals(text: str) -> list[tuple[int, int, int]]:
+    """(sensitivity, start, end) of each literal that a name is given, by the most sensitive name that it reaches, directly or through constants."""
+    const: dict[str, int] = {}  # the assignment that holds now
+    points, spans, links = [], [], []  # of each assignment: its name's points, its own literals, the earlier ones that it takes over
     at = end = run = 0  # the line that holds the value ends at end, the bare characters last met at run: each is looked for once
     closed = False
     while m := _PAIR.search(text, at):
         if m["tag"]:
-            out.append((m["tag"], m.start("inner"), m.end("inner")))
+            points.append(sensitivity(m["tag"]))
+            spans.append([(m.start("inner"), m.end("inner"))])
+            links.append(())
             at = m.end()
             continue
-        name, pos, got = m["key"] or m["name"], m.start("value"), []
+        name, pos, got, taken = m["key"] or m["name"], m.start("value"), [], set()
         first = pos
         if first >= end:
             end = _LINE.match(text, first).end()
@@ -90,15 +92,15 @@ def name_literal_pairs(text: str) -> list[tuple[str, int, int]]:
             if k:
                 got.append((t.start(k), t.end(k)))
             elif t["id"] in const:
-                got += const[t["id"]]
-            elif not got:
+                taken.add(const[t["id"]])
+            elif not got and not taken:
                 break
             pos = t.end()
             plus = _PLUS.match(text, pos, end)
             if not plus:
                 break
             pos = plus.end()
-        if not got:
+        if not got and not taken:
             bare = _BLANK.match(text, first, end).end()
             if bare >= run:
                 b = _BARE.match(text, bare, end)
@@ -106,12 +108,17 @@ def name_literal_pairs(text: str) -> list[tuple[str, int, int]]:
                 closed = bool(_CLOSED.match(text, run, end))
             if closed and run - bare >= 6:
                 got, pos = [(bare, run)], run
-        if got:
-            const[name] = got[:64]
-            const.setdefault(name.rpartition(".")[2], got[:64])
-            out += [(name, a, b) for a, b in got]
+        if got or taken:
+            const[name] = len(points)
+            const.setdefault(name.rpartition(".")[2], len(points))
+            points.append(sensitivity(name))
+            spans.append(got)
+            links.append(taken)
         at = max(pos, m.start("value"), m.start() + 1)
-    return out
+    for i in reversed(range(len(points))):  # what is taken over stands earlier, so one pass reaches every step
+        for j in links[i]:
+            points[j] = max(points[j], points[i])
+    return [(p, a, b) for p, own in zip(points, spans) for a, b in own]
 
 
 def scan(text: str, least: float = 4.0) -> list[tuple[str, int, int]]:
@@ -119,8 +126,7 @@ def scan(text: str, least: float = 4.0) -> list[tuple[str, int, int]]:
     base = base_spans(text)
     found = {}
     if may_hold_names(text):
-        for name, a, b in name_literal_pairs(text):
-            s = sensitivity(name)
+        for s, a, b in scored_literals(text):
             if s and s + strength(text[a:b]) >= least:
                 found[a, b] = True
     covers = sorted((a, b) for _, a, b in base)

@@ -76,7 +76,15 @@ def test_values_have_no_longest_length(spark):
     assert [r["text"] for r in secrets.redacted(df).collect()] == ["export PRIVATE_KEY=[SECRET]\nend"]
 
 
-@pytest.mark.parametrize("text", ["pwd=" * 50_000 + "(", "pwd=a\\" * 40_000, "pwd='\\" * 40_001, "<pwd>" * 40_000, "pwd: (\t" * 30_000, "pwd=abcdefg " * 20_000])
+def test_constants_keep_all_their_literals():
+    parts = [f"Zk93kdLLqp{i:04d}" for i in range(300)]
+    lines = [f'key = "{parts[0]}"', *(f'key = key + "{p}"' for p in parts[1:])]
+    assert literals("\n".join([*lines, "password = key"])) == parts
+    assert literals("\n".join(lines)) == []
+    assert literals("\n".join([*lines[:200], "password = key", 'key = "none of it"', *lines[200:]])) == parts[:200]
+
+
+@pytest.mark.parametrize("text", ["a = 'Zk93kdLLqp00'\n" + "a = a + a\n" * 20_000 + "pwd = a", "a = 'Zk93kdLLqp00'\n" + "a = a + 'Zk93kdLLqp01'\n" * 20_000 + "pwd = a", "pwd=" * 50_000 + "(", "pwd=a\\" * 40_000, "pwd='\\" * 40_001, "<pwd>" * 40_000, "pwd: (\t" * 30_000, "pwd=abcdefg " * 20_000])
 def test_long_lines_are_lexed_once(text):
     began = time.process_time()
     secrets.scan(text)
