@@ -3,12 +3,13 @@
 A conversation's turns are put in order, the machine checks the order of their roles, and the template writes each turn
 as three text segments - opening, text, closing - with a loss flag each. Control strings inside texts are escaped, so
 that the formatted text can be read back exactly: a backslash becomes `\\0` and each control string a backslash and its
-own sign, and as a backslash never ends such a pair, replacing the pairs one kind after another restores the text.
+own sign (two or more where there are many), and as a backslash never ends such a pair, replacing the pairs one kind after another restores the text.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import islice, product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,17 @@ class Template:
     stuck: str = "stuck"
     signs: str = field(default="123456789abcdefghijklmnopqrstuvwxyz")
 
+    def __post_init__(self):
+        if odd := [c for c in self.controls if not c or "\\" in c or c[0] in "0" + self.signs]:
+            raise ValueError(f"control strings may not be empty, hold a backslash or begin with a sign: {odd}")
+
+    def codes(self) -> tuple[str, list[str]]:
+        """What stands for a backslash, and for each control string, all of one length, as long as the controls need."""
+        width = 1
+        while len(self.signs) ** width < len(self.controls):
+            width += 1
+        return "\\" + "0" * width, ["\\" + "".join(x) for x in islice(product(self.signs, repeat=width), len(self.controls))]
+
 
 INST = Template(
     turns=(
@@ -62,18 +74,20 @@ INST = Template(
 
 def escaped(text: Column, template: Template = INST) -> Column:
     """The text without any control string; null counts as empty."""
-    out = F.replace(F.coalesce(text, F.lit("")), F.lit("\\"), F.lit("\\0"))
-    for sign, control in zip(template.signs, template.controls):
-        out = F.replace(out, F.lit(control), F.lit("\\" + sign))
+    slash, codes = template.codes()
+    out = F.replace(F.coalesce(text, F.lit("")), F.lit("\\"), F.lit(slash))
+    for code, control in zip(codes, template.controls, strict=True):
+        out = F.replace(out, F.lit(control), F.lit(code))
     return out
 
 
 def unescaped(text: Column, template: Template = INST) -> Column:
     """The text that was escaped."""
+    slash, codes = template.codes()
     out = text
-    for sign, control in zip(template.signs, template.controls):
-        out = F.replace(out, F.lit("\\" + sign), F.lit(control))
-    return F.replace(out, F.lit("\\0"), F.lit("\\"))
+    for code, control in zip(codes, template.controls, strict=True):
+        out = F.replace(out, F.lit(code), F.lit(control))
+    return F.replace(out, F.lit(slash), F.lit("\\"))
 
 
 def _quoted(text: str) -> str:
@@ -84,7 +98,7 @@ def format_conversations(turns: DataFrame, template: Template = INST, conv_col:
     """One row per conversation: id, state, valid, segments (array<struct<text, loss>>) and formatted, their texts joined.
 
     Turns are ordered by number, then role, then text; ties and repeated rows thus have one order and all stay. A null
-    role counts as empty, a null text too. Invalid orders are written all the same and flagged. Rows with a null
+    role counts as empty, a null text too; texts of any length stay whole; no rows give none. Invalid orders are written all the same and flagged. Rows with a null
     conversation id form one conversation. A conversation is one row of the result, so its turns meet in one task; other
     columns are not read, so their names cannot clash.
     """
@@ -138,8 +152,8 @@ def read_back(formatted: Column, template: Template = INST) -> Column:
 
 
 def digests(turns: DataFrame, template: Template = INST) -> DataFrame:
-    """conv_id, and from the formatted output: turns read back and their digest, text under the loss mask and its digest."""
-    out = format_conversations(turns, template)
+    """conv_id, and from the segments: turns read back and their digest, text under the loss mask and its digest."""
+    out = format_conversations(turns, template).select("conv_id", "segments", "valid", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"))
     out = out.select("conv_id", "formatted", read_back(F.col("formatted"), template).alias("back"), F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"], template)).alias("trained"), "valid")
     lines = F.array_join(F.transform("back", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     loss = F.array_join("trained", "")

@@ -1,25 +1,53 @@
 """Embedding near-dedup by E8 lattice hashing.
 
-Each table projects the unit vectors to eight random dimensions and decodes them to the nearest point of the E8 lattice,
-which with the table is a bucket; a vector also probes the buckets of the neighbouring lattice points that are nearest to
-it. Buckets are streamed: a vector is compared with the bucket's leaders only, tied to all that are within the link's
-angle twice over, and becomes a leader itself if none is within the angle once. If two vectors of a bucket are linked,
-both are tied to the leader that one of them is near, so a bucket loses no link, while a bucket full of copies has one
-leader and costs one comparison for each vector. Ties are candidates only: inside their components all pairs
-are verified with the cosine in double precision, tile by tile (see blocks.py).
-
-Links are missed only where no table brings the two vectors together: with the defaults, pairs at a cosine of exactly
-0.95 meet with a measured chance of 0.99, closer ones more often, and all links of a component count that any chain of
-such meetings holds together.
+Each table projects the unit vectors to 8 * blocks random dimensions and decodes each eight to the nearest point of the E8
+lattice; these points and the table are a cell. A vector also probes the neighbouring cells that are nearest to it. Vectors
+of a cell that are within the link's angle, with what rounding to bytes adds, are tied; hot cells are thinned to leaders
+before they are shuffled (see ties.py). Ties are candidates only: inside their components all pairs are verified with the
+cosine in double precision, tile by tile (see blocks.py).
+
+How fine the cells are follows from the number of vectors (PLANS), so that a vector meets some hundred unrelated ones at
+every size. Links are missed only where no table brings the two vectors together: pairs at a cosine of exactly 0.95 meet
+with a measured chance of 0.985 or more in every plan, closer ones more often, and all links of a component count that any
+chain of such meetings holds together.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import cluster_links
 from .shared import map_arrow, written
+from .ties import POST, Posts, tied
+
+
+@dataclass(frozen=True)
+class Plan:
+    """Up to how many vectors; blocks of eight dimensions, their scale, cells probed beside the own one, and tables."""
+
+    most: float
+    blocks: int
+    scale: float
+    probes: int
+    tables: int
+
+
+# Measured at a cosine of 0.95: the chance to meet, and unrelated vectors met as a share of all of them.
+PLANS = (
+    Plan(100_000, 2, 0.5, 4, 3),  # 0.986, 1.2e-3
+    Plan(1_000_000, 2, 0.6, 4, 5),  # 0.995, 2.9e-4
+    Plan(10_000_000, 3, 0.5, 4, 7),  # 0.990, 2.9e-5
+    Plan(300_000_000, 3, 0.6, 8, 8),  # 0.990, 1.2e-6
+    Plan(math.inf, 4, 0.6, 8, 15),  # 0.99, under 1e-7
+)
+
+
+def plan_for(vectors: int) -> Plan:
+    return next(p for p in PLANS if vectors <= p.most)
 
 
 def minimal_vectors():
@@ -77,105 +105,60 @@ def _unit(column):
     return out
 
 
-def _posts(tables: int, probes: int, scale: float, blocks: int, seed: int):
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
+def unpacked(payload: list[bytes]):
+    """Unit vectors of rows of signed bytes."""
+    import numpy as np
 
-        from .words import mixed
+    x = np.frombuffer(b"".join(payload), np.int8).reshape(len(payload), -1).astype(np.float32)
+    return x / np.sqrt((x * x).sum(1))[:, None]
 
-        near = minimal_vectors()
-        made: dict[int, np.ndarray] = {}
 
-        def key(points, start):
-            h = np.full(len(points), np.uint64(start))
-            for k in range(points.shape[1]):
-                h = mixed(h ^ points[:, k].astype(np.uint64))
-            return h
+def cells(x, plan: Plan, seed: int):
+    """The keys of the cells that each unit vector is in or probes, one row a vector."""
+    import numpy as np
 
-        for b in batches:
-            for at in range(0, b.num_rows, 2048):
-                part = b.slice(at, 2048)
-                for n, (rows, x) in _unit(part.column(1)).items():
-                    if not len(rows):
-                        continue
-                    if n not in made:
-                        made[n] = np.random.default_rng([seed, n]).normal(size=(n, tables * blocks * 8)) * scale
-                    y = (x @ made[n]).reshape(len(x), tables, blocks, 8)
-                    keys = np.zeros((len(x), tables, 1 + probes), np.uint64)
-                    for t in range(tables):
-                        home = [nearest_e8(y[:, t, k]) for k in range(blocks)]
-                        keys[:, t, 0] = key(np.hstack(home), (n << 16) + t)
-                        # The nearest other cells: one block moves to the neighbour that is nearest to it.
-                        gap = np.hstack([(((2 * y[:, t, k] - home[k]) @ -near.T) * 2 + (near**2).sum(1)) for k in range(blocks)])
-                        best = np.argpartition(gap, probes, axis=1)[:, :probes] if probes else np.zeros((len(x), 0), int)
-                        for p in range(probes):
-                            moved = [h.copy() for h in home]
-                            for k in range(blocks):
-                                of = best[:, p] // len(near) == k
-                                moved[k][of] += near[best[of, p] % len(near)]
-                            keys[:, t, 1 + p] = key(np.hstack(moved), (n << 16) + t)
-                    small = np.rint(x * 127 / np.abs(x).max(1)[:, None]).astype(np.int8)
-                    each = tables * (1 + probes)
-                    ids = part.column(0).take(pa.array(rows)).to_numpy()
-                    vectors = np.repeat(np.arange(len(x)), each)
-                    data = pa.array([v.tobytes() for v in small], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, each)), data.take(pa.array(vectors))], ["key", "id", "v"])
+    from .words import mixed
 
-    return run
+    n, near = x.shape[1], minimal_vectors()
+    y = (x @ (np.random.default_rng([seed, n]).normal(size=(n, plan.tables * plan.blocks * 8)) * plan.scale)).reshape(len(x), plan.tables, plan.blocks, 8)
+
+    def key(points, t):
+        h = np.full(len(points), np.uint64((n << 16) + t))
+        for k in range(points.shape[1]):
+            h = mixed(h ^ points[:, k].astype(np.uint64)) + np.uint64(k)
+        return h
 
+    out = np.zeros((len(x), plan.tables, 1 + plan.probes), np.uint64)
+    for t in range(plan.tables):
+        home = np.hstack([nearest_e8(y[:, t, k]) for k in range(plan.blocks)])
+        out[:, t, 0] = key(home, t)
+        # The nearest other cells: one block moves to the neighbour that is nearest to it.
+        gap = np.hstack([((2 * y[:, t, k] - home[:, 8 * k : 8 * k + 8]) @ -near.T) * 2 + (near**2).sum(1) for k in range(plan.blocks)])
+        best = np.argpartition(gap, plan.probes, axis=1)[:, : plan.probes]
+        for p in range(plan.probes):
+            moved = home.reshape(len(x), plan.blocks, 8).copy()
+            moved[np.arange(len(x)), best[:, p] // len(near)] += near[best[:, p] % len(near)]
+            out[:, t, 1 + p] = key(moved.reshape(len(x), -1), t)
+    return out.reshape(len(x), -1)
 
-def _leaders(cosine: float):
-    """Over rows sorted by key: ties of each vector of a bucket to the bucket's leaders, (u, v)."""
 
+def _posts(cosine: float, plan: Plan, seed: int):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        slack = 0.02  # for the vectors' rounding to bytes
-        lead_at = cosine - slack
-        tie_at = 2 * lead_at * lead_at - 1 - slack
-        bucket, leaders, names = None, None, []
-
+        out = Posts(math.acos(min(1.0, cosine)), unpacked)
         for b in batches:
-            keys, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
-            raw = b.column(2)
-            u, v = [], []
-            heads = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else [0]
-            for lo, hi in zip(heads[:-1], heads[1:]):
-                if keys[lo] != bucket:
-                    bucket, leaders, names = keys[lo], None, []
-                    if hi - lo == 1 and hi < len(keys):
-                        continue  # alone in its bucket
-                x = np.frombuffer(b"".join(raw.slice(lo, hi - lo).to_pylist()), np.int8).reshape(hi - lo, -1).astype(np.float32)
-                x /= np.sqrt((x * x).sum(1))[:, None]
-                at = 0
-                while at < len(x):
-                    part = x[at : at + 512]
-                    if leaders is not None:
-                        c = part @ leaders.T
-                        i, k = np.nonzero(c >= tie_at)
-                        u += ids[lo + at + i].tolist()
-                        v += [names[j] for j in k]
-                        free = np.flatnonzero(~(c >= lead_at).any(1))
-                    else:
-                        free = np.arange(len(part))
-                    while len(free):  # the first that is near no leader becomes one
-                        first = free[0]
-                        me = int(ids[lo + at + first])
-                        c = part @ part[first]
-                        tied = np.flatnonzero(c >= tie_at)
-                        u += ids[lo + at + tied].tolist()
-                        v += [me] * len(tied)
-                        leaders = part[first : first + 1] if leaders is None else np.concatenate([leaders, part[first : first + 1]])
-                        names.append(me)
-                        free = free[1:]
-                        free = free[c[free] < lead_at]
-                    at += 512
-            a, c = np.array(u, np.int64), np.array(v, np.int64)
-            if len(a):
-                both = np.unique(np.stack([a[a != c], c[a != c]]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["u", "v"])
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
+                for rows, x in _unit(part.column(1)).values():
+                    if not len(rows):
+                        continue
+                    small = np.rint(x * 127 / np.abs(x).max(1)[:, None]).astype(np.int8)
+                    back = small / np.sqrt((small.astype(np.float64) ** 2).sum(1))[:, None]
+                    rounding = 2 * np.arcsin(np.minimum(np.sqrt(((x - back) ** 2).sum(1)) / 2, 1)) + 1e-5
+                    yield from out.add(part.column(0).take(pa.array(rows)).to_numpy(), cells(x, plan, seed), rounding, [v.tobytes() for v in small])
+        yield from out.flush()
 
     return run
 
@@ -193,25 +176,22 @@ def _alike(cosine: float):
     return product
 
 
-def near_vectors(
-    vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = 4, probes: int = 2, scale: float = 0.8, blocks: int = 1, seed: int = 5, block_docs: int = 2048
-) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", plan: Plan | None = None, seed: int = 5, block_docs: int = 512) -> DataFrame:
     """One row per input row: id, n_links (other vectors linked directly), component_id, kept (it is its own component).
 
     Vectors that are null, empty, zero or hold null or non-finite numbers are linked with nothing, and only vectors of one
-    length are compared. Rows with a null id have no links and no component and are kept. Rows that repeat an id are one
-    vector if they are equal; each row is returned. Equal vectors are one class that takes part once. Beyond some
-    millions of vectors, blocks = 2 hashes to pairs of lattice points, so that buckets stay small. Other columns are not
-    read, so their names cannot clash.
+    length are compared, long ones too. Rows with a null id have no links and no component and are kept. Rows that repeat
+    an id are one vector if they are equal; each row is returned. Equal vectors are one class that takes part once. The
+    plan follows from the number of classes unless one is given; plans are measured for a cosine of 0.95 and find closer
+    pairs more often. Other columns are not read, so their names cannot clash.
     """
     given = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("p"))
     sound = F.col("id").isNotNull() & F.col("p").isNotNull() & F.forall("p", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("p", lambda x: x != 0)
     good = given.withColumn("sig", F.when(sound, F.sha2(F.array_join(F.col("p").cast("array<string>"), ","), 256)))
     classes, _ = written(good.where("sig is not null").select("sig", "id").distinct().groupBy("sig").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
+    plan = plan or plan_for(classes.count())
     reps = good.join(classes, "sig").where("id = class_id").select("id", "p").dropDuplicates(["id", "p"])
-    posts = map_arrow(reps, _posts(tables, probes, scale, blocks, seed), "key long, id long, v binary")
-    met = posts.repartition("key").sortWithinPartitions("key", "id")
-    edges = map_arrow(met, _leaders(cosine), "u long, v long").distinct()
+    edges = tied(map_arrow(reps, _posts(cosine, plan, seed), POST), math.acos(min(1.0, cosine)), unpacked)
     sizes = classes.groupBy(F.col("class_id").alias("id")).agg(F.max("copies").alias("copies")).withColumn("size", F.lit(1).cast("long"))
     label = cluster_links(edges, sizes, reps, _alike(cosine), block_docs)
     out = good.select("id", "sig").join(classes.join(label, "class_id", "left"), "sig", "left")

@@ -69,23 +69,43 @@ def mix_sources(
 ) -> DataFrame:
     """Each row as often as drawn, in a global random order, with the columns of docs and the two named ones.
 
-    copy_col numbers the copies of a row from 1, order_col is the hash that the result is sorted by; None leaves a column
-    out. Columns of these names in docs are replaced. Rows that repeat id and text are drawn alike and all repeated.
-    Rows with null id or text are drawn by what they have.
+    copy_col numbers the copies of a row from 1, order_col is the hash that the result is in order of; None leaves a column
+    out. Columns of these names in docs are replaced, whatever their case; any other names are free to docs. Rows that
+    repeat id and text are drawn alike and all repeated. Rows with null id or text are drawn by what they have, texts of any
+    length by their digest. No rows give none.
+
+    Rows are dealt by the hash itself, each partition a range of it, which needs no sample of what is drawn.
     """
-    rates, _ = written(target_rates(docs, weights, rows, source_col), "rates")
+    replaced = {c.lower() for c in (copy_col, order_col) if c}
+    cols = [c for c in docs.columns if c.lower() not in replaced]
+    if missing := {c.lower() for c in (id_col, text_col, source_col)} - {c.lower() for c in cols}:
+        raise ValueError(f"columns {sorted(missing)} are missing or named like a column of the result")
+    taken = {c.lower() for c in (*cols, copy_col or "", order_col or "")}
+
+    def free(name: str) -> str:
+        while name in taken:
+            name += "_"
+        return name
+
+    source, rate, key, n, copy, order, part = map(free, ("mix_source", "mix_rate", "mix_id", "mix_n", "mix_copy", "mix_order", "mix_part"))
+    rates, _ = written(target_rates(docs, weights, rows, source_col).toDF(source, rate), "rates")
     if rates.count() <= MOST_SOURCES:  # beyond that the join shuffles, and adaptive execution splits hot sources
         rates = F.broadcast(rates)
-    cols = [c for c in docs.columns if c not in (copy_col, order_col)]
-    own = docs.select(*(F.col(f"`{c}`") for c in cols))
-    key = F.concat_ws(":", F.coalesce(own[id_col].cast("string"), F.lit("")), F.md5(F.coalesce(own[text_col].cast("string"), F.lit(""))))
-    out = own.join(rates, own[source_col].eqNullSafe(rates["mix_source"]))
-    out = out.withColumn("mix_id", key).withColumn("mix_n", repetitions(F.col("mix_id"), F.col("mix_rate"), seed)).where("mix_n > 0")
-    out = out.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_n"))))
-    out = out.withColumn("mix_order", F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), F.col("mix_id"), F.col("mix_copy").cast("string"))), 1, 15))
-    out = out.orderBy("mix_order")
-    more = [F.col(c).cast(kind).alias(name) for c, kind, name in (("mix_copy", "long", copy_col), ("mix_order", "string", order_col)) if name]
-    return out.select(*(F.col(f"`{c}`") for c in cols), *more)
+
+    def col(name):
+        return F.col(f"`{name}`")
+
+    out = docs.select(*map(col, cols)).join(rates, col(source_col).eqNullSafe(col(source)))
+    out = out.withColumn(key, F.concat_ws(":", F.coalesce(col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(col(text_col).cast("string"), F.lit("")))))
+    out = out.withColumn(n, repetitions(col(key), col(rate), seed)).where(col(n) > 0)
+    out = out.withColumn(copy, F.explode(F.sequence(F.lit(1), col(n))))
+    out = out.withColumn(order, F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), col(key), col(copy).cast("string"))), 1, 15))
+    own = [F.col(f"`{c}`") for c in cols] + [col(copy).cast("long").alias(copy), col(order)]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.select(*own, F.floor(F.conv(F.substring(col(order), 1, 8), 16, 10).cast("double") / float(1 << 32) * parts).cast("int").alias(part))
+    out = out.repartitionById(parts, col(part)).sortWithinPartitions(order)
+    more = [col(c).alias(name) for c, name in ((copy, copy_col), (order, order_col)) if name]
+    return out.select(*map(col, cols), *more)
 
 
 def mix_sql(documents: str = "documents", seed: int = 17) -> str:

@@ -17,12 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import cluster_links
-from .meeting import SENT, met
+from .meeting import SENT, buckets_for, met
 from .shared import map_arrow, written
 
 BITS = 48  # of the sampled grams: one that meets another by chance only keeps a set in for longer
 MOST_HOT = 500_000  # frequent grams that are broadcast, 8 MB; any choice of them gives the same links
-BUCKET = 2_000_000  # sampled grams that meet in one bucket
 
 
 def gram_sets(column, n: int, fold: bool):
@@ -163,8 +162,8 @@ def _may_link(classes: DataFrame, texts: DataFrame, num: int, den: int, n: int,
 
     A gram may be counted as common more than once, so a set may stay in for no reason, but none drops out for no reason.
     """
-    buckets = max(64, (classes.agg(F.sum("m")).first()[0] or 0) // BUCKET)
-    common = met(map_arrow(texts, _send(n, fold, per_mille, buckets), SENT), later=False).groupBy(F.col("ref").alias("s1")).agg(F.sum(F.size("hashes")).alias("common"))
+    buckets = buckets_for(classes.agg(F.sum("m")).first()[0] or 0)
+    common = met(map_arrow(texts, _send(n, fold, per_mille, buckets), SENT), False, buckets).groupBy(F.col("ref").alias("s1")).agg(F.sum(F.size("hashes")).alias("common"))
     alone = F.col("m") - F.coalesce("common", F.lit(0))
     return classes.join(common, "s1", "left").where(den * (F.col("n") - alone) >= num * F.col("n")).drop("common")
 
@@ -256,10 +255,10 @@ def _alike(num: int, den: int, n: int, fold: bool):
 def ngram_jaccard_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, fold: bool = True, block_docs: int = 1024, block_grams: int = 2_000_000
 ) -> DataFrame:
-    """One row per input row: id, n_shingles, class_id, component_id, n_links.
+    """One row per input row: id, n_shingles, component_id, class_id, n_links.
 
-    class_id is the smallest id with the same gram set, component_id the smallest id reachable by links (itself
-    included), n_links the number of other documents linked directly, copies among them. Texts that are null, empty or
+    component_id is the smallest id reachable by links (itself included), class_id the smallest id with the same gram
+    set, n_links the number of other documents linked directly, copies among them. Texts that are null, empty or
     without words have no grams and are linked with nothing. Rows with a null id get a null component and no links.
     Rows that repeat an id are the same document if their grams are equal; each row is returned. Other columns are not
     read, so their names cannot clash.
@@ -288,7 +287,7 @@ def ngram_jaccard_join(
     return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(real, F.coalesce("class_id", "id")).alias("class_id"),
         F.when(real, F.coalesce("component", "class_id", "id")).alias("component_id"),
+        F.when(real, F.coalesce("class_id", "id")).alias("class_id"),
         F.when(real, F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
     )

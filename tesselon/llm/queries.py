@@ -73,9 +73,10 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _op8_sql() -> str:
     t = chat.INST
-    escaped = "replace(text, '\\', '\\0')"
-    for sign, control in zip(t.signs, t.controls):
-        escaped = f"replace({escaped}, '{control}', '\\{sign}')"
+    slash, codes = t.codes()
+    escaped = f"replace(text, '\\', '{slash}')"
+    for code, control in zip(codes, t.controls, strict=True):
+        escaped = f"replace({escaped}, '{control}', '{code}')"
     size = "".join(f"WHEN '{x.role}' THEN {len(x.opening) + len(x.closing)} " for x in t.turns)
     return f"""
 WITH turns AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations

@@ -11,6 +11,8 @@ two fingerprints within the radius agree in one block at least, whose table brin
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -172,48 +174,91 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.withColumnRenamed("id", id_col)
 
 
-def near_fingerprints(fps: DataFrame, radius: int, id_col: str = "doc_id", fp_col: str = "fingerprint", block_docs: int = 2048) -> DataFrame:
+MOST_TABLES = 128
+
+
+def agreeing(classes: int, radius: int, bits: int) -> int:
+    """How many blocks a table's key holds: as few as give about a key to each fingerprint, within MOST_TABLES tables."""
+    agree = 1
+    while agree * bits / (radius + agree) < math.log2(max(2, classes)) and math.comb(radius + agree + 1, agree + 1) <= MOST_TABLES:
+        agree += 1
+    return agree
+
+
+def table_keys(fps, radius: int, agree: int):
+    """A key of each fingerprint (a row of bytes) for every choice of `agree` of radius + agree blocks of its bits.
+
+    Two fingerprints within the radius differ in at most `radius` of the blocks, so they agree in all of some choice.
+    """
+    import itertools
+
+    import numpy as np
+
+    from .words import mixed
+
+    bit = np.unpackbits(fps, axis=1)
+    edges = np.linspace(0, bit.shape[1], radius + agree + 1).astype(int)
+    blocks = []
+    for k, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
+        h = np.full(len(fps), np.uint64(k + 1))
+        for c in np.packbits(bit[:, lo:hi], axis=1).T:
+            h = mixed(h ^ c.astype(np.uint64)) + np.uint64(k)
+        blocks.append(h)
+    out = []
+    for t, chosen in enumerate(itertools.combinations(range(radius + agree), agree)):
+        h = np.full(len(fps), np.uint64(t + 1))
+        for k in chosen:
+            h = mixed(h ^ blocks[k])
+        out.append(h)
+    return np.stack(out, axis=1)
+
+
+def _signs(payload: list[bytes]):
+    """Fingerprints as unit vectors of +-1: Hamming distances become angles."""
+    import numpy as np
+
+    bit = np.unpackbits(np.frombuffer(b"".join(payload), np.uint8).reshape(len(payload), -1), axis=1)
+    return (2 * bit.astype(np.float32) - 1) / np.float32(math.sqrt(bit.shape[1]))
+
+
+def near_fingerprints(fps: DataFrame, radius: int, id_col: str = "doc_id", fp_col: str = "fingerprint", agree: int | None = None, block_docs: int = 2048) -> DataFrame:
     """One row per input row: id, class_id (smallest id with an equal fingerprint), component_id and n_links, the number of
-    other rows within the Hamming radius. All fingerprints have one length. Null fingerprints are linked with nothing,
-    null ids get no component.
+    other rows within the Hamming radius.
+
+    All fingerprints (hex) have one length. Null fingerprints are linked with nothing, null ids get no component, repeated
+    rows count once and are each returned; no rows give none. `agree`, which follows from the number of fingerprints unless
+    given, changes the tables, not the result. Other columns are not read.
     """
     from .blocks import cluster_links
+    from .ties import POST, Posts, tied
+
+    given = fps.select(F.col(id_col).cast("long").alias("id"), F.col(fp_col).cast("string").alias("fp"))
+    classes, _ = written(given.where("id is not null and fp is not null").distinct().groupBy("fp").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"), (4 * F.length("fp")).cast("long").alias("bits")), "classes")
+    row = classes.agg(F.count("*").alias("n"), F.max("bits").alias("bits")).first()
+    bits = row["bits"] or 64
+    agree = agree or agreeing(row["n"], radius, bits)
+    angle = math.acos(max(-1.0, 1 - 2 * radius / bits)) + 1e-4
 
     def tables(batches):
         import numpy as np
-        import pyarrow as pa
-
-        from .words import mixed
 
+        out = Posts(angle, _signs)
         for b in batches:
-            fp = [bytes.fromhex(x) for x in b.column(1).to_pylist()]
-            if not fp:
-                continue
-            bit = np.unpackbits(np.frombuffer(b"".join(fp), np.uint8).reshape(len(fp), -1), axis=1)
-            edges = np.linspace(0, bit.shape[1], radius + 2).astype(int)
-            keys = np.zeros((len(fp), radius + 1), np.uint64)
-            for t, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
-                packed = np.packbits(bit[:, lo:hi], axis=1)
-                h = np.full(len(fp), np.uint64(t + 1))
-                for k in range(packed.shape[1]):
-                    h = mixed(h ^ packed[:, k].astype(np.uint64))
-                keys[:, t] = h
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, radius + 1), pa.int32()), pa.array(keys.ravel().view(np.int64)))], ["id", "keys"])
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                raw = [bytes.fromhex(x) for x in part.column(1).to_pylist()]
+                fp = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+                yield from out.add(part.column(0).to_numpy(), table_keys(fp, radius, agree), np.zeros(len(raw)), raw)
+        yield from out.flush()
 
     def alike(payload):
-        import numpy as np
+        x = _signs([bytes.fromhex(x) for x in payload.to_pylist()])
+        return x @ x.T >= 1 - (2 * radius + 1) / bits
 
-        bit = np.unpackbits(np.frombuffer(b"".join(bytes.fromhex(x) for x in payload.to_pylist()), np.uint8).reshape(len(payload), -1), axis=1).astype(np.float32) * 2 - 1
-        return bit.shape[1] - bit @ bit.T <= 2 * radius
-
-    given = fps.select(F.col(id_col).cast("long").alias("id"), F.col(fp_col).cast("string").alias("fp"))
-    classes, _ = written(given.where("id is not null and fp is not null").distinct().groupBy("fp").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
     reps = classes.select(F.col("class_id").alias("id"), "copies", F.lit(1).cast("long").alias("size"), F.col("fp").alias("p"))
-    posts = map_arrow(reps.select("id", "p"), tables, "id long, keys array<long>").select("id", F.explode("keys").alias("key"))
-    lead = posts.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("key", "lead")
-    edges = posts.join(lead, "key").where("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v")).distinct()
+    edges = tied(map_arrow(reps.select("id", "p"), tables, POST), angle, _signs)
     label = cluster_links(edges, reps.select("id", "copies", "size"), reps.select("id", "p"), alike, block_docs)
-    out = given.join(classes.join(label, "class_id", "left"), "fp", "left")
+    out = given.join(classes.drop("bits").join(label, "class_id", "left"), "fp", "left")
     real = F.col("id").isNotNull()
     return out.select(
         F.col("id").alias(id_col),

@@ -4,7 +4,7 @@ A window of `window` words is removed where its words also start in a document o
 of every document would move the corpus several times over. Instead only runs of `window - PERIOD + 1` words are hashed, and
 only where their position modulo PERIOD is in COVER. Every difference of two positions is a difference of two members of
 COVER, so any window found in two documents holds an anchor at the same place of both. Anchors of one document alone are
-dropped, the others extend to all windows around them, and those are compared whole.
+dropped, the others extend to all windows around them, and those are compared by 128-bit hashes of their words.
 
 Hashes meet in compressed blobs, hot ones once a task (see meeting.py). Copies of whole documents have one signature and
 take part once.
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .meeting import SENT, Sender, met
+from .meeting import SENT, Sender, buckets_for, met
 from .shared import map_arrow, written
 
 # A perfect difference cover.
@@ -23,9 +23,9 @@ PERIOD, COVER = 7, (0, 1, 3)
 ANCHOR_BITS = 48  # an anchor that meets another by chance only has its windows compared in vain
 
 
-def _gathered(sent: DataFrame, later: bool) -> DataFrame:
+def _gathered(sent: DataFrame, later: bool, buckets: int) -> DataFrame:
     """(ref, hashes): the distinct hashes of each ref that have met; as many as its document holds at most."""
-    return met(sent, later).select("ref", F.explode("hashes").alias("hash")).groupBy("ref").agg(F.collect_set("hash").alias("hashes"))
+    return met(sent, later, buckets).select("ref", F.explode("hashes").alias("hash")).groupBy("ref").agg(F.collect_set("hash").alias("hashes"))
 
 
 def word_table(column):
@@ -68,12 +68,12 @@ def anchors(words, at, window: int):
     return pos, run_hashes(words, length)[pos] >> np.uint64(64 - ANCHOR_BITS) if len(pos) else np.zeros(0, np.uint64), doc[pos]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, text_out: bool = True, bucket_words: int = 2_000_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, text_out: bool = True) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_sha256 and, with text_out, the kept words joined by one space.
 
     Null, empty and blank texts have no words. Texts under `window` words lose none. Rows with a null id are left whole and
-    take nothing from others. Rows of one id do not take from each other, repeated rows have the same result. Words are
-    compared as they are, windows by 64-bit hashes. Other columns are not read, so their names cannot clash.
+    take nothing from others. Rows of one id do not take from each other, repeated rows have the same result. Very long
+    texts are taken whole, one at a time. Words are compared as they are, windows by 128-bit hashes. Other columns are not read, so their names cannot clash.
     """
     if window < PERIOD:
         raise ValueError(f"window must be at least {PERIOD}")
@@ -95,7 +95,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     long_rows = table.where(F.col("id").isNotNull() & (F.col("n") >= window))
     classes, _ = written(long_rows.groupBy("s1", "s2", "n").agg(F.min("id").alias("class_id")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
-    buckets = max(64, int(total // bucket_words))
+    buckets = buckets_for(int(total) * len(COVER) // PERIOD)
 
     def send_anchors(batches):
         import numpy as np
@@ -111,22 +111,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield from out.add(h[real], s1[doc][real])
         yield from out.flush()
 
-    shared = _gathered(map_arrow(given, send_anchors, SENT), later=False).withColumnRenamed("ref", "s1")
+    shared = _gathered(map_arrow(given, send_anchors, SENT), False, buckets).withColumnRenamed("ref", "s1")
     near = classes.join(shared, "s1").select(F.col("class_id").alias("id"), "s1", "s2", "hashes")
 
     def extend(batches):
         import numpy as np
         import pyarrow as pa
 
-        from .words import run_hashes
-
         for b in batches:
             ids, s1s, s2s, cand = b.column(0), b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3)
             for first, rows, buf, (starts, ends, words), at in word_table(b.column(4)):
                 own1, own2 = signatures(words, at)
                 pos, h, doc = anchors(words, at, window)
                 bound = np.searchsorted(doc, np.arange(len(rows) + 1))
-                whole = run_hashes(words, window)
                 blobs, found, keep = [], [], []
                 for i, text in enumerate(rows):
                     if own1[i] != s1s[first + i] or own2[i] != s2s[first + i]:
@@ -140,14 +137,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     x = x[x <= at[i + 1] - at[i] - window]
                     if len(x):
                         keep.append(first + i)
-                        found.append(np.unique(whole[at[i] + x]))
+                        found.append(x)
                         blobs.append(pa.compress(text, codec="zstd", asbytes=True))
                 if keep:
                     offsets = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in found])]), pa.int32())
                     part = pa.array(keep, pa.int64())
                     sizes = [len(rows[k - first]) for k in keep]
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(part), b.column(1).take(part), b.column(2).take(part), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found).view(np.int64)))],
+                        [ids.take(part), b.column(1).take(part), b.column(2).take(part), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found), pa.int64()))],
                         ["id", "s1", "s2", "size", "blob", "windows"],
                     )
 
@@ -156,16 +153,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def send_windows(batches):
         import numpy as np
+        import pyarrow as pa
+
+        from .words import hashed_words, run_hashes
 
         out = Sender(buckets, 64, True)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                w = b.column(1).slice(at, 512)
-                n = np.diff(np.array(w.offsets))
-                yield from out.add(np.array(w.flatten()).view(np.uint64), np.repeat(b.column(0).slice(at, 512).to_numpy(), n))
+            for i, size, blob, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+                _, _, words = hashed_words(np.frombuffer(pa.decompress(blob, size, codec="zstd", asbytes=True), np.uint8))
+                at = w.values.to_numpy()
+                yield from out.add(run_hashes(words, window)[at], np.full(len(at), i, np.int64), run_hashes(words, window, 1)[at])
         yield from out.flush()
 
-    repeated = _gathered(map_arrow(held.select("id", "windows"), send_windows, SENT), later=True).withColumnRenamed("ref", "id")
+    repeated = _gathered(map_arrow(held.select("id", "size", "blob", "windows"), send_windows, SENT), True, buckets).withColumnRenamed("ref", "id")
 
     def cut(batches):
         import hashlib

@@ -1,19 +1,23 @@
 """Words of UTF-8 text and their 64-bit hashes, over whole Arrow batches with numpy.
 
-A word is a longest run of bytes other than space and 0x09-0x0D. Its hash is a polynomial over random byte values
-modulo 2**64, taken from prefix sums so that no Python loop runs over words, and then mixed.
+A word is a longest run of bytes other than space and 0x09-0x0D. Its bytes are taken eight at a time, all words of a
+batch at once, and each eight are mixed into the hash with every bit spread before the next ones, so that no pattern of
+letters cancels out as it can in a polynomial. Words over LONG bytes are hashed by BLAKE2b.
 """
 
 from __future__ import annotations
 
-import functools
+import hashlib
 
 import numpy as np
 
 PIECE = 1 << 20  # bytes hashed at once; longer texts go piece by piece, cut at white space
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
+LONG = 64
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A") : ord("Z") + 1] += 32
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k bytes of eight
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -25,22 +29,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.cache
-def _values(fold: bool) -> np.ndarray:
-    v = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-    if fold:
-        v[ord("A") : ord("Z") + 1] = v[ord("a") : ord("z") + 1]
-    return v
-
-
-@functools.lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    up, down = np.full(n, _BASE, np.uint64), np.full(n, inverse, np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
 def hashed_words(buf: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends (byte offsets) and hashes of the words of a byte buffer; fold: A-Z count as a-z."""
     parts, at, n = [], 0, len(buf)
@@ -65,21 +53,30 @@ def _piece(buf: np.ndarray, at: int, fold: bool) -> tuple[np.ndarray, np.ndarray
     inside[1:-1] = ~_BLANK[buf]
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    up, down = _powers(max(PIECE, 1 << (len(buf) - 1).bit_length()))
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_values(fold)[buf] * up[: len(buf)], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)
+    data = np.zeros(len(buf) + 8, np.uint8)
+    data[:-8] = _FOLD[buf] if fold else buf
+    eight = np.ndarray((len(buf) + 1,), "<u8", data, 0, (1,))  # the eight bytes from each place on
+    size = ends - starts
+    h = mixed(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    todo, done = np.flatnonzero(size <= LONG), 0
+    while len(todo):
+        left = size[todo] - done
+        h[todo] = mixed(h[todo] ^ (eight[starts[todo] + done] & _FIRST[np.minimum(left, 8)])) + np.uint64(0xD1342543DE82EF95)
+        done += 8
+        todo = todo[left > 8]
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     return starts + at, ends + at, mixed(h)
 
 
-def run_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """A hash for each k consecutive word hashes."""
+def run_hashes(words: np.ndarray, k: int, family: int = 0) -> np.ndarray:
+    """A hash for each k consecutive word hashes; each family is a hash of its own."""
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     total = np.full(n, np.uint64(k), np.uint64)
     for i in range(k):
-        odd = np.uint64((0x9E3779B97F4A7C15 * (2 * i + 3)) & 0xFFFFFFFFFFFFFFFF | 1)
+        odd = np.uint64((0x9E3779B97F4A7C15 * (2 * i + 3 + 1000 * family)) & 0xFFFFFFFFFFFFFFFF | 1)
         total += mixed(words[i : n + i] ^ odd) * odd
     return mixed(total)
 

@@ -50,3 +50,19 @@ def test_ties_and_null_ids_have_one_order(spark):
     rows = [(None, 1, "user", "b", ""), (None, 1, "user", "a", ""), (None, None, "user", "first", ""), (7, 0, "user", "x", ""), (7, 0, "user", "x", "")]
     out = {r["conv_id"]: r["formatted"] for r in chat.format_conversations(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert out == {None: "[INST] first [/INST][INST] a [/INST][INST] b [/INST]", 7: "[INST] x [/INST]" * 2}
+
+
+def test_templates_of_many_controls(spark):
+    controls = tuple(f"<{k}>" for k in range(100)) + chat.INST.controls
+    t = chat.Template(turns=chat.INST.turns, other=chat.INST.other, controls=controls, moves=chat.INST.moves)
+    slash, codes = t.codes()
+    assert len({slash, *codes}) == len(controls) + 1 == 110 and {len(c) for c in (slash, *codes)} == {3}
+    convs = {1: [("user", "<36> \\11 <99></s>"), ("assistant", "<7><8>\\\\z<77>")]}
+    out = chat.format_conversations(frame(spark, convs), t).select("formatted", chat.read_back(F.col("formatted"), t).alias("back")).first()
+    assert [(x["role"], x["text"]) for x in out["back"]] == convs[1] and "<99>" not in out["formatted"]
+
+
+@pytest.mark.parametrize("control", ["", "a\\b", "1x", "z>"])
+def test_controls_that_cannot_be_read_back_are_refused(control):
+    with pytest.raises(ValueError):
+        chat.Template(turns=(), other=("", "", ""), controls=(control,), moves={})

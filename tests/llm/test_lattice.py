@@ -61,6 +61,42 @@ def test_matches_brute_force(spark):
     assert got(spark, rows, block_docs=10) == brute(rows)
 
 
+@pytest.mark.parametrize("plan", range(len(lattice.PLANS)))
+def test_every_plan_finds_links_at_the_threshold(plan):
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(size=(2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    x, y = (lattice.cells(v, lattice.PLANS[plan], 5) for v in (a, 0.95 * a + np.sqrt(1 - 0.95**2) * b))
+    assert np.mean([bool(set(p) & set(q)) for p, q in zip(x.tolist(), y.tolist())]) >= 0.975
+
+
+def test_comparisons_stay_flat():
+    rng = np.random.default_rng(3)
+    met = {}
+    for n in (50_000, 500_000):
+        x = rng.normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        keys = np.concatenate([lattice.cells(x[k : k + 20_000], lattice.plan_for(n), 5).ravel() for k in range(0, n, 20_000)])
+        size = np.diff(np.flatnonzero(np.concatenate([[True], np.diff(np.sort(keys)) != 0, [True]])))
+        met[n] = (size.astype(float) * (size - 1)).sum() / n
+    assert met[500_000] < 2 * met[50_000] + 50 and max(met.values()) < 1000, met
+
+
+def test_hot_cells_are_thinned(monkeypatch, spark):
+    from tesselon.llm import ties
+
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=64)
+    rows = [(i, (base + rng.normal(size=64) * 0.12).tolist()) for i in range(500)] + [(1000 + i, rng.normal(size=64).tolist()) for i in range(50)]
+    want = brute(rows)
+    assert got(spark, rows) == want
+    monkeypatch.setattr(ties, "FLUSH", 300)
+    monkeypatch.setattr(ties, "HOT", 3)
+    assert got(spark, rows, block_docs=100) == want
+
+
 def test_recall_at_the_threshold(spark):
     rng = np.random.default_rng(8)
     rows = []

@@ -79,3 +79,21 @@ def test_more_sources_than_are_broadcast(spark, monkeypatch):
     want = [(r["doc_id"], r["copy"]) for r in mix_sources(frame(spark)).collect()]
     monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
     assert [(r["doc_id"], r["copy"]) for r in mix_sources(frame(spark)).collect()] == want
+
+
+def test_any_other_column_names_are_free(spark):
+    names = ["mix_source", "mix_rate", "mix_id", "mix_n", "mix_copy", "mix_order", "mix_part", "MIX_KEY"]
+    df = frame(spark, 200).select("doc_id", "text", "source", *(mix_col(n) for n in names))
+    out = mix_sources(df)
+    assert out.columns == ["doc_id", "text", "source", *names[:-1], "copy", "mix_key"]
+    rows = out.collect()
+    assert rows and all(r[n] == f"own {n} {r['doc_id']}" for r in rows for n in names[:-1])
+    assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in mix_sources(frame(spark, 200)).collect())
+    with pytest.raises(ValueError):
+        mix_sources(df, copy_col="text")
+
+
+def mix_col(name):
+    from pyspark.sql import functions as F
+
+    return F.concat(F.lit(f"own {name} "), F.col("doc_id").cast("string")).alias(name)

@@ -70,6 +70,20 @@ def test_long_texts_null_ids_and_no_rows(spark):
     assert ngram_jaccard_join(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_words_that_collide_in_polynomials(spark):
+    x, y = "a", "b"
+    for _ in range(10):
+        x, y = x + y, y + x
+    rows = [(1, x), (2, y), (3, f"one two {x}"), (4, f"one two {y}"), (5, f"ONE two {x}")]
+    assert got(spark, rows, 3, 90, 100) == brute(rows, 3, 90, 100)
+
+
+def test_contract_columns_come_first(spark):
+    from tesselon.llm.ngram_join import ngram_jaccard_join
+
+    assert ngram_jaccard_join(spark.createDataFrame([], SCHEMA)).columns[:3] == ["doc_id", "n_shingles", "component_id"]
+
+
 def test_repeated_rows(spark):
     text = "a b c d e f g h"
     rows = [(5, text), (5, text), (4, text)]

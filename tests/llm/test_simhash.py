@@ -42,7 +42,8 @@ def test_one_row_and_none_and_repeats(spark):
     assert len(simhash.compare_neighbours(spark.createDataFrame(rows, SCHEMA)).collect()) == 5
 
 
-def test_search_finds_all_within_the_radius(spark):
+@pytest.mark.parametrize("agree", [None, 1, 2, 3])
+def test_search_finds_all_within_the_radius(spark, agree):
     r = random.Random(9)
     fps = []
     for _ in range(40):
@@ -50,7 +51,7 @@ def test_search_finds_all_within_the_radius(spark):
         fps += [base ^ sum(1 << b for b in r.sample(range(64), r.randrange(6))) for _ in range(6)] + [base] * 2
     rows = [(i, f"{x:016x}") for i, x in enumerate(fps)]
     df = spark.createDataFrame([*rows, (9000, None), (None, rows[0][1])], "doc_id long, fingerprint string")
-    out = {x["doc_id"]: (x["component_id"], x["n_links"]) for x in simhash.near_fingerprints(df, 3, block_docs=3).collect()}
+    out = {x["doc_id"]: (x["component_id"], x["n_links"]) for x in simhash.near_fingerprints(df, 3, agree=agree, block_docs=3).collect()}
     comp, links = {i: i for i, _ in rows}, dict.fromkeys(range(len(rows)), 0)
 
     def find(x):
@@ -66,3 +67,19 @@ def test_search_finds_all_within_the_radius(spark):
             comp[y] = x
     assert {i: (find(i), links[i]) for i, _ in rows} == {i: v for i, v in out.items() if i is not None and i < 9000}
     assert out[9000] == (9000, 0) and out[None] == (None, 0)
+
+
+def test_tables_hold_every_pair_within_the_radius():
+    import numpy as np
+
+    r = random.Random(1)
+    for bits, radius, agree in ((64, 3, 1), (64, 5, 2), (256, 8, 2), (256, 20, 2)):
+        a = [r.getrandbits(bits) for _ in range(200)]
+        b = [x ^ sum(1 << k for k in r.sample(range(bits), radius)) for x in a]
+        x, y = (simhash.table_keys(np.frombuffer(b"".join(v.to_bytes(bits // 8, "big") for v in c), np.uint8).reshape(200, -1), radius, agree) for c in (a, b))
+        assert (x == y).any(1).all()
+    assert simhash.agreeing(10, 8, 256) == 1 and simhash.agreeing(10**10, 8, 256) == 2
+
+
+def test_search_of_no_rows(spark):
+    assert simhash.near_fingerprints(spark.createDataFrame([], "doc_id long, fingerprint string"), 3).collect() == []

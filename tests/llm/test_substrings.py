@@ -55,9 +55,22 @@ def test_matches_brute_force(spark, seed):
 
 
 def test_small_flushes_and_other_windows(spark, monkeypatch):
+    from tesselon.llm import meeting
+
     rows = corpus(3, 80)
     assert got(spark, rows, window=7) == brute(rows, 7)
-    assert got(spark, rows, window=20, bucket_words=50) == brute(rows, 20)
+    monkeypatch.setattr(meeting, "BUCKET", 5)
+    assert got(spark, rows, window=20) == brute(rows, 20)
+
+
+def test_words_that_collide_in_polynomials(spark):
+    x, y = "a", "b"
+    for _ in range(10):
+        x, y = x + y, y + x
+    start = [f"w{i}" for i in range(12)]
+    rows = [(1, " ".join([*start, x])), (2, " ".join([*start, y])), (3, " ".join([*start, x, y]))]
+    assert got(spark, rows) == brute(rows)
+    assert brute(rows)[1][2] == 0 and brute(rows)[2][2] == 13
 
 
 def test_odd_rows(spark):
@@ -71,12 +84,24 @@ def test_odd_rows(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_blobs_round_trip():
+@pytest.mark.parametrize("checked", [False, True])
+def test_blobs_round_trip(checked):
     import numpy as np
 
     from tesselon.llm.meeting import packed, unpacked
 
     rng = np.random.default_rng(1)
     h, r = rng.integers(0, 1 << 48, 5000, dtype=np.uint64), rng.integers(-(1 << 62), 1 << 62, 5000)
-    back = [unpacked(size, blob) for _, size, blob, _, _ in packed(h, r, 7, 48, False) if blob]
-    assert sorted(zip(h.tolist(), r.tolist())) == sorted((a, b) for x, y in back for a, b in zip(x.tolist(), y.tolist()))
+    c = rng.integers(0, 1 << 62, 5000, dtype=np.uint64) if checked else None
+    back = [unpacked(size, blob) for _, size, blob, _, _ in packed(h, r, c, 7, 48, False) if blob]
+    assert sorted(zip(h.tolist(), r.tolist(), c.tolist() if checked else h.tolist())) == sorted((a, b, d) for x, z, y in back for a, b, d in zip(x.tolist(), y.tolist(), (z if checked else x).tolist()))
+
+
+def test_equal_hashes_with_unlike_checks_do_not_meet():
+    import numpy as np
+
+    from tesselon.llm.meeting import packed
+
+    h = np.array([5, 5, 5, 9, 9], np.uint64) << np.uint64(50)
+    rows = list(packed(h, np.array([1, 2, 3, 4, 5]), np.array([7, 8, 7, 1, 1], np.uint64), 3, 64, True))
+    assert sorted((r[3], [x >> 50 for x in r[4].tolist()]) for r in rows if r[2] is None) == [(3, [5]), (5, [9])]
