@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import connected_components, map_arrow, written
+from .shared import connected_components, dropped, map_arrow, written
 
 
 def _forest(alike, order):
@@ -88,15 +88,17 @@ def cluster_links(edges: DataFrame, reps: DataFrame, payload: DataFrame, alike:
     ratio: the smaller size of two linked documents is at least so much of the larger one; None: sizes don't matter.
     A tile holds at most about 2 * block_docs documents and 2 * block_size of summed size, or one document.
     """
-    near, _ = written(edges, "candidates")
-    blocks, _ = connected_components(near)
+    spark = edges.sparkSession
+    near, candidates = written(edges, "candidates")
+    blocks, forest = connected_components(near)
+    dropped(spark, candidates)
     members = blocks.union(blocks.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "id").join(reps, "id")
     whole = members.groupBy("component").agg(((F.count("*") <= block_docs) & (F.sum("size") <= block_size)).alias("whole"))
     # Sizes of two linked documents fall into one band or two neighbouring ones; the bands are a little wider than needed.
     band = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / (1.0001 * math.log(1 / ratio))) if ratio else F.lit(0)
     members = members.join(whole, "component").withColumn("band", F.when(F.col("whole"), F.lit(0)).otherwise(band).cast("long"))
     cut = members.groupBy("component", "band").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_size), F.lit(1)).cast("long").alias("cuts"))
-    cut, _ = written(cut, "cuts")
+    cut, cuts = written(cut, "cuts")
     # The cuts of a band and of its neighbours, in one row.
     around = cut.select("component", F.explode(F.array(*(F.struct((F.col("band") + d).alias("band"), F.lit(d).alias("d")) for d in (-1, 0, 1)))).alias("b"), "cuts")
     around = around.groupBy("component", F.col("b.band").alias("band")).agg(*(F.coalesce(F.max(F.when(F.col("b.d") == d, F.col("cuts"))), F.lit(0)).alias(f"cuts{d}") for d in (-1, 0, 1)))
@@ -116,6 +118,8 @@ def cluster_links(edges: DataFrame, reps: DataFrame, payload: DataFrame, alike:
     work = tiled.join(payload, "id").select("component", "t1", "t2", "id", "side", "copies", "p")
     work = work.repartition("component", "t1", "t2").sortWithinPartitions("component", "t1", "t2", "id")
     found, _ = written(map_arrow(work, _tiles(alike), "id long, root long, n_links long"), "links")
+    for path in (forest, cuts):
+        dropped(spark, path)
     linked, _ = connected_components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
     label = found.groupBy("id").agg(F.sum("n_links").alias("links")).join(linked.withColumnRenamed("node", "id"), "id", "left")
     return label.select(F.col("id").alias("class_id"), "component", "links")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .blocks import cluster_links
 from .meeting import SENT, buckets_for, met
-from .shared import map_arrow, written
+from .shared import dropped, map_arrow, written
 
 BITS = 48  # of the sampled grams: one that meets another by chance only keeps a set in for longer
 MOST_HOT = 500_000  # frequent grams that are broadcast, 8 MB; any choice of them gives the same links
@@ -90,7 +90,7 @@ def hot_grams(texts: DataFrame, n: int, fold: bool, most: int):
         if size:
             yield out()
 
-    seen, _ = written(map_arrow(texts.select("text"), count, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c")), "frequent")
+    seen, path = written(map_arrow(texts.select("text"), count, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c")), "frequent")
     # The lowest of some hundred thresholds that not more than `most` grams reach.
     step = F.floor(F.log("c") * 8).cast("int")
     least, above = None, 0
@@ -100,8 +100,10 @@ def hot_grams(texts: DataFrame, n: int, fold: bool, most: int):
             break
         least = row["step"]
     if least is None:
+        dropped(texts.sparkSession, path)
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     top = seen.where(step >= least).toArrow()
+    dropped(texts.sparkSession, path)
     grams, times = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
     order = np.argsort(grams)
     return grams[order], times[order]
@@ -270,18 +272,20 @@ def ngram_jaccard_join(
     classes, _ = written(sets.distinct().groupBy("s1", "s2", "n", "m").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
     large = classes.where(F.col("n") * (den - num) >= num)  # smaller sets are linked to equal ones only
     may = _may_link(large, given, num, den, n, fold, per_mille)
-    first, _ = written(may.select(F.col("class_id").alias("id"), "s1", "s2", "n", "copies").join(given, "id"), "sampled")
+    first, sampled_at = written(may.select(F.col("class_id").alias("id"), "s1", "s2", "n", "copies").join(given, "id"), "sampled")
     # Once more with all grams, among those that are left.
     some = first.select(F.col("id").alias("class_id"), "s1", "s2", "n", F.col("n").alias("m"), "copies").distinct()
     may = _may_link(some, first.select("id", "text"), num, den, n, fold, 1000)
     wide = may.select(F.col("class_id").alias("id"), "s1", "s2", "copies").join(first.select("id", "text"), "id").select("id", "s1", "s2", "copies", "text")
     hot = docs.sparkSession.sparkContext.broadcast(hot_grams(first, n, fold, MOST_HOT))
-    docs_left, _ = written(map_arrow(wide, _keys(num, den, n, fold, hot), "id long, n long, copies long, keys array<long>, text string"), "survivors")
+    docs_left, survivors = written(map_arrow(wide, _keys(num, den, n, fold, hot), "id long, n long, copies long, keys array<long>, text string"), "survivors")
+    dropped(docs.sparkSession, sampled_at)
     posts = docs_left.select("id", F.explode("keys").alias("key"))
     lead = posts.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("key", "lead")
     near = posts.join(lead, "key").where("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v")).distinct()
     sizes = docs_left.groupBy("id").agg(F.max("copies").alias("copies"), F.max("n").alias("size"))
     label = cluster_links(near, sizes, docs_left.select("id", F.col("text").alias("p")), _alike(num, den, n, fold), block_docs, block_grams, num / den)
+    dropped(docs.sparkSession, survivors)
     out = feats.select("id", "n", "s1", "s2").join(classes.drop("m").join(label, "class_id", "left"), ["s1", "s2", "n"], "left")
     real = F.col("id").isNotNull()
     return out.select(

@@ -1,6 +1,9 @@
 """A quality classifier by hierarchical empirical Bayes.
 
-A logistic model of surface features gives each document its evidence. Grouped aggregation over all documents gives each
+A logistic model gives each document its evidence, from surface features and from a lexicon: the log-odds of good quality
+of each of BUCKETS classes of words (by hash), counted over the labelled documents by grouped aggregation. A labelled
+document's own lexical score comes from the other half of the labels, so that the model learns what the score is worth
+for documents it has not seen. Grouped aggregation over all documents gives each
 host (source) and each path of a host (source and language) its mean quality, shrunk towards the level above: a group
 of n documents with mean m becomes (n m + k p) / (n + k), where p is the level above and k, the strength of that prior, is
 estimated by moments from how much the groups differ. A document's posterior replaces the model's base rate by that of
@@ -16,15 +19,19 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import map_arrow, written
+from .shared import dropped, map_arrow, written
 
-FEATURES = ("log_words", "upper", "digits", "symbols", "pipes", "marks", "points", "high", "same_next", "distinct", "top", "runs", "word_length", "lines", "long_words")
+FEATURES = ("log_words", "upper", "digits", "symbols", "pipes", "marks", "points", "high", "same_next", "distinct", "top", "runs", "word_length", "lines", "long_words", "lexical")
+BUCKETS = 1 << 13  # classes of words in the lexicon
 MOST_SITES = 100_000  # paths that are broadcast: at most some 10 MB
 _SIGNS = {"symbols": b"#$%&*@^~=+<>{}[]\\/_", "pipes": b"|", "marks": b"!?", "points": b".,;:", "lines": b"\n", "digits": b"0123456789"}
 
 
-def features(column):
-    """A float64 matrix of FEATURES for the rows of an Arrow string column, and the number of words of each."""
+def features(column, lexicon=None):
+    """A float64 matrix of FEATURES for the rows of an Arrow string column, and the number of words of each.
+
+    The lexical one is the mean log-odds of the distinct words in the lexicon (BUCKETS numbers), 0 without one.
+    """
     import numpy as np
 
     from .words import hashed_words, joined, run_hashes
@@ -47,14 +54,16 @@ def features(column):
         length = np.concatenate([[0], np.cumsum(ends - starts)])
         big = np.concatenate([[0], np.cumsum(ends - starts > 24)])
         runs = run_hashes(words, 3)
-        distinct, top, fresh = np.ones(len(rows)), np.zeros(len(rows)), np.ones(len(rows))
+        distinct, top, fresh, lexical = np.ones(len(rows)), np.zeros(len(rows)), np.ones(len(rows)), np.zeros(len(rows))
         for i in np.flatnonzero(n):
-            _, times = np.unique(words[at[i] : at[i + 1]], return_counts=True)
+            own, times = np.unique(words[at[i] : at[i + 1]], return_counts=True)
             distinct[i], top[i] = len(times) / n[i], times.max() / n[i] if n[i] > 3 else 0
+            if lexicon is not None:
+                lexical[i] = lexicon[bucket(own)].mean()
             if n[i] > 3:
                 fresh[i] = len(np.unique(runs[at[i] : at[i + 1] - 2])) / (n[i] - 2)
         x = [np.log1p(n), c["up"] / np.maximum(c["up"] + c["low"], 1), c["digits"] / size, np.minimum(c["symbols"] / w, 2), np.minimum(c["pipes"] / w, 1), np.minimum(c["marks"] / w, 2), np.minimum(c["points"] / w, 2), c["high"] / size]
-        x += [(total[at[1:]] - total[at[:-1]]) / w, distinct, top, 1 - fresh, np.minimum((length[at[1:]] - length[at[:-1]]) / w, 30), np.minimum(c["lines"] / w, 1), (big[at[1:]] - big[at[:-1]]) / w]
+        x += [(total[at[1:]] - total[at[:-1]]) / w, distinct, top, 1 - fresh, np.minimum((length[at[1:]] - length[at[:-1]]) / w, 30), np.minimum(c["lines"] / w, 1), (big[at[1:]] - big[at[:-1]]) / w, lexical]
         parts.append(np.stack(x, axis=1))
         counts.append(n)
     if not parts:
@@ -84,28 +93,80 @@ def fit(x, y, penalty: float = 1.0, rounds: int = 50):
     return mean.tolist(), sd.tolist(), w.tolist()
 
 
-def _matrix(batches):
+def bucket(words):
+    """The lexicon's place for each word hash."""
+    import numpy as np
+
+    return (words >> np.uint64(64 - (BUCKETS - 1).bit_length())).astype(np.int64)
+
+
+def _presence(batches):
+    """(fold, y, bucket) once for each bucket that a labelled text has a word of; bucket -1 for the text itself."""
+    import numpy as np
     import pyarrow as pa
 
+    from .words import hashed_words, joined
+
     for b in batches:
-        for at in range(0, b.num_rows, 512):
-            part = b.slice(at, 512)
-            x, _ = features(part.column(1))
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in x.T)], ["y", *FEATURES])
+        for first, rows, buf, offsets in joined(b.column(2)):
+            starts, _, words = hashed_words(buf)
+            at = np.searchsorted(starts, offsets)
+            found = [np.concatenate([[-1], np.unique(bucket(words[p:q]))]) for p, q in zip(at[:-1], at[1:])]
+            row = pa.array(np.repeat(np.arange(first, first + len(rows)), [len(f) for f in found]))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(np.concatenate(found))], ["fold", "y", "bucket"])
+
+
+def log_odds(counts, smooth: float = 2.0):
+    """The lexicon of counts, (BUCKETS + 1) by 2: labelled texts of each class that have a word of a bucket, and last all texts."""
+    import numpy as np
+
+    share = (counts[:-1] + smooth) / (counts[-1] + 2 * smooth)
+    return np.log(share[:, 1]) - np.log(share[:, 0])
+
+
+def _matrix(lexicons):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                for fold in (0, 1):
+                    mine = part.filter(pa.array(part.column(0).to_numpy() == fold))
+                    if mine.num_rows:
+                        x, _ = features(mine.column(2), np.array(lexicons.value[1 - fold]))
+                        yield pa.RecordBatch.from_arrays([mine.column(1), *(pa.array(c) for c in x.T)], ["y", *FEATURES])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"):
-    """A model fitted on at most max_labels labelled rows, those of the smallest hash of their id; None if there are not both classes."""
+    """A model fitted on at most max_labels labelled documents, those of the smallest hash of their id; None if there are not both classes.
+
+    Of the labels of one id the smallest counts, and of its texts the first in order, so that no more rows than that leave
+    the grouped aggregation.
+    """
     import numpy as np
 
     some = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).cast("double").alias("y"))
     some = some.orderBy(F.md5(F.col("__id").cast("string")), "__id").limit(max_labels)
-    one = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    rows = one.join(F.broadcast(some), "__id").select("y", "__text")
-    found = map_arrow(rows, _matrix, "y double, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow()
-    data = np.column_stack([found.column(i).to_numpy() for i in range(found.num_columns)]) if found.num_rows else np.zeros((0, 1 + len(FEATURES)))
+    one = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
+    rows = one.join(F.broadcast(some), "__id").groupBy("__id").agg(F.min("y").alias("y"), F.min("__text").alias("__text"))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("__id").cast("string")), F.lit(2)).cast("long")
+    rows, path = written(rows.select(fold.alias("fold"), (F.col("y") > 0.5).cast("long").alias("y"), "__text"), "labelled")
+    counts = np.zeros((2, BUCKETS + 1, 2))
+    for r in map_arrow(rows, _presence, "fold long, y long, bucket long").groupBy("fold", "y", "bucket").agg(F.count("*").alias("n")).collect():  # 4 * (BUCKETS + 1) rows at most
+        counts[r["fold"], r["bucket"], r["y"]] = r["n"]
+    if not (counts[:, -1].sum(0) > 0).all():
+        return None
+    lexicons = docs.sparkSession.sparkContext.broadcast([log_odds(c).tolist() for c in counts])
+    found = map_arrow(rows, _matrix(lexicons), "y long, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow()
+    dropped(docs.sparkSession, path)
+    data = np.column_stack([found.column(i).to_numpy() for i in range(found.num_columns)]).astype(float)
     data = data[np.lexsort(data.T)]  # the same sums in whatever order the rows came
-    return fit(data[:, 1:], (data[:, 0] > 0.5).astype(float))
+    model = fit(data[:, 1:], data[:, 0])
+    return model and (*model, log_odds(counts.sum(0)).tolist())
 
 
 def with_evidence(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
@@ -113,19 +174,20 @@ def with_evidence(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     from pyspark.sql import types as T
 
     at, names = docs.columns.index(text_col), [*docs.columns, "__logit", "__words"]
+    given = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        mean, sd, w, lexicon = (np.array(v) for v in given.value) if given.value else [None] * 4
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
                 text = part.column(at)
-                x, n = features(text if pa.types.is_string(text.type) else text.cast(pa.string()))
+                x, n = features(text if pa.types.is_string(text.type) else text.cast(pa.string()), lexicon)
                 logit = np.zeros(len(x))
-                if model:
-                    mean, sd, w = (np.array(v) for v in model)
+                if w is not None:
                     logit = w[0] + np.clip((x - mean) / sd, -8, 8) @ w[1:]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.clip(logit, -30, 30)), pa.array(n)], names)
 
@@ -174,8 +236,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_lab
     """docs with evidence (log-odds), host_posterior, path_posterior, posterior and keep; columns of these names are replaced.
 
     Texts without words (null, empty, blank) are never kept. A null host or path is a group like others. Without labels of
-    both classes the evidence is 0, and all texts with words are kept. Repeated rows are each scored. Of the labels of one
-    id the smallest counts.
+    both classes the evidence is 0, and all texts with words are kept. Repeated rows are each scored, texts of any length
+    whole, no rows give none. Of the labels of one id the smallest counts.
     """
     new = ("evidence", "host_posterior", "path_posterior", "posterior", "keep")
     own = docs.drop(*new, "__logit", "__words")

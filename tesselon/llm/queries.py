@@ -41,10 +41,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text, and their likeness."""
-    from .simhash import compare_neighbours
+    """Fingerprints of every document and of its edited text, their likeness, and the search for near ones."""
+    from .simhash import compare_neighbours, with_near
 
-    return compare_neighbours(_table(spark, sf_dir, "documents"))
+    return with_near(compare_neighbours(_table(spark, sf_dir, "documents")))
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,11 +17,16 @@ _made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where the cluster names none (tests), one of our own for this session."""
+    """The folder of spark.checkpoint.dir; where none is named, one of our own, but only if all of Spark is one process."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
+    return _local_dir(spark.sparkContext.applicationId, spark.sparkContext.master)
+
+
+def _local_dir(app: str, master: str) -> str:
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     if app not in _own_dir:
         _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="tesselon-")
     return _own_dir[app]

@@ -1,12 +1,12 @@
 """Document fingerprints by SimHash.
 
-The terms of a text are its runs of five words (all its words, if it has fewer), its single words at a quarter of the
-weight, and, fading out towards 600 code points, its runs of four code points; a term that occurs c times weighs
-1 + ln c. Each term's hash votes with its weight on every bit of the fingerprint. Weights are whole numbers of
+The terms of a text are its words and its pairs of neighbouring words, whatever its length; a term that occurs c times
+weighs 1 + ln c. Each term's hash votes with its weight on every bit of the fingerprint. Weights are whole numbers of
 sixteenths, so that sums are exact and equal texts have equal fingerprints everywhere.
 
-Fingerprints within a Hamming radius are found by permuted block tables: the bits are cut into radius + 1 blocks, and
-two fingerprints within the radius agree in one block at least, whose table brings them together.
+Fingerprints within a Hamming radius are found by permuted block tables: the bits are cut into radius + agree blocks, and
+two fingerprints within the radius agree in `agree` blocks at least, whose table brings them together. What a table brings
+together is compared before anything else is built on it (see ties.py).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .shared import map_arrow, written
 
-WORDS, CHARS, SHORT = 5, 4, 600
+RADIUS = 8  # bits that near fingerprints may differ in, of 256
 
 
 def fingerprints(texts: list[str], bits: int = 256):
@@ -34,23 +34,16 @@ def fingerprints(texts: list[str], bits: int = 256):
     data = [t.encode("utf-8", "replace") for t in texts]
     cut = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
     starts, _, words = hashed_words(np.frombuffer(b"\n".join(data) + b"\n", np.uint8))
-    runs = run_hashes(words, WORDS)
+    pairs = run_hashes(words, 2)
     at = np.searchsorted(starts, cut)
     salt = mixed(np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
-    def weighed(terms, weight):
-        u, c = np.unique(terms, return_counts=True)
-        return u, np.rint(16 * weight * (1 + np.log(c))).astype(np.float32)
-
-    for i, text in enumerate(texts):
+    for i in range(len(texts)):
         a, b = at[i], at[i + 1]
         if a == b:
             continue
-        parts = [weighed(runs[a : b - WORDS + 1] if b - a >= WORDS else run_hashes(words[a:b], int(b - a)), 1.0), weighed(mixed(words[a:b] ^ np.uint64(0xE7037ED1A0B428DB)), 0.25)]
-        if CHARS <= len(text) < SHORT:
-            points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-            parts.append(weighed(run_hashes(mixed(points), CHARS), 0.5 * (1 - len(text) / SHORT)))
-        terms, weights = (np.concatenate(x) for x in zip(*parts))
+        terms, times = (np.concatenate(x) for x in zip(*(np.unique(t, return_counts=True) for t in (words[a:b], pairs[a : b - 1]))))
+        weights = np.rint(16 * (1 + np.log(times))).astype(np.float32)
         votes = np.zeros(bits, np.float64)
         for k in range(0, len(terms), 4096):
             h = mixed(terms[k : k + 4096, None] ^ salt[None, :])
@@ -69,7 +62,9 @@ def likeness(a, b):
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 256, fp_col: str = "fingerprint") -> DataFrame:
-    """One row per input row: id and fingerprint (hex). Null, empty and blank texts give 0s. Other columns are not read."""
+    """One row per input row: id and fingerprint (hex). Null, empty and blank texts give 0s, texts of any length are taken
+    whole, repeated rows and null ids stay as they are. Other columns are not read.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -121,7 +116,8 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     The documents are range-partitioned once; each task compares the rows it holds, and only the first and last row of
     each partition, at most two a partition, meet again to be compared across partitions. Null texts count as empty,
-    null ids come last. One document alone follows itself. Repeated rows follow one another. Other columns are not read.
+    null ids come last. One document alone follows itself. Repeated rows follow one another, no rows give none. Texts of
+    any length are taken whole. Other columns are not read.
     """
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -266,3 +262,13 @@ def near_fingerprints(fps: DataFrame, radius: int, id_col: str = "doc_id", fp_co
         F.when(real, F.coalesce("component", "class_id", "id")).alias("component_id"),
         F.when(real, F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def with_near(compared: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", fp_col: str = "fingerprint") -> DataFrame:
+    """compared with near_component, the smallest id reachable over fingerprints within the radius, and n_near, the number of
+    other rows within it. Rows without an id get none and 0.
+    """
+    rows, _ = written(compared, "compared")
+    found = near_fingerprints(rows, radius, id_col, fp_col).where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min("component_id").alias("near_component"), F.max("n_links").alias("n_near"))
+    out = rows.join(found, F.col(id_col) == F.col("__id"), "left").drop("__id")
+    return out.withColumn("n_near", F.coalesce("n_near", F.lit(0).cast("long")))

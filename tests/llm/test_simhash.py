@@ -1,5 +1,8 @@
 import hashlib
+import math
 import random
+import re
+from collections import Counter
 from itertools import combinations
 
 import pytest
@@ -15,6 +18,68 @@ def text(r, n):
     return " ".join(f"w{r.randrange(3000)}" for _ in range(n))
 
 
+M = (1 << 64) - 1
+
+
+def mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & M
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & M
+    return x ^ x >> 31
+
+
+def word_hash(w):
+    h = mix(len(w) + 0x9E3779B97F4A7C15 & M)
+    if len(w) > 64:
+        return mix(int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little"))
+    for k in range(0, len(w), 8):
+        h = mix(h ^ int.from_bytes(w[k : k + 8], "little")) + 0xD1342543DE82EF95 & M
+    return mix(h)
+
+
+def run_hash(hashes):
+    total = len(hashes)
+    for i, h in enumerate(hashes):
+        odd = 0x9E3779B97F4A7C15 * (2 * i + 3) & M | 1
+        total += mix(h ^ odd) * odd
+    return mix(total & M)
+
+
+def plain(text):
+    """The fingerprint by the rules alone, in whole numbers."""
+    words = [word_hash(w.encode()) for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    terms = Counter(words) + Counter(run_hash(p) for p in zip(words, words[1:]))
+    out = []
+    for lane in range(4):
+        salt = mix((lane + 1) * 0xA0761D6478BD642F & M)
+        votes = [0] * 64
+        for t, c in terms.items():
+            h, weight = mix(t ^ salt), round(16 * (1 + math.log(c)))
+            for k in range(64):
+                votes[k] += weight if h >> k & 1 else -weight
+        # the bits of a lane from its lowest byte on, the highest bit of each byte first
+        out += [sum((votes[8 * b + 7 - k] > 0) << 7 - k for k in range(8)) for b in range(8)]
+    return bytes(out).hex()
+
+
+def test_fingerprints_by_the_rules(spark):
+    r = random.Random(2)
+    texts = ["", " \n", "one", "one one one", "a b", "é🙂 x\u00a0y \t z", "x" * 64, "x" * 65, "x" * 1000 + " y", *(text(r, n) for n in (3, 10, 60, 400))]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], SCHEMA)
+    got = {x["doc_id"]: x["fingerprint"] for x in simhash.fingerprint_documents(df).collect()}
+    assert [got[i] for i in range(len(texts))] == [plain(t) for t in texts]
+
+
+def test_query_finds_near_documents(spark):
+    r = random.Random(6)
+    base = text(r, 900)
+    texts = [base, base, base + " end", text(r, 900), None, text(r, 5), None]
+    out = simhash.with_near(simhash.compare_neighbours(spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], SCHEMA)))
+    assert out.columns[:7] == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    fp = [int(plain(t or ""), 16) for t in texts]
+    near = {i: [j for j in range(7) if j != i and bin(fp[i] ^ fp[j]).count("1") <= simhash.RADIUS] for i in range(7)}
+    assert near[0] == [1, 2] and {x["doc_id"]: x["n_near"] for x in out.collect()} == {i: len(n) for i, n in near.items()}
+
+
 def test_neighbours(spark):
     r = random.Random(4)
     rows = [(i * 7 % 401 + (10**12 if i % 5 == 0 else 0), text(r, r.choice([0, 1, 3, 40, 300])) + "é🙂") for i in range(120)] + [(-3, None), (10**13, "z " * 100_000)]
@@ -22,13 +87,13 @@ def test_neighbours(spark):
     out = {x["doc_id"]: x for x in simhash.compare_neighbours(df).collect()}
     order = sorted(((i, t or "") for i, t in rows), reverse=True)
     assert len(out) == len(rows)
-    fp = dict(zip((i for i, _ in order), simhash.fingerprints([t for _, t in order])))
+    fp = {i: bytes.fromhex(plain(t)) if len(t) < 10_000 else simhash.fingerprints([t])[0].tobytes() for i, t in order}
     for (i, t), (j, x) in zip(order, [*order[1:], order[0]]):
         made = t[: len(t) - len(t) // 3] + x[: len(t) // 3]
-        changed = simhash.fingerprints([made])[0]
+        changed = simhash.fingerprints([made])[0].tobytes()
         assert (out[i]["n_chars"], out[i]["edited_sha256"]) == (len(t), hashlib.sha256(made.encode()).hexdigest())
-        assert (out[i]["fingerprint"], out[i]["edited_fingerprint"]) == (fp[i].tobytes().hex(), changed.tobytes().hex())
-        bits = lambda a, b: 1 - bin(int.from_bytes((a ^ b).tobytes(), "big")).count("1") / 256
+        assert (out[i]["fingerprint"], out[i]["edited_fingerprint"]) == (fp[i].hex(), changed.hex())
+        bits = lambda a, b: 1 - bin(int.from_bytes(a, "big") ^ int.from_bytes(b, "big")).count("1") / 256
         assert abs(out[i]["near_edited"] - bits(fp[i], changed)) < 1e-12 and abs(out[i]["near_next"] - bits(fp[i], fp[j])) < 1e-12
     big = [x for x in out.values() if 1000 < x["n_chars"] < 5000]
     assert min(x["near_edited"] for x in big) > max(x["near_next"] for x in big)
