@@ -1,14 +1,16 @@
 """Byte-level BPE encoding and decoding with the tiktoken library and a local rank file.
 
 The rank file is read on the driver and broadcast: a vocabulary is of a fixed size, and it is refused beyond
-`MOST_BYTES`. Long texts are cut before they reach the library, only where every match of the pattern ends too: after an
-ASCII letter or digit and before a space or line feed, or between an ASCII letter and an ASCII digit. Very long runs of
-white space, which the pattern matches with backtracking, are taken out and encoded as the one match that they are.
+`MOST_BYTES`. With the patterns of CUT_SAFELY long texts are cut before they reach the library, only where every match
+ends too: after an ASCII letter or digit and before a space or line feed, or between an ASCII letter and an ASCII digit.
+Very long runs of white space, which those patterns match with backtracking, are taken out and encoded as the one match
+that they are. With any other pattern texts go to the library whole.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 import re
 
 from pyspark.sql import DataFrame
@@ -19,6 +21,8 @@ from .shared import map_arrow
 MOST_BYTES = 32 << 20
 PIECE = 100_000  # code points after which a text is cut at the next safe place
 _SAFE = re.compile(r"(?<=[A-Za-z0-9])(?=[ \n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+# A pattern for which the cuts are right.
+CUT_SAFELY = ("'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+",)
 # The code points that count as white space in the library's patterns.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _LONG_RUN = re.compile(f"[{_SPACE}]{{20000,}}")
@@ -48,13 +52,13 @@ def safe_parts(text: str, most: int = PIECE):
 
 
 def encoded(enc, text: str, most: int = PIECE):
-    """The token ids of a text as a uint32 array."""
+    """The token ids of a text as a uint32 array, by parts of about `most` code points; infinity: by the library alone."""
     import numpy as np
 
     def ids(part):
         return np.array(enc.encode_ordinary(part), np.uint32)
 
-    if len(text) <= min(most, 20_000):
+    if len(text) <= min(most, 20_000) or most == math.inf:
         return ids(text)
     out, at = [], 0
     for run in _LONG_RUN.finditer(text):
@@ -78,8 +82,8 @@ def _ranks(df: DataFrame, path: str):
 def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """One row per input row: id and the token ids of its whole text (array<int>).
 
-    Null and empty texts give an empty array. Rows, repeated ones too, stay as they are; null ids stay null. Other
-    columns are not read, so their names cannot clash.
+    Null and empty texts give an empty array. Rows, repeated ones too, stay as they are; null ids stay null; no rows give
+    none. Bytes that are no UTF-8 become U+FFFD. Other columns are not read, so their names cannot clash.
     """
     data = _ranks(docs, ranks_path)
 
@@ -87,11 +91,14 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
         import numpy as np
         import pyarrow as pa
 
+        from .words import texts
+
         enc = encoding(data.value, pattern)
+        most = PIECE if pattern in CUT_SAFELY else math.inf
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                ids = [encoded(enc, t) if t else np.zeros(0, np.uint32) for t in part.column(1).to_pylist()]
+                ids = [encoded(enc, t, most) if t else np.zeros(0, np.uint32) for t in texts(part.column(1))]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
                 flat = np.concatenate(ids).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))], ["id", "ids"])

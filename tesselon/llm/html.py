@@ -320,7 +320,8 @@ def extract_text(pages: DataFrame, html_col: str = "html", text_col: str = "text
     """The columns `keep` and the article's text of each row; null or empty pages, and those without an article, give "".
 
     Rows stay as they are, repeated ones too. Pages of any length and depth are read whole, in time that grows with their
-    length. Other columns are not read, so their names cannot clash; no rows give none.
+    length; bytes that are no UTF-8 become U+FFFD. Other columns are not read, so their names cannot clash; no rows give
+    none.
     """
     from pyspark.sql import types as T
 
@@ -330,9 +331,11 @@ def extract_text(pages: DataFrame, html_col: str = "html", text_col: str = "text
     def run(batches):
         import pyarrow as pa
 
+        from .words import texts
+
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([main_text(h) for h in part.column(part.num_columns - 1).to_pylist()], pa.string())], names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([main_text(h) for h in texts(part.column(part.num_columns - 1))], pa.string())], names)
 
     return map_arrow(given, run, T.StructType([*given.schema.fields[:-1], T.StructField(text_col, T.StringType())]))

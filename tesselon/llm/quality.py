@@ -253,3 +253,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_lab
     posterior = 1 / (1 + F.exp(-odds))
     keep = (F.col("__words") > 0) & (posterior >= threshold)
     return out.select(*(F.col(f"`{c}`") for c in own.columns), F.col("__logit").alias("evidence"), "host_posterior", "path_posterior", posterior.alias("posterior"), keep.alias("keep"))
+
+
+def filtered(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: str = "source", path: str = "lang", **more) -> DataFrame:
+    """The rows of docs that classify keeps, with all columns of docs, whatever their names."""
+    plain = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    known = labels.withColumnRenamed(id_col, plain[id_col])
+    out = classify(docs.toDF(*plain.values()), known, id_col=plain[id_col], text_col=plain[text_col], host=plain[host], path=plain[path], **more)
+    return out.where("keep").select(*(F.col(p).alias(c) for c, p in plain.items()))

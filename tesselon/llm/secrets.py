@@ -27,15 +27,15 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 # Parts of names and how sensitive a value under such a name is.
 SENSITIVE = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 2, "secret": 3, "token": 3, "apikey": 3, "api_key": 3, "accesskey": 3, "access_key": 3, "privatekey": 3, "private_key": 3, "credential": 2, "auth": 1, "signing": 1, "encryption": 1, "client_key": 2, "conn_str": 2, "connectionstring": 2}
 _PARTS = sorted({k.replace("_", "") for k in SENSITIVE})
-_NAME = r"[A-Za-z_$][\w$.-]{0,80}"
+_NAME = r"[\w$.-]++"
 _PAIR = re.compile(
-    rf"""(?P<q>["']?)(?P<name>{_NAME})(?P=q)(?:\[\s?["']?(?P<key>{_NAME})["']?\s?\])?[ \t]{{0,8}}(?::[ \t]{{0,4}}[\w.\[\]]{{1,40}}[ \t]{{0,4}}=(?!=)|:=|=>|=(?![=>~])|:(?![:/]))[ \t]{{0,8}}(?P<value>)(?=[^\r\n])"""
+    rf"""(?<![\w$.-])(?P<q>["']?)(?P<name>{_NAME})(?P=q)(?:\[\s?["']?(?P<key>{_NAME})["']?\s?\])?[ \t]*+(?::[ \t]*+[\w.\[\]]++[ \t]*+=(?!=)|:=|=>|=(?![=>~])|:(?![:/]))[ \t]*+(?P<value>)(?=[^\r\n])"""
     rf"""|<(?P<tag>{_NAME})>(?P<inner>[^<>\r\n]++)</(?P=tag)>""",
     re.A,
 )
-_TERM = re.compile(rf"""[ \t]{{0,8}}(?:[rbuf]?"(?P<a>(?:[^"\\\r\n]++|\\.)*+)"|[rbuf]?'(?P<b>(?:[^'\\\r\n]++|\\.)*+)'|`(?P<c>[^`\r\n]*)`|(?P<id>{_NAME})(?![\w(]))""", re.A)
-_PLUS = re.compile(r"[ \t]{0,8}(?:\+|\.\.|&)")
-_BLANK = re.compile(r"[ \t]{0,8}")
+_TERM = re.compile(r"""[ \t]*+(?:[rbuf]?"(?P<a>(?:[^"\\\r\n]++|\\.)*+)"|[rbuf]?'(?P<b>(?:[^'\\\r\n]++|\\.)*+)'|`(?P<c>[^`\r\n]*+)`|(?P<id>[A-Za-z_$][\w$.-]*+)(?!\())""", re.A)
+_PLUS = re.compile(r"[ \t]*+(?:\+|\.\.|&)")
+_BLANK = re.compile(r"[ \t]*+")
 _BARE = re.compile(r"[A-Za-z0-9+/_.=~!@#$%^&*-]++")
 _CLOSED = re.compile(r"[ \t]*+(?:$|[,;}])")
 _LINE = re.compile(r"[^\r\n]*+")
@@ -83,7 +83,7 @@ def scored_literals(text: str) -> list[tuple[int, int, int]]:
             links.append(())
             at = m.end()
             continue
-        name, pos, got, taken = m["key"] or m["name"], m.start("value"), [], set()
+        name, pos, got, taken = (m["key"] or m["name"]).lstrip(".-"), m.start("value"), [], set()
         first = pos
         if first >= end:
             end = _LINE.match(text, first).end()
@@ -137,15 +137,18 @@ def scan(text: str, least: float = 4.0) -> list[tuple[str, int, int]]:
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id and spans, array<struct<kind, start, end>> in code points, end exclusive, by start and kind.
 
-    Null and empty texts have no spans; null ids stay null, repeated rows are each scanned. Other columns are not read.
+    Null and empty texts have no spans; null ids stay null, repeated rows are each scanned, no rows give none. Names, values
+    and texts of any length are read whole, in time that grows with the text; bytes that are no UTF-8 become U+FFFD. Other columns are not read.
     """
 
     def run(batches):
         import pyarrow as pa
 
+        from .words import texts
+
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
-            spans = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(t)] if t else [] for t in b.column(1).to_pylist()]
+            spans = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(t)] if t else [] for t in texts(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, kind)], ["id", "spans"])
 
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -155,7 +158,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", count_col: str | None = "n_chars") -> DataFrame:
     """The same rows and columns with every span, joined where they overlap, replaced by a mark; count_col gets the new length.
 
-    Texts without spans, null ones too, stay as they are.
+    Texts without spans, null ones too, stay as they are, as do repeated rows and columns of any name; no rows give none.
+    Bytes that are no UTF-8 become U+FFFD.
     """
     schema, at = docs.schema, docs.columns.index(text_col)
 
@@ -170,9 +174,11 @@ def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", co
     def run(batches):
         import pyarrow as pa
 
+        from .words import texts
+
         for b in batches:
-            texts = pa.array([clean(t) if t else t for t in b.column(at).to_pylist()], b.column(at).type)
-            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(b.columns)], b.schema.names)
+            new = pa.array([clean(t) if t else t for t in texts(b.column(at))], b.column(at).type)
+            yield pa.RecordBatch.from_arrays([new if i == at else c for i, c in enumerate(b.columns)], b.schema.names)
 
     out = map_arrow(docs, run, schema)
     if count_col in docs.columns:

@@ -69,10 +69,12 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def run(batches):
         import pyarrow as pa
 
+        from .words import texts
+
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                fps = fingerprints([t or "" for t in part.column(1).to_pylist()], bits)
+                fps = fingerprints([t or "" for t in texts(part.column(1))], bits)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([f.tobytes().hex() for f in fps], pa.string())], ["id", "fp"])
 
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -117,7 +119,7 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     The documents are range-partitioned once; each task compares the rows it holds, and only the first and last row of
     each partition, at most two a partition, meet again to be compared across partitions. Null texts count as empty,
     null ids come last. One document alone follows itself. Repeated rows follow one another, no rows give none. Texts of
-    any length are taken whole. Other columns are not read.
+    any length are taken whole; bytes that are no UTF-8 become U+FFFD. Other columns are not read.
     """
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -127,6 +129,8 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         import pyarrow as pa
         from pyspark import TaskContext
 
+        from .words import texts as strings
+
         pid, last = TaskContext.get().partitionId(), None
 
         def out(ids, texts, nexts):
@@ -138,7 +142,7 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                rows = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist()))
+                rows = list(zip(part.column(0).to_pylist(), strings(part.column(1))))
                 if last is None:
                     yield edge(rows[0], "first")
                 else:

@@ -190,7 +190,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     left = b" ".join([text[s:e] for s, e in zip(starts[stay].tolist(), ends[stay].tolist())])
                     gone.append(len(words) - len(stay))
                     sha.append(hashlib.sha256(left).hexdigest())
-                    kept.append(left.decode())
+                    kept.append(left.decode("utf-8", "replace"))
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(gone, pa.int64()), pa.array(sha), pa.array(kept if text_out else [None] * len(kept), pa.string())], ["id", "s1", "s2", "gone", "new_sha", "new_text"])
 
     changed = map_arrow(held.drop("windows").join(repeated, "id").select("id", "s1", "s2", "size", "blob", "hashes"), cut, "id long, s1 long, s2 long, gone long, new_sha string, new_text string").dropDuplicates(["id", "s1", "s2"])

@@ -81,6 +81,14 @@ def run_hashes(words: np.ndarray, k: int, family: int = 0) -> np.ndarray:
     return mixed(total)
 
 
+def texts(column) -> list[str | None]:
+    """The texts of an Arrow string column; bytes that are no UTF-8 become U+FFFD."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        return [x if x is None else x.decode("utf-8", "replace") for x in column.cast("binary").to_pylist()]
+
+
 def joined(column, most: int = PIECE):
     """Groups of rows of an Arrow string column, of about `most` bytes: (first row, byte buffer, word starts, ends, bounds).
 

@@ -54,3 +54,35 @@ def test_a_large_vocabulary_is_refused(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(bpe, "MOST_BYTES", 10)
     with pytest.raises(ValueError):
         bpe.bpe_encode(spark.createDataFrame([], "doc_id long, text string"), PATH, P.PATTERN)
+
+
+def test_other_patterns_are_not_cut(spark):
+    import tiktoken
+
+    assert P.PATTERN in bpe.CUT_SAFELY
+    pattern = r"[a-z0-9 ]+|."
+    with open(PATH, "rb") as f:
+        own = bpe.encoding(f.read(), pattern)
+    text = "ab1 " * 30_000 + " " * 30_000
+    assert isinstance(own, tiktoken.Encoding)
+    out = bpe.bpe_encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH, pattern).first()["ids"]
+    assert out == own.encode_ordinary(text)
+
+
+def test_bytes_that_are_no_text(spark):
+    """Every text operator takes them as U+FFFD."""
+    from tesselon.llm.html import extract_text
+    from tesselon.llm.ngram_join import ngram_jaccard_join
+    from tesselon.llm.secrets import redacted, secret_scan
+    from tesselon.llm.simhash import compare_neighbours, fingerprint_documents
+    from tesselon.llm.substrings import remove_repeats
+
+    df = spark.range(2).selectExpr("id as doc_id", "cast(unhex('70617373776F72643D616263646566FF20C3') as string) as text")
+    text = "password=abcdef\ufffd \ufffd"
+    assert {tuple(r) for r in bpe.digests(df, PATH, P.PATTERN).select("decoded_sha256").collect()} == {(hashlib.sha256(text.encode()).hexdigest(),)}
+    assert [[(s["start"], s["end"]) for s in r["spans"]] for r in secret_scan(df).collect()] == [[(0, 15)]] * 2
+    assert {r["text"] for r in redacted(df).collect()} == {"[SECRET]\ufffd \ufffd"}
+    assert {r["text"] for r in extract_text(df.withColumnRenamed("text", "html").withColumnRenamed("doc_id", "page_id"), keep=("page_id",)).collect()} == {text}
+    assert len({r["fingerprint"] for r in fingerprint_documents(df).collect()}) == 1 and {r["n_chars"] for r in compare_neighbours(df).collect()} == {18}
+    assert {r["component_id"] for r in ngram_jaccard_join(df).collect()} == {0}
+    assert {r["n_words"] for r in remove_repeats(df).collect()} == {2}

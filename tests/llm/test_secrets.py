@@ -1,3 +1,5 @@
+import math
+import random
 import hashlib
 import re
 import time
@@ -113,3 +115,97 @@ def test_redaction(spark):
     df = spark.createDataFrame([(1, 'x token = "abcdef123" y', 5), (2, None, 7), (3, "clean", 99)], "doc_id long, text string, n_chars int")
     out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in secrets.redacted(df).collect()}
     assert out == {1: ('x [SECRET]" y', 13), 2: (None, 7), 3: ("clean", 5)}
+
+
+def plain_strength(value):
+    """How much a literal looks like a secret, by the stated rules."""
+    if len(value) < 6 or any(c.isspace() for c in value):
+        return -9
+    kinds = any(c.islower() for c in value) + any(c.isupper() for c in value) + any(c.isdigit() for c in value) + any(not c.isalnum() for c in value)
+    bits = -sum(value.count(c) / len(value) * math.log2(value.count(c) / len(value)) for c in set(value))
+    return min(1, len(value) / 16) + min(1, (kinds - 1) / 2) + min(1, bits / 4)
+
+
+#: How sensitive the names of the random texts are.
+NAMES = {"dbPwd": 2, "clientSecretValue": 3, "conn-str": 2, "my.private.key": 3, "signing_salt": 1, "colour": 0, "user": 0, "x1": 0, "authHeader": 1, "pwd" + "x" * 300: 2, "access.key": 3}
+
+
+def random_source(r):
+    """A text of assignments, with the literals' spans and the points of the most sensitive name that each reaches."""
+    out, at, spans, holds, points = [], 0, [], {}, {}
+
+    def literal(quoted):
+        n = r.choice([3, 6, 9, 20, 900])
+        letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + ("_/+" if not quoted else "_/+ ")
+        return "".join(r.choice(letters[: r.choice([3, 26, len(letters)])]) for _ in range(n)).strip() or "abcdef"
+
+    def put(s):
+        nonlocal at
+        out.append(s)
+        at += len(s)
+
+    for _ in range(r.randrange(30)):
+        name = r.choice([*NAMES, *(f"v{k}" for k in range(6))])
+        mine = []
+
+        def own(value):
+            spans.append((at, at + len(value), value))
+            mine.append(len(spans) - 1)
+            put(value)
+
+        form = r.randrange(8)
+        if form == 0:
+            put(f"<{name}>")
+            own(literal(False))
+            put(f"</{name}>\n")
+        elif form == 1:
+            put(r.choice(["export ", "--", ""]) + name + "=")
+            own(literal(False))
+            put("\n")
+        elif form == 2:
+            put(f'  "{name}": "')
+            own(literal(True))
+            put('",\n')
+        else:
+            put(name + r.choice([" = ", ": ", " := ", " => ", ": str = ", "   =\t"]))
+            for k in range(r.choice([1, 1, 2, 5])):
+                if k:
+                    put(" + ")
+                known = [n for n in holds if n != name]
+                if known and r.random() < 0.4:
+                    n = r.choice(known)
+                    put(n)
+                    mine += holds[n]
+                else:
+                    q = r.choice("\"'`")
+                    put(q)
+                    own(literal(True))
+                    put(q)
+            put("\n")
+        for k in mine:
+            points[k] = max(points.get(k, 0), NAMES.get(name, 0))
+        if form != 0:
+            holds[name] = list(mine) if form > 2 or len(spans[mine[0]][2]) >= 6 or form == 2 else holds.get(name, [])
+            if form == 1 and len(spans[mine[0]][2]) < 6:
+                points.pop(mine[0])
+                if not holds[name]:
+                    del holds[name]
+    return "".join(out), [(a, b, v, points.get(k, 0)) for k, (a, b, v) in enumerate(spans)]
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_literals_of_random_sources(seed):
+    text, spans = random_source(random.Random(seed))
+    base = secrets.base_spans(text)
+    want = {(a, b) for a, b, v, s in spans if s and s + plain_strength(v) >= 4 and not any(x <= a and b <= y for _, x, y in base)}
+    assert {(a, b) for k, a, b in secrets.scan(text) if k == "literal"} == want, text
+
+
+def test_time_of_the_scan_grows_with_the_text():
+    chain = "k0 = 'Zk93kdLLqp0aB7'\n" + "".join(f"k{i} = k{i - 1} + 'aB3dE5fG7h{i}'\n" for i in range(1, 20_000)) + "dbPwd = k19999\n"
+    for text in (chain, "dbPwd" + "a" * 2_000_000, "dbPwd " * 200_000, "dbPwd=" + "a+" * 500_000, "<dbPwd>" * 100_000, "dbPwd" + " " * 2_000_000, "'" * 300_000 + "dbPwd"):
+        began = time.process_time()
+        found = secrets.scan(text)
+        assert time.process_time() - began < 8
+        if text is chain:
+            assert len([s for s in found if s[0] == "literal"]) == 20_000
