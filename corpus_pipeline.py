@@ -16,30 +16,47 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.classify(docs, labels).where("keep").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """Documents that the quality classifier keeps: none without words, else those whose posterior is 0.5 or more.
+
+    Repeated rows are each judged, ties count as kept, null sources and languages are groups like others, rows without an id
+    are judged too, no rows give none; columns of any name come through.
+    """
+    return quality.filtered(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of smallest id, once; rows without an id stay."""
+    """One document of each group of near duplicates, the one of smallest id, once.
+
+    Rows without an id stay, as do null and empty texts, which are like no other; of rows with one id and text one stays;
+    texts of any length are compared whole; no rows give none; columns of any name come through.
+    """
     groups = ngram_join.ngram_jaccard_join(docs, n=5, num=80, den=100)
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.where("doc_id is null"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in the place of every secret."""
+    """All documents, with a mark in the place of every secret of the whole text, and n_chars as it is then.
+
+    Null and empty texts, repeated rows and columns of any name stay as they are; no rows give none.
+    """
     return secrets.redacted(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many rows as there are, each source with the same share of them, in a global random order."""
+    """About as many rows as there are, each source with the same expected share of them, in a global random order.
+
+    A null source is one like others; rows without id or text are drawn by what they have, repeated rows alike; texts of
+    any length stay whole; no rows give none; columns of any name come through.
+    """
     return mixing.mix_sources(docs, copy_col=None, order_col=None)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, the token ids of the text, their number, and the digest of the bytes that they decode to."""
+    """doc_id, the token ids of the whole text, their number, and the digest of the bytes that they decode to.
+
+    Null and empty texts have no ids; repeated rows and rows without an id stay; no rows give none; other columns go.
+    """
     import public_tokenizers
 
     how = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
