@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from .shared import connected_components, dropped, map_arrow, written
 
 
+LEAST, MOST_SIDES = 128, 8
+
+
 def _forest(alike, order):
     """For each row the first row in `order` that it reaches over links."""
     import numpy as np
@@ -86,18 +89,19 @@ def cluster_links(edges: DataFrame, reps: DataFrame, payload: DataFrame, alike:
     edges: candidate pairs (u, v); reps: (id, copies, size), one row per document, a link to it counts `copies` times;
     payload: (id, p), what `alike` compares: it gets an Arrow array of p and returns a square matrix of booleans.
     ratio: the smaller size of two linked documents is at least so much of the larger one; None: sizes don't matter.
-    A tile holds at most about 2 * block_docs documents and 2 * block_size of summed size, or one document.
+    A tile holds at most about 2 * block_docs documents and 2 * block_size of summed size, or one document. Clusters of more
+    than LEAST documents are cut into up to MOST_SIDES sides, so that those of some hundred don't wait for one task.
     """
     spark = edges.sparkSession
     near, candidates = written(edges, "candidates")
     blocks, forest = connected_components(near)
     dropped(spark, candidates)
     members = blocks.union(blocks.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "id").join(reps, "id")
-    whole = members.groupBy("component").agg(((F.count("*") <= block_docs) & (F.sum("size") <= block_size)).alias("whole"))
+    whole = members.groupBy("component").agg(((F.count("*") <= min(LEAST, block_docs)) & (F.sum("size") <= block_size)).alias("whole"))
     # Sizes of two linked documents fall into one band or two neighbouring ones; the bands are a little wider than needed.
     band = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / (1.0001 * math.log(1 / ratio))) if ratio else F.lit(0)
     members = members.join(whole, "component").withColumn("band", F.when(F.col("whole"), F.lit(0)).otherwise(band).cast("long"))
-    cut = members.groupBy("component", "band").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_size), F.lit(1)).cast("long").alias("cuts"))
+    cut = members.groupBy("component", "band").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_size), F.least(F.ceil(F.count("*") / LEAST), F.lit(MOST_SIDES))).cast("long").alias("cuts"))
     cut, cuts = written(cut, "cuts")
     # The cuts of a band and of its neighbours, in one row.
     around = cut.select("component", F.explode(F.array(*(F.struct((F.col("band") + d).alias("band"), F.lit(d).alias("d")) for d in (-1, 0, 1)))).alias("b"), "cuts")

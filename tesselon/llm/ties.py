@@ -93,7 +93,7 @@ class Posts:
 
 
 def _small(x, reach, group, size, radius):
-    """Ties in groups of one small size, given by their first rows: pairs of rows."""
+    """Pairs of rows that join what ties join, in groups of one small size, given by their first rows."""
     import numpy as np
 
     a, b = [], []
@@ -102,15 +102,22 @@ def _small(x, reach, group, size, radius):
         at = group[k : k + step, None] + np.arange(size)
         part, far = x[at], reach[at]
         wide = np.minimum(radius + far[:, :, None] + far[:, None, :] + 1e-4, np.pi)
-        g, i, j = np.nonzero(part @ part.transpose(0, 2, 1) >= np.cos(wide))
-        up = i < j
-        a.append(at[g[up], i[up]])
-        b.append(at[g[up], j[up]])
+        tie = part @ part.transpose(0, 2, 1) >= np.cos(wide)
+        tie |= np.eye(size, dtype=bool)
+        label = np.broadcast_to(np.arange(size), at.shape)
+        while True:  # each row takes the least label among its ties
+            new = np.where(tie, label[:, None, :], size).min(2)
+            if (new == label).all():
+                break
+            label = new
+        g, i = np.nonzero(label != np.arange(size))
+        a.append(at[g, i])
+        b.append(at[g, label[g, i]])
     return a, b
 
 
 def _large(x, reach, lo, hi, radius):
-    """Ties that join the rows lo..hi as all their ties would: pairs of rows, about as many as there are rows."""
+    """Pairs of the rows lo..hi that join what their ties join, fewer than there are rows."""
     import numpy as np
 
     n = hi - lo
@@ -123,11 +130,6 @@ def _large(x, reach, lo, hi, radius):
         order = np.argsort(label[:end], kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], label[order][1:] != label[order][:-1]]))
         i, g = np.nonzero(np.logical_or.reduceat(tie[:, order], starts, axis=1))
-        if not len(i):
-            continue
-        pairs = i + k, label[order[starts[g]]]  # of each row one tie to every group that it touches
-        a.append(lo + pairs[0])
-        b.append(lo + pairs[1])
         root = {}
 
         def find(y, root=root):
@@ -135,16 +137,18 @@ def _large(x, reach, lo, hi, radius):
                 y = up
             return y
 
-        for p, q in zip(label[pairs[0]].tolist(), pairs[1].tolist()):
-            p, q = find(p), find(q)
+        for row, q in zip((i + k).tolist(), label[order[starts[g]]].tolist()):  # of each row every group that it touches
+            p, q = find(int(label[row])), find(q)
             if p != q:
                 root[max(p, q)] = min(p, q)
+                a.append(lo + row)
+                b.append(lo + q)
         if root:
             to = np.arange(n)
             for y in sorted(root):
                 to[y] = find(y)
             label = to[label]
-    return a, b
+    return [np.array(a, np.int64)], [np.array(b, np.int64)]
 
 
 def tied(posts: DataFrame, radius: float, unpack: Callable) -> DataFrame:
@@ -174,7 +178,7 @@ def tied(posts: DataFrame, radius: float, unpack: Callable) -> DataFrame:
             for at, n in zip(first[size > HOT].tolist(), size[size > HOT].tolist()):
                 p, q = _large(x, reach, at, at + n, radius)
                 a, b = a + p, b + q
-            if a:
+            if sum(map(len, a)):
                 u, v = ids[np.concatenate(a)], ids[np.concatenate(b)]
                 both = np.unique(np.stack([np.maximum(u, v)[u != v], np.minimum(u, v)[u != v]]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["u", "v"])
