@@ -13,6 +13,11 @@ def _c(x) -> Column:
 # Names
 
 
+def known(x) -> Column:
+    """A number, with NaN as null: comparisons with it are then as false as they are for an array."""
+    return F.nanvl(_c(x).cast("double"), F.lit(None).cast("double"))
+
+
 def sanitize_part(text, max_len: int = 80) -> Column:
     """A safe part of a file name: runs of other characters become one underscore, outer dots and underscores go."""
     s = F.regexp_replace(F.trim(_c(text)), r"\\", "/")
@@ -202,6 +207,11 @@ def clamp_origin(x, canvas, read) -> Column:
     return clamp(x, F.lit(0), F.greatest(F.lit(0), _c(canvas) - read))
 
 
+def window_inside(x, y, read, width, height) -> Column:
+    """Whether a window of `read` pixels from x, y lies wholly inside the slide."""
+    return (_c(x) >= 0) & (_c(y) >= 0) & (_c(x) + F.lit(read) <= _c(width)) & (_c(y) + F.lit(read) <= _c(height))
+
+
 def grid_step(stride, downsample) -> Column:
     """Steps of the candidate grid in mask pixels, halved on fine masks."""
     step = F.greatest(F.lit(4), F.bround(_c(stride) / _c(downsample)).cast("int"))

@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import known
+
 
 def pct_rank_avg(by: list[str], value: Column | str) -> Column:
     """Rank within a group as a share of its rows, ties sharing the mean of their ranks; null for null values.
 
     Unlike percent_rank and cume_dist it is the mean of both ends of a tie: rank + (peers - 1) / 2, over the group's size.
+    NaN is null. One sort serves both the rank and its peers.
     """
-    v = F.col(value) if isinstance(value, str) else value
-    group, peers = Window.partitionBy(*by), Window.partitionBy(*by, v)
-    rank = F.rank().over(group.orderBy(v.asc_nulls_last()))
-    return F.when(v.isNotNull(), (rank + (F.count("*").over(peers) - 1) / 2) / F.count(v).over(group))
+    v = known(value)
+    group = Window.partitionBy(*by)
+    order = group.orderBy(v.asc_nulls_last())
+    peers = F.count(F.lit(1)).over(order.rangeBetween(Window.currentRow, Window.currentRow))
+    return F.when(v.isNotNull(), (F.rank().over(order) + (peers - 1) / 2) / F.count(v).over(group))
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, rank_col: str | None = None) -> DataFrame:
@@ -46,6 +50,8 @@ def sample_exact(df: DataFrame, by: list[str], n: int, seed: int, key: list[str]
 
 def even_sample(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
     """n rows of each group at even steps of its order, the first and the last among them; all where it has fewer."""
+    if n == 1:
+        return top_per_key(df, by, [F.col(c) for c in order], 1)
     w = Window.partitionBy(*by)
     out = df.withColumn("__i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("__n", F.count("*").over(w))
     # Row i is step k's row if floor(k (rows - 1) / (n - 1)) = i for some k; the last such k is the one to test.

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import missing, readiness_reason, resolved_status, to_bool, to_float, tumor_band
+from ..functions.columns import known, missing, readiness_reason, resolved_status, to_bool, to_float, tumor_band
 from ..functions.ranks import top_per_key
 
 
@@ -23,21 +23,22 @@ class TumorGate:
 
 
 def top_scored(scored: DataFrame, by: str, prob: str, key: str, k: int) -> DataFrame:
-    return top_per_key(scored, [by], [F.col(prob).desc_nulls_last(), F.col(key)], k, rank_col="rank")
+    """The k best patches of each slide with their rank; those without a score, null or NaN, come last and have none."""
+    return top_per_key(scored.withColumn(prob, known(prob)), [by], [F.col(prob).desc_nulls_last(), F.col(key)], k, rank_col="rank")
 
 
 def high_only(scored: DataFrame, by: str, prob: str, key: str, g: TumorGate) -> DataFrame:
-    """Patches of the high band, of all scored ones or of the top k."""
+    """Patches of the high band, of all scored ones or of the top k; NaN is no score."""
     base = top_scored(scored, by, prob, key, g.topk).drop("rank") if g.high_from_topk else scored
-    return base.where(F.col(prob) >= g.high)
+    return base.where(known(prob) >= g.high)
 
 
 def regate(scored: DataFrame, by: str, prob: str, key: str, g: TumorGate) -> DataFrame:
     """One row per slide from persisted scores: band counts, ratio, export sizes, readiness and its reason.
 
-    A single aggregation: the top k of a slide hold min(k, n) rows, and of the high ones min(k, high), as they come first.
+    Null and NaN are no scores. A single aggregation: the top k of a slide hold min(k, n) rows, and of the high ones min(k, high), as they come first.
     """
-    p = F.col(prob)
+    p = known(prob)
     out = scored.where(p.isNotNull()).withColumn("band", tumor_band(p, g.high, g.mid)).groupBy(by).agg(
         F.count("*").alias("scored_ok"),
         F.count_if(F.col("band") == "high").alias("tumor_prob_ge_thr"),
@@ -69,14 +70,16 @@ def resolved_diagnostics(rows: DataFrame) -> DataFrame:
     )
 
 
-def lookup(slides: DataFrame, table: DataFrame, columns: list[str], uid: str = "slide_uid", slide_id: str = "slide_id") -> DataFrame:
-    """slides with columns of table, found by uid and else by id; table has one row for each key that counts.
+def lookup(slides: DataFrame, table: DataFrame, columns: list[str], uid: str = "slide_uid", slide_id: str = "slide_id", order: str | None = None) -> DataFrame:
+    """slides with columns of table, found by uid and else by id.
 
-    Of a table that repeats a key the smallest row counts, so that slides never fan out.
+    Of a table that repeats a key the row that is last in `order` counts, so that slides never fan out; without an order,
+    which only tables of one row a key can do without, the largest row.
     """
     value = F.struct(*(F.col(c) for c in columns))
-    by_uid = table.where(~missing(uid)).groupBy(F.trim(F.col(uid)).alias("__uid")).agg(F.min(value).alias("__a"))
-    by_id = table.where(~missing(slide_id)).groupBy(F.trim(F.col(slide_id)).alias("__id")).agg(F.min(value).alias("__b"))
+    last = F.max_by(value, F.struct(F.col(order), value)) if order else F.max(value)
+    by_uid = table.where(~missing(uid)).groupBy(F.trim(F.col(uid)).alias("__uid")).agg(last.alias("__a"))
+    by_id = table.where(~missing(slide_id)).groupBy(F.trim(F.col(slide_id)).alias("__id")).agg(last.alias("__b"))
     out = slides.join(by_uid, F.trim(slides[uid]) == F.col("__uid"), "left").join(by_id, F.trim(slides[slide_id]) == F.col("__id"), "left")
     found = F.coalesce("__a", "__b")
     return out.withColumns({c: found[c] for c in columns}).drop("__uid", "__id", "__a", "__b")

@@ -10,6 +10,7 @@ from dataclasses import dataclass, fields, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ..functions.shipping import map_pandas
 from . import raster as R
@@ -385,16 +386,20 @@ def mask_table(images: DataFrame, c: MaskConfig = MaskConfig(), suffix: str | No
     return map_pandas(images.select(*cols), run, FIELDS)
 
 
-def kernel_table(images: DataFrame, kernel: str) -> DataFrame:
-    """img and the numbers of `tile_metrics` or `tile_features` for a table of images (img, h, w, rgb)."""
-    function = getattr(R, kernel)
-    names = list(function(np.zeros((4, 4, 3), np.uint8)))
+def kernel_table(images: DataFrame, *kernels: str, keep: tuple[str, ...] = ("img",)) -> DataFrame:
+    """The columns `keep` and the numbers of the kernels (`tile_metrics`, `tile_features`) for a table of images (h, w, rgb), in one pass."""
+    functions = [getattr(R, k) for k in kernels]
+    names = [n for f in functions for n in f(np.zeros((4, 4, 3), np.uint8))]
 
     def run(frames):
         import pandas as pd
 
         for frame in frames:
-            rows = [{"img": img, **function(np.frombuffer(data, np.uint8).reshape(int(h), int(w), 3))} for img, h, w, data in frame[["img", "h", "w", "rgb"]].itertuples(index=False)]
-            yield pd.DataFrame(rows, columns=["img", *names])
+            rows = []
+            for h, w, data in frame[["h", "w", "rgb"]].itertuples(index=False):
+                rgb = np.frombuffer(data, np.uint8).reshape(int(h), int(w), 3)
+                rows.append({k: v for f in functions for k, v in f(rgb).items()})
+            yield pd.concat([frame[list(keep)].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
 
-    return map_pandas(images.select("img", "h", "w", "rgb"), run, "img string, " + ", ".join(f"{n} double" for n in names))
+    schema = T.StructType([*(images.schema[c] for c in keep), *(T.StructField(n, T.DoubleType()) for n in names)])
+    return map_pandas(images.select(*keep, "h", "w", "rgb"), run, schema)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import known
+
 EPS = 1e-9
 
 
 def cells(y: str, score: str, threshold: float | Column = 0.5) -> list[Column]:
-    """The confusion matrix as aggregates."""
-    pos, hit = F.col(y) == 1, F.col(score) >= threshold
+    """The confusion matrix as aggregates; a score that is null or NaN reaches no threshold."""
+    pos, hit = F.col(y) == 1, F.coalesce(known(score) >= threshold, F.lit(False))
     return [F.count_if(~pos & ~hit).alias("tn"), F.count_if(~pos & hit).alias("fp"), F.count_if(pos & ~hit).alias("fn"), F.count_if(pos & hit).alias("tp")]
 
 
@@ -45,15 +47,18 @@ def class_weights(predictions: DataFrame, y: str) -> DataFrame:
 
 
 def steps(predictions: DataFrame, y: str, score: str) -> DataFrame:
-    """(score, pos, neg, tp, fp): counts of each distinct score and cumulated from the highest down.
+    """(score, pos, neg, tp, fp): counts of each distinct score and cumulated from the highest down; null and NaN have no place.
 
-    Scores are first counted, then cumulated in two levels: inside ranges of scores, and over the few ranges' sums, so that
-    no single task sees all scores.
+    Scores are first counted, then cumulated in two levels: inside ranges that hold about as many distinct scores each,
+    however these are spread, and over the few ranges' sums, so that no single task sees all scores.
     """
-    n = predictions.groupBy(F.col(score).alias("score")).agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
-    part = F.floor(F.col("score") * 4096)
+    n = predictions.where(known(score).isNotNull()).groupBy(known(score).alias("score")).agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
+    ranges = min(512, max(32, int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    bounds = n.agg(F.percentile_approx("score", [k / ranges for k in range(1, ranges)], 20 * ranges).alias("bounds"))
+    n = n.crossJoin(F.broadcast(bounds))
+    part = F.aggregate("bounds", F.lit(0), lambda k, b: k + (F.col("score") >= b).cast("int"))
     inside = Window.partitionBy("part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    n = n.withColumn("part", part)
+    n = n.withColumn("part", part).drop("bounds")
     n = n.withColumns({"ip": F.sum("pos").over(inside), "in": F.sum("neg").over(inside)})
     ranges = n.groupBy("part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
     before = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
@@ -92,16 +97,17 @@ def pr_curve(predictions: DataFrame, y: str, score: str) -> DataFrame:
 
 
 def threshold_sweep(predictions: DataFrame, y: str, score: str, n: int = 501, mode: str = "youden") -> DataFrame:
-    """The confusion matrix, rates and objective at n even thresholds from 0 to 1.
+    """The confusion matrix, rates and objective at n even thresholds from 0 to 1; null and NaN reach none of them.
 
     Each row falls into the bucket of the highest threshold that it reaches, and suffix sums over at most n + 1 buckets
     give all matrices, instead of one pass over the rows for each threshold.
     """
     last = n - 1
-    reach = F.floor(F.col(score) * last).cast("int")
+    s = known(score)
+    reach = F.floor(s * last).cast("int")
     # The product may round to the other side of a threshold; compare with the threshold itself.
-    reach = F.when(F.col(score) >= (reach + 1) / F.lit(float(last)), reach + 1).when(F.col(score) < reach / F.lit(float(last)), reach - 1).otherwise(reach)
-    found = predictions.where(F.col(score).isNotNull()).groupBy(F.least(F.greatest(reach, F.lit(-1)), F.lit(last)).alias("k")).agg(F.count_if(F.col(y) == 1).alias("p"), F.count_if(F.col(y) == 0).alias("q"))
+    reach = F.when(s >= (reach + 1) / F.lit(float(last)), reach + 1).when(s < reach / F.lit(float(last)), reach - 1).otherwise(reach)
+    found = predictions.groupBy(F.least(F.greatest(F.coalesce(reach, F.lit(-1)), F.lit(-1)), F.lit(last)).alias("k")).agg(F.count_if(F.col(y) == 1).alias("p"), F.count_if(F.col(y) == 0).alias("q"))
     grid = predictions.sparkSession.range(-1, n).select(F.col("id").cast("int").alias("k"))
     w = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -119,22 +125,23 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
 
 
 def hard_examples(predictions: DataFrame, y: str, score: str, key: str, limit: int, threshold: float = 0.5) -> DataFrame:
-    """The most confident false positives and false negatives, with their kind and rank from 1."""
-    w = Window.partitionBy("kind").orderBy(F.desc("wrong"), key)
-    fp, fn = (F.col(y) == 0) & (F.col(score) >= threshold), (F.col(y) == 1) & (F.col(score) < threshold)
-    out = predictions.where(fp | fn).withColumns({"kind": F.when(fp, "fp").otherwise("fn"), "wrong": F.when(fp, F.col(score)).otherwise(-F.col(score))})
+    """The most confident false positives and false negatives, with their kind and rank from 1; those without a score come last."""
+    w = Window.partitionBy("kind").orderBy(F.desc_nulls_last("wrong"), key)
+    hit = F.coalesce(known(score) >= threshold, F.lit(False))
+    fp, fn = (F.col(y) == 0) & hit, (F.col(y) == 1) & ~hit
+    out = predictions.where(fp | fn).withColumns({"kind": F.when(fp, "fp").otherwise("fn"), "wrong": F.when(fp, known(score)).otherwise(-known(score))})
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit).drop("wrong")
 
 
 def histogram(df: DataFrame, by: list[str], value: str, bins: int, low: float = 0.0, high: float = 1.0) -> DataFrame:
-    """Rows of each bin; values outside the range fall into the outer bins, and the upper end into the last."""
-    b = F.floor((F.col(value) - low) / (high - low) * bins).cast("int")
-    return df.where(F.col(value).isNotNull()).groupBy(*by, F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1)).alias("bin")).agg(F.count("*").alias("n"))
+    """Rows of each bin; null and NaN are in none, values outside the range fall into the outer bins, and the upper end into the last."""
+    b = F.floor((known(value) - low) / (high - low) * bins).cast("int")
+    return df.where(known(value).isNotNull()).groupBy(*by, F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1)).alias("bin")).agg(F.count("*").alias("n"))
 
 
 def otsu(df: DataFrame, value: str) -> DataFrame:
     """One row: the threshold t of 0..255 that best parts values <= t from those above, the lowest of equal ones."""
-    h = df.where(F.col(value).isNotNull()).groupBy(F.least(F.greatest(F.floor(F.col(value)), F.lit(0)), F.lit(255)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    h = df.where(known(value).isNotNull()).groupBy(F.least(F.greatest(F.floor(known(value)), F.lit(0)), F.lit(255)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     w = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     s = h.select("bin", F.sum("n").over(w).alias("w0"), F.sum(F.col("n") * F.col("bin")).over(w).alias("s0"), F.sum("n").over(whole).alias("n"), F.sum(F.col("n") * F.col("bin")).over(whole).alias("s"))
@@ -144,5 +151,5 @@ def otsu(df: DataFrame, value: str) -> DataFrame:
 
 def calibration(df: DataFrame, image: str, values: dict[str, tuple[float, float, float]], min_pixels: int = 64) -> DataFrame:
     """One row: for each value the outer percentile over images of the inner one within an image, not under a floor."""
-    each = df.groupBy(image).agg(F.count("*").alias("n"), *(F.percentile(c, inner).alias(c) for c, (inner, _, _) in values.items()))
+    each = df.groupBy(image).agg(F.count("*").alias("n"), *(F.percentile(known(c), inner).alias(c) for c, (inner, _, _) in values.items()))
     return each.where(F.col("n") >= min_pixels).agg(*(F.greatest(F.percentile(c, outer), F.lit(floor)).alias(c) for c, (_, outer, floor) in values.items()))

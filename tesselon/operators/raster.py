@@ -439,6 +439,16 @@ def clean_mask(rgb, pen_s=140, pen_v=(40, 245), size=11, times=2):
     return (rgb < 230).any(-1) & ~black_canvas(rgb) & ~pen
 
 
+def augmented(rgb, seed, jitter=0.1):
+    """A training tile flipped, turned by quarters, and with its colours and brightness shifted a little, by a seed alone."""
+    r = np.random.default_rng(seed)
+    out = rgb[:, ::-1] if r.random() < 0.5 else rgb
+    out = out[::-1] if r.random() < 0.5 else out
+    out = np.rot90(out, r.integers(4)).astype(np.float64)
+    out = out * (1 + r.uniform(-jitter, jitter, 3)) + 255 * r.uniform(-jitter, jitter) / 2
+    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+
+
 def overlay(rgb, mask, share=0.3, colour=(0, 255, 0)):
     """The image with the mask blended in."""
     out = rgb.astype(np.float64)

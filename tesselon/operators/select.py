@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import known
 from ..functions.ranks import pct_rank_avg, top_per_key
 
 
@@ -25,7 +26,7 @@ class QcThresholds:
 def qc_predicate(t: QcThresholds = QcThresholds(), **columns: str) -> Column:
     """The quality conjunction; columns names the metric columns where they differ. Null and NaN never pass."""
     def c(name):
-        return F.nanvl(F.col(columns.get(name, name)), F.lit(None).cast("double"))
+        return known(columns.get(name, name))
 
     out = (c("tissue_frac") >= t.tissue_min) & (c("focus") >= t.focus_min) & (c("brightness") >= t.brightness_min)
     out &= (c("qc_artifact_frac") <= t.artifact_max) & (c("qc_rbc_frac") <= t.rbc_max)
@@ -65,7 +66,7 @@ def score_patches(features: DataFrame, by: list[str], weights: dict[str, float]
 def spatial_cap(patches: DataFrame, by: list[str], x: str, y: str, score: str, key: str, cell: int = 256, most: int = 40) -> DataFrame:
     """The best patches of each square cell of each slide."""
     cells = patches.withColumns({"__cx": F.floor(F.col(x) / cell), "__cy": F.floor(F.col(y) / cell)})
-    return top_per_key(cells, [*by, "__cx", "__cy"], [F.col(score).desc_nulls_last(), F.col(key)], most).drop("__cx", "__cy")
+    return top_per_key(cells, [*by, "__cx", "__cy"], [known(score).desc_nulls_last(), F.col(key)], most).drop("__cx", "__cy")
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,7 @@ def quota_select(patches: DataFrame, by: list[str], score: str, kind: str, key:
     limit. 4 (if allow_under_target is off): anything. Each pass is a window that ranks what is left by how many the
     passes before it took; ties go to the smaller key.
     """
-    best = [F.col(score).desc_nulls_last(), F.col(key)]
+    best = [known(score).desc_nulls_last(), F.col(key)]
     slide = Window.partitionBy(*by)
     wanted = F.create_map(*(F.lit(v) for k in "ABC" for v in (k, q.wanted(k))))
 

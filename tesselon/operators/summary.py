@@ -18,30 +18,61 @@ def union_all(*tables: DataFrame) -> DataFrame:
     return out
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of both, the new one where both have a key. Within a table the last of the keys' rows in column order counts."""
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Rows of both, the new one where both have a key; within a table the row that is last in `order` counts.
+
+    Rows that are equal in that too are told apart by their other columns, so that the result never depends on chance.
+    """
     both = union_all(old.withColumn("__batch", F.lit(0)), new.withColumn("__batch", F.lit(1)))
-    rest = sorted(c for c in both.columns if c not in (*keys, "__batch"))
-    both = both.withColumn("__last", F.struct("__batch", *(F.col(f"`{c}`") for c in rest)))
+    rest = sorted(c for c in both.columns if c not in (*keys, "__batch", order))
+    both = both.withColumn("__last", F.struct("__batch", F.col(f"`{order}`").alias("__order"), *(F.col(f"`{c}`") for c in rest)))
     return keep_last(both, keys, "__last").drop("__batch", "__last")
 
 
-def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write a table's new version beside the others, so that the version being read stays whole; returns its path."""
-    path = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
+def _files(spark: SparkSession, root: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), lambda *parts: spark._jvm.org.apache.hadoop.fs.Path("/".join((root.rstrip("/"), *parts)))
+
+
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    """The names of the committed versions' pointers, the last one last; an error where versions have lost theirs."""
+    fs, path = _files(spark, root)
+    if fs.exists(path("_versions")):
+        return sorted(name for f in fs.listStatus(path("_versions")) if (name := f.getPath().getName()).startswith("n-"))
+    if fs.exists(path()) and any(f.getPath().getName().startswith("v-") for f in fs.listStatus(path())):
+        raise RuntimeError(f"{root} has versions but no record of which of them are whole")
+    return []
+
+
+def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None, keep: int = 3) -> str:
+    """Write a table's new version beside the others, so that the version being read stays whole; returns its path.
+
+    A version counts from the moment that its pointer, a file of the next number, is renamed into place. Whatever dies before
+    leaves the last version as it is. One writer at a time; one that has been overtaken fails. The last `keep` versions stay.
+    """
+    spark = df.sparkSession
+    fs, path = _files(spark, root)
+    before = _pointers(spark, root)
+    fs.mkdirs(path("_versions"))
+    name = f"v-{uuid.uuid4().hex}"
     w = df.write.mode("errorifexists")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    current = df.sparkSession.createDataFrame([(path,)], "path string")
-    current.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
-    return path
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{root.rstrip('/')}/{name}")
+    pointer = f"n-{int(before[-1][2:14]) + 1 if before else 1:012d}-{name}"
+    if any(n[2:14] == pointer[2:14] for n in _pointers(spark, root)):
+        raise RuntimeError(f"another writer has committed version {pointer[2:14]} of {root}")
+    fs.create(path("_versions", f"tmp-{name}"), False).close()
+    if not fs.rename(path("_versions", f"tmp-{name}"), path("_versions", pointer)):
+        raise RuntimeError(f"could not commit {pointer} of {root}")
+    for old in _pointers(spark, root)[:-keep]:
+        fs.delete(path("_versions", old), False)
+        fs.delete(path(old[15:]), True)
+    return f"{root.rstrip('/')}/{name}"
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The version written last, None where there is none."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_current")
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        return None
-    return spark.read.parquet(spark.read.json(f"{root.rstrip('/')}/_current").first()["path"])
+    """The version committed last, None where there is none."""
+    have = _pointers(spark, root)
+    return spark.read.parquet(f"{root.rstrip('/')}/{have[-1][15:]}") if have else None
 
 
 def not_done(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

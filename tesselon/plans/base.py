@@ -32,14 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def patches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(slide, patch, prob, value, kind, k, type) of every event."""
+    """(slide, patch, prob, value, kind, k, type) of every event; some have no prob, some a NaN."""
     e = table(spark, sf_dir, "events")
     kind = F.when(F.col("event_type") == "view", "A").when(F.col("event_type") == "click", "B").when(F.col("event_type") == "purchase", "C").otherwise("D")
     k = F.get_json_object("props", "$.k").cast("int")
-    return e.select(F.col("user_id").alias("slide"), F.col("event_id").alias("patch"), (F.col("value") / 500).alias("prob"), "value", F.col("event_type").alias("kind"), k.alias("k"), kind.alias("type"))
+    prob = F.when(F.col("event_id") % 97 == 5, float("nan")).when(F.col("event_id") % 89 != 7, F.col("value") / 500)
+    return e.select(F.col("user_id").alias("slide"), F.col("event_id").alias("patch"), prob.alias("prob"), "value", F.col("event_type").alias("kind"), k.alias("k"), kind.alias("type"))
 
 
-PATCHES = """patches AS (SELECT user_id AS slide, event_id AS patch, value / 500 AS prob, value, event_type AS kind, CAST(json_extract_string(props, '$.k') AS INT) AS k,
+PATCHES = """patches AS (SELECT user_id AS slide, event_id AS patch, CASE WHEN event_id % 97 <> 5 AND event_id % 89 <> 7 THEN value / 500 END AS prob, value, event_type AS kind, CAST(json_extract_string(props, '$.k') AS INT) AS k,
   CASE event_type WHEN 'view' THEN 'A' WHEN 'click' THEN 'B' WHEN 'purchase' THEN 'C' ELSE 'D' END AS type FROM events)"""
 
 

@@ -28,10 +28,11 @@ def _rates(eps: str = "+ 1e-9", wrap=("", "")) -> str:
 _RATES = ("acc", "sens", "spec", "precision", "npv", "fpr", "fnr")
 
 
-@query(f"""WITH {LABELLED}, p AS (SELECT slide, label AS y, least(n_chars / 5000.0::DOUBLE, 1) AS s FROM labelled), c AS (SELECT slide, count(*) FILTER (y <> 1 AND NOT s >= 0.3) AS tn, count(*) FILTER (y <> 1 AND s >= 0.3) AS fp, count(*) FILTER (y = 1 AND NOT s >= 0.3) AS fn,
-  count(*) FILTER (y = 1 AND s >= 0.3) AS tp FROM p GROUP BY slide) SELECT slide, tn, fp, fn, tp, {_rates()} FROM c""")
+@query(f"""WITH {LABELLED}, p AS (SELECT slide, label AS y, patch % 31 <> 3 AND patch % 37 <> 4 AND least(n_chars / 5000.0::DOUBLE, 1) >= 0.3 AS hit FROM labelled), c AS (SELECT slide, count(*) FILTER (y <> 1 AND NOT hit) AS tn, count(*) FILTER (y <> 1 AND hit) AS fp, count(*) FILTER (y = 1 AND NOT hit) AS fn,
+  count(*) FILTER (y = 1 AND hit) AS tp FROM p GROUP BY slide) SELECT slide, tn, fp, fn, tp, {_rates()} FROM c""")
 def q_confusion_rates(spark, sf):
-    p = labelled(spark, sf).withColumn("s", F.least(F.col("n_chars") / 5000.0, F.lit(1.0)))
+    s = F.when(F.col("patch") % 31 == 3, float("nan")).when(F.col("patch") % 37 != 4, F.least(F.col("n_chars") / 5000.0, F.lit(1.0)))
+    p = labelled(spark, sf).withColumn("s", s)
     return M.confusion(p, "label", "s", 0.3, ("slide",)).withColumns({c: F.round(c, 9) for c in _RATES})
 
 
@@ -40,13 +41,13 @@ def q_class_weights(spark, sf):
     return M.class_weights(labelled(spark, sf), "label").withColumn("weight", F.round("weight", 9))
 
 
-@query(f"""WITH {_PRED}, r AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS r FROM pred), t AS (SELECT sum(r) FILTER (y = 1) AS sr, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM r)
+@query(f"""WITH {_PRED}, r AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS r FROM pred WHERE s IS NOT NULL), t AS (SELECT sum(r) FILTER (y = 1) AS sr, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM r)
 SELECT round((sr - p * (p + 1) / 2) / (p * n), 9) AS roc_auc FROM t""")
 def q_roc_auc(spark, sf):
     return M.roc_auc(_pred(spark, sf), "y", "s").withColumn("roc_auc", F.round("roc_auc", 9))
 
 
-_STEPS = f"""{_PRED}, n AS (SELECT s, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS q FROM pred GROUP BY s),
+_STEPS = f"""{_PRED}, n AS (SELECT s, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS q FROM pred WHERE s IS NOT NULL GROUP BY s),
 c AS (SELECT s, p, q, sum(p) OVER (ORDER BY s DESC) AS tp, sum(q) OVER (ORDER BY s DESC) AS fp, sum(p) OVER () AS ap, sum(q) OVER () AS aq FROM n)"""
 
 
@@ -65,7 +66,7 @@ def q_pr_curve(spark, sf):
     return M.pr_curve(_pred(spark, sf), "y", "s").withColumns({c: F.round(c, 9) for c in ("precision", "recall")})
 
 
-_SWEEP = f"""{_PRED}, g AS (SELECT unnest(range(501)) / 500.0::DOUBLE AS t), c AS (SELECT t, count(*) FILTER (y = 0 AND s < t) AS tn, count(*) FILTER (y = 0 AND s >= t) AS fp, count(*) FILTER (y = 1 AND s < t) AS fn, count(*) FILTER (y = 1 AND s >= t) AS tp FROM g, pred GROUP BY t)"""
+_SWEEP = f"""{_PRED}, g AS (SELECT unnest(range(501)) / 500.0::DOUBLE AS t), c AS (SELECT t, count(*) FILTER (y = 0 AND NOT coalesce(s >= t, FALSE)) AS tn, count(*) FILTER (y = 0 AND s >= t) AS fp, count(*) FILTER (y = 1 AND NOT coalesce(s >= t, FALSE)) AS fn, count(*) FILTER (y = 1 AND s >= t) AS tp FROM g, pred GROUP BY t)"""
 
 
 @query(f"WITH {_SWEEP} SELECT round(t, 9) AS threshold, tn, fp, fn, tp, round(tp / (tp + fn + 1e-9) + tn / (tn + fp + 1e-9) - 1, 9) + 0.0 AS objective FROM c")
@@ -79,10 +80,10 @@ def q_best_threshold_f1(spark, sf):
     return M.best_threshold(M.threshold_sweep(_pred(spark, sf), "y", "s", mode="f1")).select(F.round("threshold", 9).alias("threshold"), F.round("objective", 9).alias("objective"))
 
 
-@query(f"""WITH {_PRED}, w AS (SELECT patch, y, s, CASE WHEN y = 0 THEN 'fp' ELSE 'fn' END AS kind, CASE WHEN y = 0 THEN s ELSE -s END AS e FROM pred WHERE (y = 0 AND s >= 0.5) OR (y = 1 AND s < 0.5))
-SELECT patch, y, s, kind, row_number() OVER (PARTITION BY kind ORDER BY e DESC, patch) AS rank FROM w QUALIFY rank <= 50""")
+@query(f"""WITH {_PRED}, w AS (SELECT patch, y, s, CASE WHEN y = 0 THEN 'fp' ELSE 'fn' END AS kind, CASE WHEN y = 0 THEN s ELSE -s END AS e FROM pred WHERE (y = 0 AND s >= 0.5) OR (y = 1 AND NOT coalesce(s >= 0.5, FALSE)))
+SELECT patch, y, s, kind, row_number() OVER (PARTITION BY kind ORDER BY e DESC NULLS LAST, patch) AS rank FROM w QUALIFY rank <= 50""")
 def q_hard_fp_fn(spark, sf):
-    return M.hard_examples(_pred(spark, sf), "y", "s", "patch", 50).select("patch", "y", "s", "kind", F.col("rank").cast("long").alias("rank"))
+    return M.hard_examples(_pred(spark, sf), "y", "s", "patch", 50).select("patch", "y", C.known("s").alias("s"), "kind", F.col("rank").cast("long").alias("rank"))
 
 
 @query("""WITH RECURSIVE h AS (SELECT row_number() OVER (ORDER BY year(o_orderdate), month(o_orderdate)) AS e, round(avg(o_totalprice) / 300000, 6) AS m FROM orders GROUP BY year(o_orderdate), month(o_orderdate)),
@@ -104,7 +105,7 @@ def q_calibration_percentiles(spark, sf):
     return out.select(*(F.round(c, 9).alias(c) for c in out.columns))
 
 
-@query(f"WITH {_PRED} SELECT y, least(greatest(CAST(floor(s * 40) AS INT), 0), 39) AS bin, count(*) AS n FROM pred GROUP BY ALL")
+@query(f"WITH {_PRED} SELECT y, least(greatest(CAST(floor(s * 40) AS INT), 0), 39) AS bin, count(*) AS n FROM pred WHERE s IS NOT NULL GROUP BY ALL")
 def q_histogram(spark, sf):
     return M.histogram(_pred(spark, sf), ["y"], "s", 40)
 
@@ -115,7 +116,7 @@ def q_histogram_otsu(spark, sf):
     return M.otsu(table(spark, sf, "events"), "value")
 
 
-@query(f"""WITH {_PRED}, w AS (SELECT CAST(patch % 4 + 1 AS INT) AS epoch, count(*) FILTER (y = 0 AND s >= 0.5) AS fp, count(*) FILTER (y = 1 AND s < 0.5) AS fn FROM pred GROUP BY 1)
+@query(f"""WITH {_PRED}, w AS (SELECT CAST(patch % 4 + 1 AS INT) AS epoch, count(*) FILTER (y = 0 AND s >= 0.5) AS fp, count(*) FILTER (y = 1 AND NOT coalesce(s >= 0.5, FALSE)) AS fn FROM pred GROUP BY 1)
 SELECT epoch, least(fp, CASE WHEN epoch = 1 THEN 200 ELSE 50 END) AS n_fp, least(fn, CASE WHEN epoch = 1 THEN 200 ELSE 50 END) AS n_fn FROM w""")
 def q_hard_example_files(spark, sf):
     """How many hard examples each epoch's file holds, the epoch read from its name."""

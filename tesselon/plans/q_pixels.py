@@ -136,14 +136,6 @@ def q_before_and_after(spark, sf):
     return out.select("img", *(F.round(c, 6).alias(c) for c in out.columns[1:]))
 
 
-@query()
-def k_tile_kernels(spark, sf):
-    """The array kernels over the same images: quality metrics and tile features."""
-    from ..operators import masks
-
-    return masks.kernel_table(_images(spark), "tile_metrics").join(masks.kernel_table(_images(spark), "tile_features"), "img")
-
-
 @query()
 def k_masks(spark, sf):
     """Tissue masks with status for synthetic slides."""
@@ -164,8 +156,8 @@ def k_end_to_end(spark, sf):
 
     s = stages.Settings(mask=masks.configured(guard_px=8, crop_px=4, edge_strip=8), mask_downsample=4.0, stride=96, read=64, tile=32, max_candidates=60, qc=select.QcThresholds(0.1, 1, 40, 0.9, 0.9, None, None), quotas=select.Quotas(20), tumor=gate.TumorGate(high=0.4, mid=0.2, topk=10, min_high=1, min_scored=1, min_ratio=0.0))
     slides = spark.range(4).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("slide_uid"), F.concat(F.lit("/synthetic/"), F.col("id").cast("string"), F.lit(".svs")).alias("path"))
-    rows = stages.mask_stage(slides, plugins.SyntheticSlide, s)
-    pool = stages.qc_stage(slides, stages.candidates(rows, s), plugins.SyntheticSlide, s)
+    rows = stages.held(stages.mask_stage(slides, plugins.SyntheticSlide, s), "masks")
+    pool = stages.held(stages.qc_stage(slides, stages.held(stages.candidates(rows, s), "candidates"), plugins.SyntheticSlide, s), "pool")
     chosen, summary = stages.select_stage(slides, pool, s)
     scored, gated = stages.tumor_stage(slides, chosen.select("slide_uid", "patch_id", "x0", "y0"), plugins.SyntheticSlide, plugins.StandInClassifier, s)
     _, pooled = stages.feature_stage(slides, scored, gated, plugins.SyntheticSlide, plugins.StandInEncoder, s)

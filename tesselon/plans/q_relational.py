@@ -66,13 +66,13 @@ def q_fuzzy_prefix_join(spark, sf):
     return slides.found_slides(p.select(name.alias("name")).distinct(), index, "name").select("name", "stem", "path")
 
 
-@query("""WITH s AS (SELECT 'c' || o_custkey % 3 AS center, o_custkey AS id, 'u' || o_orderkey AS uid FROM orders WHERE o_orderkey % 3 = 0), n AS (SELECT center, id, count(*) AS n, min(uid) AS uid FROM s GROUP BY ALL)
-SELECT 'c' || c_custkey % 3 AS center, c_custkey::VARCHAR AS slide_id, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE '' END AS reason, CASE WHEN n = 1 THEN uid END AS slide_uid
-FROM customer LEFT JOIN n ON n.id = c_custkey AND n.center = 'c' || c_custkey % 3""")
+@query("""WITH s AS (SELECT 'c' || o_orderkey % 7 AS center, o_custkey AS id, 'u' || o_orderkey AS uid FROM orders), n AS (SELECT center, id, count(*) AS n, min(uid) AS uid FROM s GROUP BY ALL)
+SELECT 'c' || c_custkey % 7 AS center, c_custkey::VARCHAR AS slide_id, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE '' END AS reason, CASE WHEN n = 1 THEN uid END AS slide_uid
+FROM customer LEFT JOIN n ON n.id = c_custkey AND n.center = 'c' || c_custkey % 7""")
 def q_unique_key_join_reason(spark, sf):
     def center(c):
-        return F.concat(F.lit("c"), (F.col(c) % 3).cast("string")).alias("center")
-    s = table(spark, sf, "orders").where("o_orderkey % 3 = 0").select(center("o_custkey"), F.col("o_custkey").cast("string").alias("slide_id"), F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("slide_uid"))
+        return F.concat(F.lit("c"), (F.col(c) % 7).cast("string")).alias("center")
+    s = table(spark, sf, "orders").select(center("o_orderkey"), F.col("o_custkey").cast("string").alias("slide_id"), F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("slide_uid"))
     rows = table(spark, sf, "customer").select(center("c_custkey"), F.col("c_custkey").cast("string").alias("slide_id"))
     return slides.legacy_keys(rows, s).select("center", "slide_id", "reason", "slide_uid")
 
@@ -151,13 +151,12 @@ def q_geojson_explode(spark, sf):
     return g.select("file", "class_name", (F.col("rings")[0][0][0] > 2).cast("int").alias("p"), F.size(F.col("rings")[0]).alias("n_points")).select("file", "class_name", (F.col("p") + 1).alias("part"), "n_points")
 
 
-@query("""WITH c AS (SELECT user_id, event_type, count(*) AS n, round(max(value), 6) AS v, event_id % 2 AS half FROM events GROUP BY user_id, event_type, half), l AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY half DESC) AS r FROM c)
-SELECT user_id, event_type, n, v FROM l WHERE r = 1""")
+@query("""SELECT user_id, event_type, event_id, round(value, 6) AS v FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 2 DESC, event_id DESC) = 1""")
 def q_upsert_keep_last(spark, sf):
-    """Two runs' summaries merged, the later one's rows in the place of the earlier one's."""
-    e = table(spark, sf, "events")
-    old, new = (e.where(F.col("event_id") % 2 == h).groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.round(F.max("value"), 6).alias("v")) for h in (0, 1))
-    return summary.upsert(old, new, ["user_id", "event_type"]).select("user_id", "event_type", "n", "v")
+    """Two runs merged, the later one's rows in the place of the earlier one's; of a run's rows of one key the last."""
+    e = table(spark, sf, "events").select("user_id", "event_type", "event_id", F.round("value", 6).alias("v"))
+    old, new = (e.where(F.col("event_id") % 2 == h) for h in (0, 1))
+    return summary.upsert(old, new, ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id", "v")
 
 
 @query("SELECT md5(text) AS digest, min(doc_id) AS doc_id FROM documents GROUP BY ALL")
@@ -185,10 +184,10 @@ def q_hash_leak(spark, sf):
     return summary.overlap(*_halves(spark, sf), "h")
 
 
-@query("SELECT source FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT source FROM documents WHERE doc_id % 3 = 1")
+@query("SELECT source FROM documents WHERE doc_id // 7 % 2 = 0 INTERSECT SELECT source FROM documents WHERE doc_id // 7 % 2 = 1")
 def q_intersect_leak(spark, sf):
     d = table(spark, sf, "documents").select("source", "doc_id")
-    return summary.overlap(d.where("doc_id % 2 = 0"), d.where("doc_id % 3 = 1"), "source")
+    return summary.overlap(d.where("doc_id div 7 % 2 = 0"), d.where("doc_id div 7 % 2 = 1"), "source")
 
 
 @query(f"WITH {_HALVES} SELECT h FROM a EXCEPT SELECT h FROM b")
@@ -251,13 +250,14 @@ def q_distinct_counts(spark, sf):
     return table(spark, sf, "events").agg(F.count_distinct("user_id").alias("n_slides"), F.count_distinct("event_type").alias("n_centers"), F.count_distinct(F.concat_ws("/", "user_id", "event_type")).alias("n_pairs"))
 
 
-@query("""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 0 WHEN doc_id % 5 = 0 THEN 1 END AS src FROM documents), m AS (SELECT doc_id % 50 AS slide, min(src) AS src FROM d WHERE src IS NOT NULL GROUP BY 1)
+@query("""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 50 < 25 AND doc_id % 3 = 0 THEN 0 ELSE 1 END AS src FROM documents), m AS (SELECT doc_id % 50 AS slide, min(src) AS src FROM d GROUP BY 1)
 SELECT d.doc_id % 50 AS slide, count(*) AS n, CASE m.src WHEN 0 THEN 'all' ELSE 'top' END AS source FROM d JOIN m ON m.slide = d.doc_id % 50 AND m.src = d.src GROUP BY d.doc_id % 50, m.src""")
 def q_first_source(spark, sf):
     """Of each slide the rows of the first source that has it."""
     d = table(spark, sf, "documents").select((F.col("doc_id") % 50).alias("slide"), "doc_id")
-    a = d.where("doc_id % 3 = 0").withColumn("source", F.lit("all"))
-    b = d.where("doc_id % 3 <> 0 and doc_id % 5 = 0").withColumn("source", F.lit("top"))
+    first = (F.col("doc_id") % 50 < 25) & (F.col("doc_id") % 3 == 0)
+    a = d.where(first).withColumn("source", F.lit("all"))
+    b = d.where(~first).withColumn("source", F.lit("top"))
     return slides.first_source([a, b], "slide").groupBy("slide", "source").agg(F.count("*").alias("n"))
 
 

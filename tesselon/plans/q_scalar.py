@@ -42,25 +42,25 @@ def q_slide_index(spark, sf):
     return slides.slide_index(_paths(spark, sf))
 
 
-@query(f"WITH n AS (SELECT doc_id, substr(text, 1, 60) AS t FROM documents), c AS (SELECT doc_id, {_clean('t')} AS s FROM n) SELECT doc_id, {_SAN.format(n=20)} AS part FROM c")
+@query(f"WITH n AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), c AS (SELECT doc_id, {_clean('t')} AS s FROM n) SELECT doc_id, {_SAN.format(n=20)} AS part FROM c")
 def q_sanitize(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", C.sanitize_part(F.substring("text", 1, 60), 20).alias("part"))
+    return table(spark, sf, "documents").select("doc_id", C.sanitize_part(F.coalesce("text", F.lit("")), 20).alias("part"))
 
 
 _NAME = "'S' || l_orderkey || '__x' || l_partkey || '__y' || l_suppkey || '__mpp' || printf('%.3f', l_discount + 0.2) || '__r' || l_linenumber"
 
 
-@query(f"WITH n AS (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_discount FROM lineitem WHERE l_orderkey % 20 = 0) SELECT {_NAME} AS name FROM n")
+@query(f"WITH n AS (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_discount FROM lineitem) SELECT {_NAME} AS name FROM n")
 def q_filename_format(spark, sf):
-    n = table(spark, sf, "lineitem").where("l_orderkey % 20 = 0").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount").distinct()
+    n = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount").distinct()
     return n.select(C.patch_name(F.concat(F.lit("S"), F.col("l_orderkey").cast("string")), "l_partkey", "l_suppkey", F.col("l_discount") + 0.2, "l_linenumber").alias("name"))
 
 
-@query(f"""WITH n AS (SELECT CASE l_linenumber WHEN 3 THEN 'broken__x' || l_partkey ELSE {_NAME} || '.png' END AS name FROM lineitem WHERE l_orderkey % 20 = 0)
+@query(f"""WITH n AS (SELECT CASE l_linenumber WHEN 3 THEN 'broken__x' || l_partkey ELSE {_NAME} || '.png' END AS name FROM lineitem)
 SELECT name, regexp_extract(name, '^(.*?)__x', 1) AS slide_id, try_cast(regexp_extract(name, '__x(-?\\d+)', 1) AS INT) AS x, try_cast(regexp_extract(name, '__y(-?\\d+)', 1) AS INT) AS y, try_cast(regexp_extract(name, '__mpp(\\d+(?:\\.\\d+)?)', 1) AS DOUBLE) AS mpp,
   try_cast(regexp_extract(name, '__r(\\d+)', 1) AS INT) AS read_px FROM n""")
 def q_filename_parse(spark, sf):
-    n = table(spark, sf, "lineitem").where("l_orderkey % 20 = 0")
+    n = table(spark, sf, "lineitem")
     good = F.concat(C.patch_name(F.concat(F.lit("S"), F.col("l_orderkey").cast("string")), "l_partkey", "l_suppkey", F.col("l_discount") + 0.2, "l_linenumber"), F.lit(".png"))
     n = n.select(F.when(F.col("l_linenumber") == 3, F.concat(F.lit("broken__x"), F.col("l_partkey").cast("string"))).otherwise(good).alias("name"))
     return n.select("name", *(v.alias(k) for k, v in C.patch_name_parts("name").items()))
@@ -83,12 +83,12 @@ def q_tolerant_casts(spark, sf):
 _PROPS = "l_orderkey % 7 AS k, l_quantity AS q, l_tax AS t"
 
 
-@query("""WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_orderkey % 7 AS k, l_quantity AS q, l_tax AS t FROM lineitem WHERE l_orderkey % 10 = 0)
+@query("""WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_orderkey % 7 AS k, l_quantity AS q, l_tax AS t FROM lineitem)
 SELECT l_orderkey, l_linenumber, q, t, CASE WHEN k IN (0, 1) AND t > 0 THEN round(t / 2 + 0.125, 9) WHEN k IN (2, 3) AND t > 0 THEN round(t, 9) WHEN k <> 6 AND q >= 40 THEN 0.25 WHEN k <> 6 AND q >= 20 THEN 0.5 END AS mpp FROM l""")
 def q_mpp_chain(spark, sf):
     """Microns a pixel from a map of properties."""
     k, q, t = F.col("l_orderkey") % 7, F.col("l_quantity"), F.col("l_tax")
-    m = table(spark, sf, "lineitem").where("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber", q.alias("q"), t.alias("t")).distinct()
+    m = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", q.alias("q"), t.alias("t")).distinct()
     def s(c):
         return c.cast("string")
     props = F.map_from_entries(
@@ -106,12 +106,12 @@ def q_mpp_chain(spark, sf):
     return m.select("l_orderkey", "l_linenumber", "q", "t", F.round(C.mpp(props), 9).alias("mpp"))
 
 
-@query("""WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey % 300 - 20 AS x, l_suppkey * 3 AS y, CASE WHEN l_linenumber = 2 THEN NULL ELSE 400 + l_orderkey % 300 END AS w, 350 AS h FROM lineitem WHERE l_orderkey % 10 = 0),
+@query("""WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey % 300 - 20 AS x, l_suppkey * 3 AS y, CASE WHEN l_linenumber = 2 THEN NULL ELSE 400 + l_orderkey % 300 END AS w, 350 AS h FROM lineitem),
 b AS (SELECT *, w IS NOT NULL AS ok FROM l), p AS (SELECT l_orderkey, l_linenumber, CASE WHEN ok THEN x ELSE 0 END AS x, CASE WHEN ok THEN y ELSE 0 END AS y, CASE WHEN ok THEN w ELSE 500 END AS w, CASE WHEN ok THEN h ELSE 420 END AS h FROM b)
 SELECT l_orderkey, l_linenumber, x AS bx, y AS by, w AS bw, h AS bh, greatest(0, least(x, 500)) AS cx, greatest(0, least(y, 420)) AS cy, least(w, 500 - greatest(0, least(x, 500))) AS cw, least(h, 420 - greatest(0, least(y, 420))) AS ch FROM p""")
 def q_bounds_detect(spark, sf):
     n = F.col("l_linenumber") == 2
-    m = table(spark, sf, "lineitem").where("l_orderkey % 10 = 0").select(
+    m = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", (F.col("l_partkey") % 300 - 20).alias("x"), (F.col("l_suppkey") * 3).alias("y"), F.when(~n, F.lit(400) + F.col("l_orderkey") % 300).alias("w"), F.lit(350).cast("long").alias("h")
     ).distinct()
     cw, ch = F.lit(500).cast("long"), F.lit(420).cast("long")
@@ -120,10 +120,10 @@ def q_bounds_detect(spark, sf):
     return out.select("l_orderkey", "l_linenumber", *(F.col(c).cast("long").alias(c) for c in out.columns[2:]))
 
 
-@query("""WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_discount + 0.2 AS mpp, l_partkey * 2 AS x, l_quantity::INT AS lo FROM lineitem WHERE l_orderkey % 10 = 0), r AS (SELECT *, greatest(CAST(round_even(round(224.0::DOUBLE * 0.5 / mpp, 9), 0) AS INT), 224) AS px FROM l)
+@query("""WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_discount + 0.2 AS mpp, l_partkey * 2 AS x, l_quantity::INT AS lo FROM lineitem), r AS (SELECT *, greatest(CAST(round_even(round(224.0::DOUBLE * 0.5 / mpp, 9), 0) AS INT), 224) AS px FROM l)
 SELECT l_orderkey, l_linenumber, px, greatest(0, least(x, greatest(0, 3000 - px)))::INT AS x0, greatest(0, lo - greatest(8, CAST(round_even((70 - lo) * 0.05::DOUBLE, 0) AS INT)))::INT AS low, least(90, 70 + greatest(8, CAST(round_even((70 - lo) * 0.05::DOUBLE, 0) AS INT)))::INT AS high FROM r""")
 def q_read_window(spark, sf):
-    m = table(spark, sf, "lineitem").where("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber", (F.col("l_discount") + 0.2).alias("mpp"), (F.col("l_partkey") * 2).alias("x"), F.col("l_quantity").cast("int").alias("lo")).distinct()
+    m = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_discount") + 0.2).alias("mpp"), (F.col("l_partkey") * 2).alias("x"), F.col("l_quantity").cast("int").alias("lo")).distinct()
     px = F.greatest(F.bround(F.round(F.lit(224.0) * 0.5 / F.col("mpp"), 9)).cast("int"), F.lit(224))
     low, high = C.expanded("lo", F.lit(70), F.lit(90), 8, 0.05)
     return m.withColumn("px", px).select("l_orderkey", "l_linenumber", "px", C.clamp_origin("x", F.lit(3000), F.col("px")).cast("int").alias("x0"), low.cast("int").alias("low"), high.cast("int").alias("high"))

@@ -12,7 +12,7 @@ from .base import LABELLED, PATCHES, labelled, patches, query, table
 GATE = gate.TumorGate(high=0.2, mid=0.1, topk=40, min_high=4, min_scored=30, min_ratio=0.06)
 
 _REGATE = f"""
-WITH {PATCHES}, bands AS (SELECT slide, count(*) AS scored_ok, count(*) FILTER (prob >= 0.2) AS hi, count(*) FILTER (prob >= 0.1 AND prob < 0.2) AS mid, count(*) FILTER (prob < 0.1) AS low FROM patches GROUP BY slide),
+WITH {PATCHES}, bands AS (SELECT slide, count(*) AS scored_ok, count(*) FILTER (prob >= 0.2) AS hi, count(*) FILTER (prob >= 0.1 AND prob < 0.2) AS mid, count(*) FILTER (prob < 0.1) AS low FROM patches WHERE prob IS NOT NULL GROUP BY slide),
 reason AS (SELECT *, round(hi / greatest(scored_ok, 1), 9) AS ratio, CASE WHEN hi < 4 THEN 'high_tumor_only<4' WHEN scored_ok < 30 THEN 'scored_ok<30' WHEN hi / greatest(scored_ok, 1) < 0.06 THEN 'high_ratio<0.06' ELSE '' END AS why FROM bands)
 SELECT slide, scored_ok, hi AS tumor_prob_ge_thr, mid AS tumor_prob_mid, low AS tumor_prob_low, least(scored_ok, 40) AS kept_topk, hi AS high_tumor_only_count, ratio AS high_ratio, why AS uni_discard_reason, why = '' AS uni_ready FROM reason"""
 
@@ -121,7 +121,7 @@ def q_high_only_from_topk(spark, sf):
 
 @query(f"WITH {PATCHES} SELECT slide, patch, round(prob, 9) AS prob FROM patches ORDER BY prob DESC, patch LIMIT 25")
 def q_topk_global(spark, sf):
-    return patches(spark, sf).orderBy(F.desc("prob"), "patch").limit(25).select("slide", "patch", F.round("prob", 9).alias("prob"))
+    return patches(spark, sf).orderBy(C.known("prob").desc_nulls_last(), "patch").limit(25).select("slide", "patch", F.round("prob", 9).alias("prob"))
 
 
 @query(f"WITH {PATCHES} SELECT slide, patch FROM patches QUALIFY row_number() OVER (PARTITION BY slide ORDER BY md5('42:' || slide || ':' || patch), patch) <= 5")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import logging
+import os
 import time
 from collections.abc import Callable, Iterable
 
@@ -50,6 +51,12 @@ def read_settings(path: str, profile: str = "default") -> Settings:
         return settings(yaml.safe_load(f) or {}, profile)
 
 
+def summary_path(root: str, other: str, prefix: str, name: str = "summary.csv") -> str:
+    """Where a stage's summary goes: in the folder of another stage's under a prefix, so that neither replaces the other."""
+    same = os.path.normpath(root) == os.path.normpath(other)
+    return f"{root.rstrip('/')}/{prefix}_{name}" if same else f"{root.rstrip('/')}/{name}"
+
+
 def run_stages(spark: SparkSession, stages: dict[str, Callable[[], object]], wanted: list[str], go_on: bool = True, may_fail: Iterable[str] = ("gate",)) -> tuple[int, DataFrame]:
     """Run the wanted stages in their order; returns the first failure's code and one row for each stage that ran.
 

@@ -31,16 +31,72 @@ class Settings:
     slide_gate: gate.SlideGate = field(default_factory=gate.SlideGate)
     tumor: gate.TumorGate = field(default_factory=gate.TumorGate)
     max_features: int = 5000
+    roi_pad: int = 8
+    roi_share: float = 0.05
 
 
 def mask_stage(slides: DataFrame, open_slide: Callable, s: Settings = Settings()) -> DataFrame:
-    """A mask row for each slide; slides that cannot be read have a status and no mask."""
+    """A mask row for each slide; slides that cannot be read have a status and no mask.
+
+    Where the mask holds too little tissue, the region around it is read at a finer level and masked once more
+    (roi_attempted, roi_used); the finer mask is joined where that gains tissue and no glare.
+    """
     thumbs = plugins.thumbnails(slides, open_slide, s.mask_downsample).join(slides.select(F.col("slide_uid").alias("img"), C.file_suffix("path").alias("suffix")), "img")
     made = masks.mask_table(thumbs.where("error is null"), s.mask, "suffix").join(thumbs.select("img", "downsample", F.col("h").alias("__h")).drop("__h"), "img")
     failed = thumbs.where("error is not null").select("img", F.lit("read_error").alias("mask_status"), F.lit("read_error").alias("mask_status_effective"), F.col("error").alias("error_message"))
+    low = F.coalesce(F.col("mask_status_effective") == "low_tissue", F.lit(False))
+    again = _finer(made.where(low).join(slides.select(F.col("slide_uid").alias("img"), "path"), "img"), open_slide, s)
+    made = made.where(~low).withColumns({"roi_attempted": F.lit(False), "roi_used": F.lit(False)}).unionByName(again)
     return made.unionByName(failed, allowMissingColumns=True).withColumnRenamed("img", "slide_uid")
 
 
+def _finer(rows: DataFrame, open_slide: Callable, s: Settings) -> DataFrame:
+    """Mask rows after another look at the region around what was found, or around all that is no black canvas."""
+    import numpy as np
+    from pyspark.sql import types as T
+
+    from ..operators import raster as R
+
+    kept = [c for c in rows.columns if c != "path"]
+    schema = T.StructType([*(rows.schema[c] for c in kept), T.StructField("roi_attempted", T.BooleanType()), T.StructField("roi_used", T.BooleanType())])
+
+    def look(row):
+        slide, h, w, ds = open_slide(row["path"]), int(row["h"]), int(row["w"]), float(row["downsample"])
+        levels = slide.levels()
+        level = min(range(len(levels)), key=lambda k: abs(levels[k][2] - ds))
+        finer = max((k for k in range(len(levels)) if levels[k][2] < ds), key=lambda k: levels[k][2], default=None)
+        rgb = slide.read(0, 0, level, w, h)
+        mask = np.unpackbits(np.frombuffer(row["mask"], np.uint8))[: h * w].reshape(h, w).astype(bool)
+        y, x = np.nonzero(mask if mask.any() else ~R.black_canvas(rgb))
+        if finer is None or not len(y):
+            return row
+        pad = [max(s.roi_pad, round((int(v.max()) - int(v.min())) * s.roi_share)) for v in (x, y)]
+        x1, x2, y1, y2 = max(0, int(x.min()) - pad[0]), min(w, int(x.max()) + 1 + pad[0]), max(0, int(y.min()) - pad[1]), min(h, int(y.max()) + 1 + pad[1])
+        scale = ds / levels[finer][2]
+        part = slide.read(round(x1 * ds), round(y1 * ds), finer, round((x2 - x1) * scale), round((y2 - y1) * scale))
+        new, used = masks.roi_retry(rgb, mask, part, (x1, y1, x2, y2), s.mask)
+        if used:
+            got = masks.status_fields(rgb, new, s.mask)
+            row |= {k: v for k, v in got.items() if k in row} | {"mask": np.packbits(new).tobytes(), "white_leak": masks.white_leak(rgb, new, s.mask)}
+        return row | {"roi_attempted": True, "roi_used": used}
+
+    def run(frames):
+        import pandas as pd
+
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                row |= {"roi_attempted": False, "roi_used": False}
+                try:
+                    row = look(row)
+                except Exception as e:  # the first mask stands
+                    row |= {"roi_attempted": True, "error_type": type(e).__name__, "error_message": " ".join(str(e).split())[:500]}
+                out.append(row)
+            yield pd.DataFrame(out, columns=[*kept, "roi_attempted", "roi_used"])
+
+    return map_pandas(rows, run, schema)
+
+
 def mask_pixels(mask_rows: DataFrame) -> DataFrame:
     """Sparse (slide_uid, y, x) rows of the masks."""
     def run(frames):
@@ -67,38 +123,47 @@ def candidates(mask_rows: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def qc_stage(slides: DataFrame, points: DataFrame, open_slide: Callable, s: Settings = Settings()) -> DataFrame:
-    """Candidates with their quality metrics, tile features and whether they pass; pixels never leave the read's task chain."""
-    tiles = plugins.read_tiles(points.join(slides.select("slide_uid", "path"), "slide_uid"), open_slide, s.tile, s.read, ("slide_uid", "patch_id", "x0", "y0"))
-    key = F.concat_ws("/", "slide_uid", F.col("patch_id").cast("string"))
-    good = tiles.where("error is null").withColumn("img", key)
-    both = masks.kernel_table(good, "tile_metrics").join(masks.kernel_table(good, "tile_features"), "img")
-    named = points.withColumn("img", key).join(both, "img").drop("img")
-    return named.withColumn("qc_ok", select.qc_predicate(s.qc))
+    """Candidates with their quality metrics, tile features and whether they pass.
+
+    Each tile is read once and measured by all kernels there; pixels never leave the read's task chain, and nothing is joined.
+    """
+    tiles = plugins.read_tiles(points.join(slides.select("slide_uid", "path"), "slide_uid"), open_slide, s.tile, s.read, tuple(points.columns))
+    both = masks.kernel_table(tiles.where("error is null"), "tile_metrics", "tile_features", keep=tuple(points.columns))
+    return both.withColumn("qc_ok", select.qc_predicate(s.qc))
 
 
 def select_stage(slides: DataFrame, pool: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
-    """(selected patches, one summary row per slide with a verdict)."""
+    """(selected patches, one summary row per slide with a verdict); the cap's cells are squares of the mask."""
     scored = select.score_patches(pool.where("qc_ok"), ["slide_uid"])
-    capped = select.spatial_cap(scored, ["slide_uid"], "x0", "y0", "cell_rich_p", "patch_id", s.cell, s.per_cell)
+    capped = select.spatial_cap(scored, ["slide_uid"], "x_mask", "y_mask", "cell_rich_p", "patch_id", s.cell, s.per_cell)
     chosen = select.quota_select(capped, ["slide_uid"], "cell_rich_p", "type", "patch_id", s.quotas)
     rows = select.qc_summary(slides, pool, chosen)
     return chosen, rows.withColumn("qc_status", F.when(F.col("candidates_after_mask") == 0, "no_candidates").when(F.col("qc_pass") == 0, "no_qc_pass").otherwise(select.slide_verdict(F.col("good_count"))))
 
 
-def tumor_stage(slides: DataFrame, points: DataFrame, open_slide: Callable, make: Callable, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
-    """(scored patches, slide rows with readiness)."""
+def held(df: DataFrame, name: str) -> DataFrame:
+    """What a model has made, so that it runs once: here in Spark's storage; runs that persist write it instead."""
+    return df.persist()
+
+
+def tumor_stage(slides: DataFrame, points: DataFrame, open_slide: Callable, make: Callable, s: Settings = Settings(), normaliser: Callable | None = None, save: Callable = held) -> tuple[DataFrame, DataFrame]:
+    """(scored patches, slide rows with readiness).
+
+    Tiles are brought to the normaliser's stains before the model sees them; those that fail, or could not be read, have no
+    score and are counted. `save` (table, name) keeps the scores before anything reads them, so the model sees a tile once.
+    """
     tiles = plugins.read_tiles(points.join(slides.select("slide_uid", "path"), "slide_uid"), open_slide, s.tile, s.read)
-    scored = plugins.score_tiles(tiles, make)
+    scored = save(plugins.score_tiles(plugins.normalise_tiles(tiles, normaliser) if normaliser else tiles, make), "scored")
     failed = scored.groupBy("slide_uid").agg(F.count_if(F.col("error").isNotNull()).alias("norm_or_read_fail"), F.count("*").alias("selected_input"))
     return scored, slides.select("slide_uid").join(failed, "slide_uid", "left").join(gate.regate(scored, "slide_uid", "tumor_prob", "patch_id", s.tumor), "slide_uid", "left")
 
 
-def feature_stage(slides: DataFrame, scored: DataFrame, gated: DataFrame, open_slide: Callable, make: Callable, s: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
-    """(patch features, slide rows with the mean vector) of the slides that are ready, best patches first."""
-    ready = summary.only_known(scored.where(F.col("tumor_prob") >= s.tumor.high), gated.where("uni_ready"), ["slide_uid"])
+def feature_stage(slides: DataFrame, scored: DataFrame, gated: DataFrame, open_slide: Callable, make: Callable, s: Settings = Settings(), normaliser: Callable | None = None, save: Callable = held) -> tuple[DataFrame, DataFrame]:
+    """(patch features, slide rows with the mean vector) of the slides that are ready, best patches first; as tumor_stage."""
+    ready = summary.only_known(scored.where(C.known("tumor_prob") >= s.tumor.high), gated.where("uni_ready"), ["slide_uid"])
     top = gate.top_scored(ready, "slide_uid", "tumor_prob", "patch_id", s.max_features)
     tiles = plugins.read_tiles(top.join(slides.select("slide_uid", "path"), "slide_uid"), open_slide, s.tile, s.read)
-    features = plugins.encode_tiles(tiles, make)
+    features = save(plugins.encode_tiles(plugins.normalise_tiles(tiles, normaliser, ("slide_uid", "patch_id")) if normaliser else tiles, make), "features")
     return features, summary.mean_pool(features.where("feature is not null"), ["slide_uid"], "feature")
 
 
@@ -132,7 +197,7 @@ def mine_stage(slides: DataFrame, open_slide: Callable, make: Callable, k: int,
     points = geo.window_density(geo.grid(sizes, "width", "height", stride), mask, "slide_uid", half, least)
     x0, y0 = (F.bround(F.col(c) * F.col("downsample")).cast("int") - s.read // 2 for c in ("x", "y"))
     points = points.withColumns({"x0": x0, "y0": y0, "patch_id": F.col("y").cast("long") * F.col("width") + F.col("x")})
-    inside = (F.col("x0") >= 0) & (F.col("y0") >= 0) & (F.col("x0") + s.read <= F.col("width") * F.col("downsample")) & (F.col("y0") + s.read <= F.col("height") * F.col("downsample"))
+    inside = C.window_inside("x0", "y0", s.read, F.col("width") * F.col("downsample"), F.col("height") * F.col("downsample"))
     points = points.where(inside).join(slides.select("slide_uid", "path"), "slide_uid")
 
     def usable(frames):

@@ -77,6 +77,21 @@ class StandInEncoder:
         return np.concatenate([f for p in parts for f in (p.mean(1), p.std(1))], axis=1).astype(np.float32)
 
 
+def read_around(slide: SlideReader, x: float, y: float, mpp: float, target: float, out: int) -> np.ndarray:
+    """A tile of out x out pixels at `target` microns a pixel around a point, read inside the canvas; 1 pixel at least is read."""
+    from ..operators import raster as R
+
+    width, height, _ = slide.levels()[0]
+    size = min(max(1, round(out * target / mpp)), width, height)
+    x0, y0 = (min(max(0, round(v - size / 2)), n - size) for v, n in ((x, width), (y, height)))
+    return R.resize_bilinear(slide.read(x0, y0, 0, size, size), out, out)
+
+
+def read_point(slide: SlideReader, x: float, y: float, size: int, shift: tuple[int, int] = (0, 0)) -> np.ndarray:
+    """One read of size x size pixels around an annotation's point, moved by the bounds of the slide."""
+    return slide.read(round(x) + shift[0] - size // 2, round(y) + shift[1] - size // 2, 0, size, size)
+
+
 def read_tiles(patches: DataFrame, open_slide: Callable[[str], SlideReader], size: int = 224, read: int = 448, keep: tuple[str, ...] = ("slide_uid", "patch_id", "x0", "y0")) -> DataFrame:
     """patches (path, x0, y0 and keep) with h, w, rgb, or with an error where a read failed; each task opens a slide once."""
     from pyspark.sql import types as T
@@ -107,6 +122,30 @@ def read_tiles(patches: DataFrame, open_slide: Callable[[str], SlideReader], siz
     return map_pandas(patches.select(*cols).sortWithinPartitions("path"), run, T.StructType(fields))
 
 
+def normalise_tiles(tiles: DataFrame, make: Callable[[], object], keep: tuple[str, ...] = ("slide_uid", "patch_id", "x0", "y0")) -> DataFrame:
+    """tiles (keep, h, w, rgb, error) brought to the stains of a normaliser, made once per task; what fails has an error and no pixels."""
+    names = [*keep, "h", "w", "rgb", "error"]
+
+    def run(frames):
+        normaliser = make()
+        for frame in frames:
+            frame = frame.copy()
+            pixels, errors = [], []
+            for h, w, data, error in frame[["h", "w", "rgb", "error"]].itertuples(index=False):
+                if data is not None and error is None:
+                    try:
+                        data = normaliser.normalize(np.frombuffer(data, np.uint8).reshape(int(h), int(w), 3)).tobytes()
+                    except Exception as e:  # counted like a failed read
+                        data, error = None, f"normalise: {type(e).__name__}: {' '.join(str(e).split())[:400]}"
+                pixels.append(data)
+                errors.append(error)
+            frame["rgb"], frame["error"] = pixels, errors
+            yield frame[names]
+
+    tiles = tiles.select(*names)
+    return map_pandas(tiles, run, tiles.schema)
+
+
 def score_tiles(tiles: DataFrame, make: Callable[[], Classifier], batch: int = 256, keep: tuple[str, ...] = ("slide_uid", "patch_id", "x0", "y0")) -> DataFrame:
     """keep, tumor_prob and error of tiles (h, w, rgb); a model is made once per task, failed tiles have no probability."""
     return _batched(tiles, lambda model, x: model.predict(x).astype(float).tolist(), make, batch, keep, "tumor_prob", "double")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions.ranks import keep_first
+from ..functions.ranks import keep_first, keep_last
 from ..schemas import TRAIN_COORDS, conform
 
 SLIDE_SUFFIXES = (".svs", ".mrxs", ".ndpi", ".tif", ".tiff", ".scn", ".bif", ".vms")
@@ -90,6 +90,16 @@ def csv(spark: SparkSession, path: str, schema, aliases: dict[str, tuple[str, ..
     return conform(spark.read.option("header", True).option("inferSchema", False).csv(path), schema, aliases)
 
 
+def summary(spark: SparkSession, path: str, schema, keys: list[str], order: str) -> DataFrame:
+    """A summary CSV by its keys; of rows that repeat a key the one that is last in `order` counts."""
+    return keep_last(csv(spark, path, schema), keys, order)
+
+
+def aligned(rows: DataFrame, keep: list[str], arrays: list[str]) -> DataFrame:
+    """One row (keep, pos, ...) for each position of arrays that belong together; shorter ones are null at their end."""
+    return rows.select(*keep, F.posexplode(F.arrays_zip(*arrays)).alias("pos", "__z")).select(*keep, F.col("pos").cast("long").alias("pos"), *(F.col("__z")[a].alias(a) for a in arrays))
+
+
 def coordinates(spark: SparkSession, path: str) -> DataFrame:
     """Labelled coordinates; x, y come before x_qp, y_qp where both are there."""
     return csv(spark, path, TRAIN_COORDS, {"x_qp": ("x",), "y_qp": ("y",)})

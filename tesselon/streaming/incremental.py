@@ -11,15 +11,15 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.summary import read_current, upsert, write_version
 
 
-def upsert_stream(stream: DataFrame, root: str, keys: list[str], checkpoint: str, summarise: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, root: str, keys: list[str], order: str, checkpoint: str, summarise: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Merge everything that is available into the table at root and stop; a batch that is replayed changes nothing.
 
-    Each micro-batch becomes a new version of the table, last write wins. summarise turns a batch into rows first.
+    Each micro-batch becomes a new version of the table, last write wins, in a batch the row that is last in `order`. summarise turns a batch into rows first.
     """
     def merge(batch: DataFrame, _: int) -> None:
         rows = summarise(batch) if summarise else batch
         old = read_current(batch.sparkSession, root)
-        write_version(upsert(old, rows, keys) if old is not None else upsert(rows.limit(0), rows, keys), root)
+        write_version(upsert(old if old is not None else rows.limit(0), rows, keys, order), root)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,5 +1,6 @@
 """Operators against plain Python, and properties: caps, quotas, upserts, splits, streams, sources and sinks."""
 
+import os
 import itertools
 import random
 
@@ -93,8 +94,8 @@ def test_cap_keeps_at_most_n_and_ranks_ignore_row_order(spark):
 def test_upsert_twice_is_upsert_once(spark):
     old = spark.createDataFrame([("a", 1, "x"), ("b", 2, None)], "k string, v int, w string")
     new = spark.createDataFrame([("b", 9, 5.0), ("c", 3, None)], "k string, v int, z double")
-    once = summary.upsert(old, new, ["k"])
-    twice = summary.upsert(once, new, ["k"])
+    once = summary.upsert(old, new, ["k"], "v")
+    twice = summary.upsert(once, new, ["k"], "v")
     want = {("a", 1, "x", None), ("b", 9, None, 5.0), ("c", 3, None, None)}
     assert {(r["k"], r["v"], r["w"], r["z"]) for r in once.collect()} == want == {(r["k"], r["v"], r["w"], r["z"]) for r in twice.collect()}
 
@@ -172,7 +173,9 @@ def test_files_and_names(spark, tmp_path):
 def test_lookup_never_fans_out(spark):
     s = spark.createDataFrame([("u1", "i1"), (" ", "i2"), (None, "i9")], "slide_uid string, slide_id string")
     t = spark.createDataFrame([("u1", "i1", 5), ("u1", "i1", 4), (None, "i2", 7)], "slide_uid string, slide_id string, v int")
-    assert sorted((r["slide_id"], r["v"]) for r in gate.lookup(s, t, ["v"]).collect()) == [("i1", 4), ("i2", 7), ("i9", None)]
+    assert sorted((r["slide_id"], r["v"]) for r in gate.lookup(s, t, ["v"]).collect()) == [("i1", 5), ("i2", 7), ("i9", None)]
+    t = t.withColumn("seq", -F.col("v"))
+    assert sorted((r["slide_id"], r["v"]) for r in gate.lookup(s, t, ["v"], order="seq").collect()) == [("i1", 4), ("i2", 7), ("i9", None)]
 
 
 def test_precheck_raises(spark):
@@ -203,10 +206,10 @@ def test_incremental_upsert(spark, tmp_path):
     schema = T.StructType([T.StructField("slide_uid", T.StringType()), T.StructField("n", T.IntegerType())])
     src, root, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
     spark.createDataFrame([("a", 1), ("b", 1)], schema).coalesce(1).write.mode("append").parquet(src)
-    upsert_stream(files(spark, src, schema), root, ["slide_uid"], ck).awaitTermination()
+    upsert_stream(files(spark, src, schema), root, ["slide_uid"], "n", ck).awaitTermination()
     spark.createDataFrame([("b", 2), ("c", 1)], schema).coalesce(1).write.mode("append").parquet(src)
-    upsert_stream(files(spark, src, schema), root, ["slide_uid"], ck).awaitTermination()
-    upsert_stream(files(spark, src, schema), root, ["slide_uid"], ck).awaitTermination()  # nothing new
+    upsert_stream(files(spark, src, schema), root, ["slide_uid"], "n", ck).awaitTermination()
+    upsert_stream(files(spark, src, schema), root, ["slide_uid"], "n", ck).awaitTermination()  # nothing new
     assert sorted(map(tuple, summary.read_current(spark, root).collect())) == [("a", 1), ("b", 2), ("c", 1)]
 
 
@@ -251,3 +254,148 @@ def test_even_sample(spark):
     df = spark.range(50).selectExpr("'s' as s", "id as k")
     got = sorted(r["k"] for r in ranks.even_sample(df, ["s"], ["k"], 7).collect())
     assert got == sorted({int(i * 49 / 6) for i in range(7)})
+
+
+def test_the_last_row_of_a_key_wins(spark):
+    old = spark.createDataFrame([("a", "zz", 1), ("a", "aa", 2), ("b", "x", 9)], "k string, v string, seq int")
+    assert sorted(map(tuple, summary.upsert(old.limit(0), old, ["k"], "seq").collect())) == [("a", "aa", 2), ("b", "x", 9)]
+    new = spark.createDataFrame([("b", "older", 1)], "k string, v string, seq int")
+    assert sorted(map(tuple, summary.upsert(old, new, ["k"], "seq").collect())) == [("a", "aa", 2), ("b", "older", 1)]
+
+
+def test_versions_survive_what_dies_between(spark, tmp_path):
+    import shutil
+
+    root = str(tmp_path / "t")
+    assert summary.read_current(spark, root) is None
+    for n in range(5):
+        summary.write_version(spark.range(n), root)
+    assert summary.read_current(spark, root).count() == 4 and len([p for p in os.listdir(root) if p.startswith("v-")]) == 3
+    spark.range(99).write.parquet(f"{root}/v-unfinished")  # a writer that died before its pointer
+    open(f"{root}/_versions/tmp-v-unfinished", "w").close()
+    assert summary.read_current(spark, root).count() == 4
+    summary.write_version(spark.range(7), root)
+    assert summary.read_current(spark, root).count() == 7
+    shutil.rmtree(f"{root}/_versions")
+    with pytest.raises(RuntimeError):
+        summary.read_current(spark, root)
+    with pytest.raises(RuntimeError):
+        summary.write_version(spark.range(1), root)
+
+
+def test_nan_is_no_score(spark):
+    nan = float("nan")
+    rows = [("s", 1, nan, 1), ("s", 2, None, 0), ("s", 3, 0.9, 1), ("s", 4, 0.2, 0), ("s", 5, nan, 0), ("s", 6, 0.8, 1)]
+    df = spark.createDataFrame(rows, "slide string, patch int, p double, y int")
+    r = gate.regate(df, "slide", "p", "patch", gate.TumorGate()).first()
+    assert (r["scored_ok"], r["tumor_prob_ge_thr"]) == (3, 2)
+    assert [x["patch"] for x in gate.high_only(df, "slide", "p", "patch", gate.TumorGate()).orderBy("patch").collect()] == [3, 6]
+    assert [(x["patch"], x["p"]) for x in gate.top_scored(df, "slide", "p", "patch", 4).orderBy("rank").collect()] == [(3, 0.9), (6, 0.8), (4, 0.2), (1, None)]
+    c = metrics.confusion(df, "y", "p").first()
+    assert (c["tn"], c["fp"], c["fn"], c["tp"]) == (3, 0, 1, 2)
+    assert metrics.roc_auc(df, "y", "p").first()["roc_auc"] == 1.0
+    s = metrics.threshold_sweep(df, "y", "p", 11).where("threshold = 0.5").first()
+    assert (s["tn"], s["fp"], s["fn"], s["tp"]) == (3, 0, 1, 2)
+    assert sum(x["n"] for x in metrics.histogram(df, [], "p", 10).collect()) == 3
+    assert {x["patch"]: x["r"] for x in df.select("patch", ranks.pct_rank_avg(["slide"], "p").alias("r")).collect()} == {1: None, 2: None, 5: None, 4: 1 / 3, 6: 2 / 3, 3: 1.0}
+    assert [x["patch"] for x in select.spatial_cap(df.withColumns({"x": F.lit(1), "y0": F.lit(1)}), ["slide"], "x", "y0", "p", "patch", most=1).collect()] == [3]
+
+
+def test_curves_of_crowded_scores(spark):
+    """Nearly all scores next to 1: the ranges still hold about as many each."""
+    n = 20_000
+    df = spark.range(n).select((F.col("id") % 3 == 0).cast("int").alias("y"), F.when(F.col("id") % 100 == 0, F.col("id") / n).otherwise(0.9998 + F.col("id") * 1e-8).alias("s"))
+    got = {r["score"]: (r["tp"], r["fp"]) for r in metrics.steps(df, "y", "s").collect()}
+    tp = fp = 0
+    for s, y in sorted(((r["s"], r["y"]) for r in df.collect()), reverse=True):
+        tp, fp = tp + y, fp + 1 - y
+        assert got[s] == (tp, fp)
+
+
+def test_one_of_an_even_sample(spark):
+    df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 9)], "g string, i int")
+    assert sorted(map(tuple, ranks.even_sample(df, ["g"], ["i"], 1).collect())) == [("a", 0), ("b", 9)]
+
+
+def test_each_tile_is_read_and_scored_once(spark, tmp_path):
+    """Counts kept in files, as the work is done in other processes."""
+    import numpy as np
+
+    from tesselon.operators import masks
+    from tesselon.operators import raster as R
+    from tesselon.plans import stages
+    from tesselon.sources import plugins
+
+    log = str(tmp_path)
+
+    def note(kind, n=1):
+        fd = os.open(f"{log}/{kind}", os.O_WRONLY | os.O_APPEND | os.O_CREAT)
+        os.write(fd, b"x" * n)
+        os.close(fd)
+
+    class Slide(plugins.SyntheticSlide):
+        def read(self, x0, y0, level, w, h):
+            if level == 0:
+                note("reads")
+            return super().read(x0, y0, level, w, h)
+
+    class Model(plugins.StandInClassifier):
+        def predict(self, tiles):
+            note("tiles", len(tiles))
+            return super().predict(tiles)
+
+    class Normaliser:
+        def normalize(self, rgb):
+            if rgb.mean() > 200:
+                raise ValueError("too little stain")
+            return np.minimum(rgb, 250)
+
+    def seen(kind):
+        n = os.path.getsize(f"{log}/{kind}") if os.path.exists(f"{log}/{kind}") else 0
+        if n:
+            os.remove(f"{log}/{kind}")
+        return n
+
+    s = stages.Settings(mask=masks.configured(guard_px=8, crop_px=4, edge_strip=8), mask_downsample=4.0, stride=96, read=64, tile=32, max_candidates=30, qc=select.QcThresholds(0.0, 0, 0, 1, 1, None, None), quotas=select.Quotas(20), cell=16, per_cell=1, tumor=gate.TumorGate(high=0.4, mid=0.2, topk=10, min_high=1, min_scored=1, min_ratio=0.0))
+    slides_ = spark.createDataFrame([("s0", "/synthetic/0.svs"), ("s1", "/synthetic/1.svs")], "slide_uid string, path string")
+    points = spark.createDataFrame(stages.candidates(stages.mask_stage(slides_, plugins.SyntheticSlide, s), s).collect())
+    n = points.count()
+    pool = spark.createDataFrame(stages.qc_stage(slides_, points, Slide, s).collect())
+    assert seen("reads") == n == pool.count() > 20
+    chosen, _ = stages.select_stage(slides_, pool, s)
+    chosen = chosen.select("slide_uid", "patch_id", "x0", "y0", "x_mask", "y_mask").collect()
+    cells = [(r["slide_uid"], r["x_mask"] // 16, r["y_mask"] // 16) for r in chosen]
+    assert len(set(cells)) == len(cells) < len({(r["slide_uid"], r["x_mask"], r["y_mask"]) for r in pool.collect()})  # the cap cuts, in the mask's coordinates
+    scored, gated = stages.tumor_stage(slides_, points.select("slide_uid", "patch_id", "x0", "y0"), Slide, Model, s, Normaliser)
+    rows, own = scored.collect(), gated.collect()
+    failed = [r for r in rows if r["error"]]
+    assert seen("reads") == n and seen("tiles") == n - len(failed)
+    assert failed and all(r["tumor_prob"] is None and r["error"].startswith("normalise") for r in failed)
+    assert sum(r["norm_or_read_fail"] for r in own) == len(failed) and sum(r["scored_ok"] or 0 for r in own) == n - len(failed)
+    assert R.augmented(np.zeros((4, 6, 3), np.uint8), 3).shape in ((4, 6, 3), (6, 4, 3))
+    slide = plugins.SyntheticSlide("/synthetic/0.svs")
+    assert plugins.read_around(slide, 0, 0, 0.25, 0.5, 32).shape == (32, 32, 3) == plugins.read_around(slide, 5, 9999, 9.0, 0.1, 32).shape
+    assert (plugins.read_point(slide, 100, 90, 8, (4, 5)) == slide.read(100, 91, 0, 8, 8)).all()
+
+
+def test_low_tissue_gets_a_second_look(spark):
+    from dataclasses import replace
+
+    from tesselon.operators import masks
+    from tesselon.plans import stages
+    from tesselon.sources import plugins
+
+    slides_ = spark.createDataFrame([("s0", "/synthetic/0.svs"), ("bad", "/none/1.svs")], "slide_uid string, path string")
+
+    def opened(path):
+        if path.startswith("/none"):
+            raise OSError("gone")
+        return plugins.SyntheticSlide(path)
+
+    c = masks.configured(guard_px=8, crop_px=4, edge_strip=8)
+    low = stages.Settings(mask=replace(c, expected=(0.9, 0.99), expected_effective=(0.9, 0.99)), mask_downsample=4.0)
+    rows = {r["slide_uid"]: r for r in stages.mask_stage(slides_, opened, low).collect()}
+    assert rows["s0"]["roi_attempted"] and rows["s0"]["roi_used"] is not None and rows["s0"]["mask"] is not None
+    assert rows["bad"]["mask_status"] == "read_error"
+    rows = {r["slide_uid"]: r for r in stages.mask_stage(slides_, opened, stages.Settings(mask=replace(c, expected=(0.0, 1.0)), mask_downsample=4.0)).collect()}
+    assert rows["s0"]["roi_attempted"] is False
