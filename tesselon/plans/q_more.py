@@ -201,7 +201,7 @@ def _amount(k: int) -> str:
 
 
 @query(f"WITH {PIXELS} SELECT img, round(avg({_amount(0)}), 7) AS h, round(avg({_amount(1)}), 7) AS e, round(avg({_amount(2)}), 7) AS r FROM pixels GROUP BY img")
-def q_three_stains(spark, sf):
+def k_three_stains(spark, sf):
     """Mean amounts of three stains in each image."""
     def amounts(rgb):
         return {n: [round(float(c.mean()), 7)] for n, c in zip("her", raster.unmixed3(raster.od(rgb), raster.DEFAULT_STAINS))}
@@ -213,7 +213,7 @@ def q_three_stains(spark, sf):
 r AS (SELECT img, y, x, id, id AS root FROM m UNION SELECT n.img, n.y, n.x, n.id, r.root FROM r JOIN m n ON n.img = r.img AND abs(n.y - r.y) <= 1 AND abs(n.x - r.x) <= 1 AND r.root < n.id),
 c AS (SELECT img, id, min(y) AS y, min(x) AS x, min(root) AS root FROM r GROUP BY img, id)
 SELECT img::INT AS img, root::BIGINT AS first, count(*) AS area, min(x)::BIGINT AS left, min(y)::BIGINT AS top, (max(x) + 1)::BIGINT AS right, (max(y) + 1)::BIGINT AS bottom FROM c GROUP BY img, root""")
-def q_components(spark, sf):
+def k_components(spark, sf):
     """8-connected components: their first pixel, area and box."""
     def run_(frames):
         import pandas as pd
@@ -243,7 +243,7 @@ def _grown(of: str) -> str:
 pen AS (SELECT img, y, x FROM hsv WHERE sat >= 140 AND v BETWEEN 40 AND 245), one AS {_grown('pen')}, two AS {_grown('one')},
 ok AS (SELECT img, y, x FROM pixels WHERE least(r, g, b) < 230 AND NOT ({_GRAY} <= 8 OR (r <= 12 AND g <= 12 AND b <= 12)))
 SELECT i.img, count(c.y) AS n, coalesce(sum(c.y), 0)::BIGINT AS sy, coalesce(sum(c.x), 0)::BIGINT AS sx FROM (SELECT DISTINCT img FROM pixels) i LEFT JOIN (SELECT ok.* FROM ok ANTI JOIN two USING (img, y, x)) c ON c.img = i.img GROUP BY i.img""")
-def q_clean_mask(spark, sf):
+def k_clean_mask(spark, sf):
     """Stained pixels away from pen marks."""
     def clean(rgb):
         y, x = np.nonzero(raster.clean_mask(rgb))
