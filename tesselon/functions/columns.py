@@ -18,6 +18,11 @@ def known(x) -> Column:
     return F.nanvl(_c(x).cast("double"), F.lit(None).cast("double"))
 
 
+def is_known(x) -> Column:
+    """Neither null nor NaN, as two conditions, of which a scan takes the first."""
+    return _c(x).isNotNull() & ~F.isnan(_c(x))
+
+
 def sanitize_part(text, max_len: int = 80) -> Column:
     """A safe part of a file name: runs of other characters become one underscore, outer dots and underscores go."""
     s = F.regexp_replace(F.trim(_c(text)), r"\\", "/")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import known, missing, readiness_reason, resolved_status, to_bool, to_float, tumor_band
+from ..functions.columns import is_known, known, missing, readiness_reason, resolved_status, to_bool, to_float, tumor_band
 from ..functions.ranks import top_per_key
 
 
@@ -30,7 +30,7 @@ def top_scored(scored: DataFrame, by: str, prob: str, key: str, k: int) -> DataF
 def high_only(scored: DataFrame, by: str, prob: str, key: str, g: TumorGate) -> DataFrame:
     """Patches of the high band, of all scored ones or of the top k; NaN is no score."""
     base = top_scored(scored, by, prob, key, g.topk).drop("rank") if g.high_from_topk else scored
-    return base.where(known(prob) >= g.high)
+    return base.where((F.col(prob) >= g.high) & ~F.isnan(prob))
 
 
 def regate(scored: DataFrame, by: str, prob: str, key: str, g: TumorGate) -> DataFrame:
@@ -39,7 +39,7 @@ def regate(scored: DataFrame, by: str, prob: str, key: str, g: TumorGate) -> Dat
     Null and NaN are no scores. A single aggregation: the top k of a slide hold min(k, n) rows, and of the high ones min(k, high), as they come first.
     """
     p = known(prob)
-    out = scored.where(p.isNotNull()).withColumn("band", tumor_band(p, g.high, g.mid)).groupBy(by).agg(
+    out = scored.where(is_known(prob)).withColumn("band", tumor_band(p, g.high, g.mid)).groupBy(by).agg(
         F.count("*").alias("scored_ok"),
         F.count_if(F.col("band") == "high").alias("tumor_prob_ge_thr"),
         F.count_if(F.col("band") == "mid").alias("tumor_prob_mid"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import known
+from ..functions.columns import is_known, known
 
 EPS = 1e-9
 
@@ -52,7 +52,7 @@ def steps(predictions: DataFrame, y: str, score: str) -> DataFrame:
     Scores are first counted, then cumulated in two levels: inside ranges that hold about as many distinct scores each,
     however these are spread, and over the few ranges' sums, so that no single task sees all scores.
     """
-    n = predictions.where(known(score).isNotNull()).groupBy(known(score).alias("score")).agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
+    n = predictions.where(is_known(score)).groupBy(known(score).alias("score")).agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"))
     ranges = min(512, max(32, int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     bounds = n.agg(F.percentile_approx("score", [k / ranges for k in range(1, ranges)], 20 * ranges).alias("bounds"))
     n = n.crossJoin(F.broadcast(bounds))
@@ -136,12 +136,12 @@ def hard_examples(predictions: DataFrame, y: str, score: str, key: str, limit: i
 def histogram(df: DataFrame, by: list[str], value: str, bins: int, low: float = 0.0, high: float = 1.0) -> DataFrame:
     """Rows of each bin; null and NaN are in none, values outside the range fall into the outer bins, and the upper end into the last."""
     b = F.floor((known(value) - low) / (high - low) * bins).cast("int")
-    return df.where(known(value).isNotNull()).groupBy(*by, F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1)).alias("bin")).agg(F.count("*").alias("n"))
+    return df.where(is_known(value)).groupBy(*by, F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1)).alias("bin")).agg(F.count("*").alias("n"))
 
 
 def otsu(df: DataFrame, value: str) -> DataFrame:
     """One row: the threshold t of 0..255 that best parts values <= t from those above, the lowest of equal ones."""
-    h = df.where(known(value).isNotNull()).groupBy(F.least(F.greatest(F.floor(known(value)), F.lit(0)), F.lit(255)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    h = df.where(is_known(value)).groupBy(F.least(F.greatest(F.floor(known(value)), F.lit(0)), F.lit(255)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     w = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     s = h.select("bin", F.sum("n").over(w).alias("w0"), F.sum(F.col("n") * F.col("bin")).over(w).alias("s0"), F.sum("n").over(whole).alias("n"), F.sum(F.col("n") * F.col("bin")).over(whole).alias("s"))

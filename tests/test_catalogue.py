@@ -49,7 +49,16 @@ def test_plans_stay_on_the_jvm_and_limit_groups_early(spark):
     for name in catalogue.QUERIES:
         if name.startswith("q_"):
             assert "Python" not in plan(name) and "Pandas" not in plan(name) and "CartesianProduct" not in plan(name), name
-    assert "PushedFilters: [IsNotNull(value)" in plan("q_regate")
+
+
+def test_scans_take_the_filters_of_gates(spark, tmp_path):
+    from tesselon.operators import gate, metrics
+
+    spark.createDataFrame([("s", 1, 0.5, 1)], "slide string, patch int, prob double, y int").write.parquet(str(tmp_path / "scored"))
+    scored = spark.read.parquet(str(tmp_path / "scored"))
+    for out, wanted in ((gate.regate(scored, "slide", "prob", "patch", gate.TumorGate()), "IsNotNull(prob)"), (gate.high_only(scored, "slide", "prob", "patch", gate.TumorGate()), "GreaterThanOrEqual(prob,0.738)"), (metrics.histogram(scored, [], "prob", 5), "IsNotNull(prob)")):
+        pushed = out._jdf.queryExecution().executedPlan().toString().partition("PushedFilters: [")[2].partition("]")[0]
+        assert wanted in pushed, pushed
 
 
 def test_entry(spark):
