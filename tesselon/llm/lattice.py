@@ -84,27 +84,63 @@ def nearest_e8(x):
     return np.rint(2 * np.where(closer[:, None], a, b)).astype(np.int64)
 
 
-def _unit(column):
-    """Vectors of one length as unit rows in double precision, and which rows of the column they are, by length."""
+def _lengths(column):
+    """The vectors of an Arrow column in double precision, nulls in them as NaN, by length: rows of the column and their matrix."""
     import numpy as np
 
     flat = np.asarray(column.values.to_numpy(zero_copy_only=False), np.float64)
     ends = np.array(column.offsets)
-    size = np.diff(ends)
+    size = np.where(np.array(column.is_valid()), np.diff(ends), 0)
     out = {}
-    for n in np.unique(size):
-        if n:
-            rows = np.flatnonzero((size == n) & np.array(column.is_valid()))
-            x = flat[ends[rows][:, None] + np.arange(n)[None, :]] if len(rows) else np.zeros((0, n))
-            with np.errstate(all="ignore"):
-                good = np.isfinite(x).all(1)
-                top = np.abs(np.where(good[:, None], x, 0)).max(1, initial=0)
-                good &= top > 0
-                x, rows = x[good] / top[good, None], rows[good]
-                out[int(n)] = rows, x / np.sqrt((x * x).sum(1))[:, None]
+    for n in np.unique(size[size > 0]):
+        rows = np.flatnonzero(size == n)
+        out[int(n)] = rows, flat[ends[rows][:, None] + np.arange(n)[None, :]]
     return out
 
 
+def _unit(column):
+    """Vectors of one length as unit rows in double precision, and which rows of the column they are, by length."""
+    import numpy as np
+
+    out = {}
+    for n, (rows, x) in _lengths(column).items():
+        with np.errstate(all="ignore"):
+            good = np.isfinite(x).all(1)
+            top = np.abs(np.where(good[:, None], x, 0)).max(1, initial=0)
+            good &= top > 0
+            x, rows = x[good] / top[good, None], rows[good]
+            out[n] = rows, x / np.sqrt((x * x).sum(1))[:, None]
+    return out
+
+
+def _signed(whole: bool):
+    """(id, sig) of each row, with p if whole: 128 bits of the numbers of a vector that can be compared, null for others.
+
+    Whole rows come out only if they have a sig. Both zeros count as one.
+    """
+
+    def run(batches):
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
+                ids, column = part.column(0), part.column(1)
+                known = np.array(ids.is_valid())
+                sig = [None] * len(part)
+                for rows, x in _lengths(column).values():
+                    good = np.isfinite(x).all(1) & (x != 0).any(1) & known[rows]
+                    for i, v in zip(rows[good].tolist(), x[good] + 0.0):
+                        sig[i] = hashlib.blake2b(v.tobytes(), digest_size=16).digest()
+                out = pa.RecordBatch.from_arrays([ids, pa.array(sig, pa.binary()), *([column] if whole else [])], ["id", "sig", "p"][: 2 + whole])
+                yield out.filter(out.column(1).is_valid()) if whole else out
+
+    return run
+
+
 def unpacked(payload: list[bytes]):
     """Unit vectors of rows of signed bytes."""
     import numpy as np
@@ -185,16 +221,19 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
     plan follows from the number of classes unless one is given; plans are measured for a cosine of 0.95 and find closer
     pairs more often. Other columns are not read, so their names cannot clash.
     """
-    given = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("p"))
-    sound = F.col("id").isNotNull() & F.col("p").isNotNull() & F.forall("p", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("p", lambda x: x != 0)
-    good = given.withColumn("sig", F.when(sound, F.sha2(F.array_join(F.col("p").cast("array<string>"), ","), 256)))
-    classes, _ = written(good.where("sig is not null").select("sig", "id").distinct().groupBy("sig").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
+    kind = vectors.schema[vector_col].dataType.simpleString()
+    vector = F.col(vector_col) if kind in ("array<float>", "array<double>") else F.col(vector_col).cast("array<double>")
+    given = vectors.select(F.col(id_col).cast("long").alias("id"), vector.alias("p"))
+    signed, _ = written(map_arrow(given, _signed(False), "id long, sig binary"), "signed")
+    classes, _ = written(signed.where("sig is not null").select("sig", "id").distinct().groupBy("sig").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
     plan = plan or plan_for(classes.count())
-    reps = good.join(classes, "sig").where("id = class_id").select("id", "p").dropDuplicates(["id", "p"])
+    reps = map_arrow(given, _signed(True), f"id long, sig binary, p {given.schema['p'].dataType.simpleString()}").join(classes, "sig").where("id = class_id").select("id", "p")
+    if classes.agg(F.sum("copies")).first()[0] != signed.where("sig is not null").count():  # rows that repeat an id and its vector
+        reps = reps.dropDuplicates(["id", "p"])
     edges = tied(map_arrow(reps, _posts(cosine, plan, seed), POST), math.acos(min(1.0, cosine)), unpacked)
     sizes = classes.groupBy(F.col("class_id").alias("id")).agg(F.max("copies").alias("copies")).withColumn("size", F.lit(1).cast("long"))
     label = cluster_links(edges, sizes, reps, _alike(cosine), block_docs)
-    out = good.select("id", "sig").join(classes.join(label, "class_id", "left"), "sig", "left")
+    out = signed.join(classes.join(label, "class_id", "left"), "sig", "left")
     real = F.col("id").isNotNull()
     component = F.when(real, F.coalesce("component", "class_id", "id"))
     return out.select(
