@@ -45,52 +45,48 @@ def window_density(candidates: DataFrame, mask: DataFrame, by: str, half: int, l
     return out.where(F.col("density") >= least).drop("n_in")
 
 
-def inside(x: Column, y: Column, ring: Column) -> Column:
-    """Whether a point lies strictly inside a ring (array of [x, y]): even-odd crossings, the border itself is outside.
+def edges(ring: Column) -> Column:
+    """The edges of a ring (array of [x, y]), closed or open: where each begins, its extent along both axes, and its box."""
+    following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
 
-    Rings may be closed or open.
-    """
-    edges = F.zip_with(ring, F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1)), lambda a, b: F.struct(a[0].alias("ax"), a[1].alias("ay"), b[0].alias("bx"), b[1].alias("by")))
-
-    def crosses(e):
-        return ((e["ay"] > y) != (e["by"] > y)) & (x < (e["bx"] - e["ax"]) * (y - e["ay"]) / (e["by"] - e["ay"]) + e["ax"])
-
-    def touches(e):
-        flat = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
-        return (flat == 0) & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
+    def edge(a, b):
+        return F.struct(
+            a[0].alias("ax"), a[1].alias("ay"), (b[0] - a[0]).alias("dx"), (b[1] - a[1]).alias("dy"),
+            F.least(a[0], b[0]).alias("x1"), F.greatest(a[0], b[0]).alias("x2"), F.least(a[1], b[1]).alias("y1"), F.greatest(a[1], b[1]).alias("y2"),
+        )
 
-    return (F.size(F.filter(edges, crosses)) % 2 == 1) & ~F.exists(edges, touches)
+    return F.zip_with(ring, following, edge)
 
 
 def in_polygon(x: Column, y: Column, rings: Column) -> Column:
-    """Inside the first ring and in none of the holes that follow; the holes' borders are outside too."""
-    def closed(ring):
-        return inside(x, y, ring) | on_ring(x, y, ring)
+    """Inside the first ring, by even-odd crossings, and in none of the holes that follow; all borders are outside.
+
+    rings: the edges of each ring.
+    """
 
-    return inside(x, y, rings[0]) & ~F.exists(F.slice(rings, 2, F.greatest(F.size(rings) - 1, F.lit(0))), closed)
+    def odd(ring):
+        return F.size(F.filter(ring, lambda e: (y >= e["y1"]) & (y < e["y2"]) & (x < e["dx"] * (y - e["ay"]) / e["dy"] + e["ax"]))) % 2 == 1
 
+    def touched(ring):
+        return F.exists(ring, lambda e: (y >= e["y1"]) & (y <= e["y2"]) & (x >= e["x1"]) & (x <= e["x2"]) & (e["dx"] * (y - e["ay"]) == e["dy"] * (x - e["ax"])))
 
-def on_ring(x: Column, y: Column, ring: Column) -> Column:
-    edges = F.zip_with(ring, F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1)), lambda a, b: F.struct(a[0].alias("ax"), a[1].alias("ay"), b[0].alias("bx"), b[1].alias("by")))
-    return F.exists(
-        edges,
-        lambda e: ((e["bx"] - e["ax"]) * (y - e["ay"]) == (e["by"] - e["ay"]) * (x - e["ax"])) & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"])),
-    )
+    holes = F.slice(rings, 2, F.greatest(F.size(rings) - 1, F.lit(0)))
+    return odd(rings[0]) & ~F.exists(holes, odd) & ~F.exists(rings, touched)
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, by: list[str], how: str = "left_semi", cell: int = 1024) -> DataFrame:
     """Points in any polygon of their slide (left_semi) or in none (left_anti).
 
     polygons has rings, array<array<array<double>>>. Its box is dealt to square cells, so that the join is an equality
-    join of slide and cell with the exact test as a residual.
+    join of slide and cell with the exact test as a residual; edges are made once for a polygon, not for each point.
     """
     xs, ys = F.transform(F.col("rings")[0], lambda p: p[0]), F.transform(F.col("rings")[0], lambda p: p[1])
-    boxed = polygons.select(*(F.col(c).alias(f"__{c}") for c in by), "rings", F.array_min(xs).alias("x1"), F.array_max(xs).alias("x2"), F.array_min(ys).alias("y1"), F.array_max(ys).alias("y2"))
+    boxed = polygons.select(*(F.col(c).alias(f"__{c}") for c in by), F.transform("rings", edges).alias("edges"), F.array_min(xs).alias("x1"), F.array_max(xs).alias("x2"), F.array_min(ys).alias("y1"), F.array_max(ys).alias("y2"))
     boxed = boxed.withColumn("__cx", F.explode(F.sequence(F.floor(F.col("x1") / cell), F.floor(F.col("x2") / cell)))).withColumn("__cy", F.explode(F.sequence(F.floor(F.col("y1") / cell), F.floor(F.col("y2") / cell))))
     p = points.withColumns({"__px": F.floor(F.col("x") / cell), "__py": F.floor(F.col("y") / cell)})
     on = [p[c] == boxed[f"__{c}"] for c in by] + [p["__px"] == boxed["__cx"], p["__py"] == boxed["__cy"]]
     x, y = p["x"].cast("double"), p["y"].cast("double")
-    on += [x.between(boxed["x1"], boxed["x2"]), y.between(boxed["y1"], boxed["y2"]), in_polygon(x, y, boxed["rings"])]
+    on += [x.between(boxed["x1"], boxed["x2"]), y.between(boxed["y1"], boxed["y2"]), in_polygon(x, y, boxed["edges"])]
     return p.join(boxed, on, how).drop("__px", "__py")
 
 
