@@ -77,6 +77,12 @@ class StandInEncoder:
         return np.concatenate([f for p in parts for f in (p.mean(1), p.std(1))], axis=1).astype(np.float32)
 
 
+def device(wanted: str = "auto", available: tuple[str, ...] = ()) -> str:
+    """The device for a model: the one wanted if it is there, by itself the first of cuda and mps, else the CPU."""
+    order = ("cuda", "mps") if wanted == "auto" else (wanted,)
+    return next((d for d in order if d in available), "cpu")
+
+
 def read_around(slide: SlideReader, x: float, y: float, mpp: float, target: float, out: int) -> np.ndarray:
     """A tile of out x out pixels at `target` microns a pixel around a point, read inside the canvas; 1 pixel at least is read."""
     from ..operators import raster as R
