@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.shipping import map_pandas
-from ..operators import gate, masks, raster, summary
+from ..operators import gate, masks, raster, summary, training
 from ..sources import plugins
 from . import run, stages
 from .base import PIXELS, query, table
@@ -163,6 +163,20 @@ def k_read_points(spark, sf):
     return _summed(map_pandas(rows, read, "kind string, slide_uid string, i long, rgb binary, h int, w int"), "kind", "slide_uid", "i")
 
 
+@query(f"""WITH {SLIDES}, c AS (SELECT slide_uid, k, bad, (i % 2)::INT AS label, (k * 5 + i * 17) % 60 AS x, (k * 11 + i * 23) % 60 AS y, (k % 3)::INT AS bx FROM (SELECT *, unnest(range(6))::BIGINT AS i FROM slides)),
+m AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || label || ':' || slide_uid || ':' || x || ':' || y), slide_uid || ':' || x || ':' || y) - 1 AS slot FROM c QUALIFY slot < 60),
+a AS (SELECT slide_uid, x AS x_qp, y AS y_qp, least(greatest(x + bx - 8, 0), {WIDE - 16}) AS x0, least(greatest(y + 1 - 8, 0), {WIDE - 16}) AS y0 FROM m WHERE NOT bad GROUP BY ALL),
+t AS (SELECT a.slide_uid, x_qp, y_qp, (x - x0) // 2 + 8 * ((y - y0) // 2) + 1 AS w, round_even(avg(r), 0) AS r, round_even(avg(g), 0) AS g, round_even(avg(b), 0) AS b FROM a JOIN px p ON p.slide_uid = a.slide_uid AND x BETWEEN x0 AND x0 + 15 AND y BETWEEN y0 AND y0 + 15 GROUP BY 1, 2, 3, 4),
+u AS (SELECT slide_uid, x_qp, y_qp, {_SUMS} FROM t GROUP BY ALL)
+SELECT m.label, slot::INT AS slot, (slot // 5)::INT AS grid_row, (slot % 5)::INT AS grid_col, m.slide_uid AS slide_id, {_BAD} AS error, CASE WHEN NOT bad THEN false END AS dark, u.r, u.g, u.b FROM m LEFT JOIN u ON u.slide_uid = m.slide_uid AND u.x_qp = m.x AND u.y_qp = m.y""")
+def k_preview(spark, sf):
+    """Sampled tiles of each label with their places in a montage."""
+    k, i = F.col("k"), F.col("i")
+    rows = opened(spark, sf).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(5).cast("long"))))
+    rows = rows.select(F.col("slide_uid").alias("slide_id"), "path", (i % 2).cast("int").alias("label"), ((k * 5 + i * 17) % 60).alias("x_qp"), ((k * 11 + i * 23) % 60).alias("y_qp"), (k % 3).alias("bounds_x"), F.lit(1).alias("bounds_y"))
+    return _summed(stages.preview(rows, PlainSlide, 60, 0.5, 8), "label", "slot", "grid_row", "grid_col", "slide_id", "error", "dark")
+
+
 @query(f"""WITH {SLIDES}, c AS (SELECT slide_uid, x, y, x * 4 - 8 AS x0, y * 4 - 8 AS y0, y * 16 + x AS patch_id, greatest(least(x + 1, 11) - greatest(x - 1, 0) + 1, 0) / (least(x + 1, 15) - greatest(x - 1, 0) + 1)::DOUBLE AS density
   FROM slides, (SELECT unnest(range(0, 16, 2)) AS x), (SELECT unnest(range(0, 16, 2)) AS y) WHERE NOT bad),
 t AS (SELECT c.slide_uid, patch_id, x0, y0, least(greatest(avg((r + b) / 2.0::DOUBLE - g) / 80, 0), 1) AS p, avg((least(r, g, b) < 230)::INT) AS stained
@@ -282,3 +296,29 @@ def k_stain_sources(spark, sf):
         return {"source": [g["source"] for g in got], "reason": [g["reason"] for g in got], "pixels": [g["pixels"] for g in got], "valid_frac": [round(g["valid_frac"], 9) for g in got]}
 
     return _kernel(spark, reasons, "source string, reason string, pixels long, valid_frac double")
+
+
+_FIT = training.Training(epochs=3, rate=0.05, decay=0.01, batches=2)
+
+
+def _fit_sql() -> str:
+    """Six steps of two batches in turn. From zeros both classes' weights stay opposite, so those of class 1 tell all."""
+    (a, b), out = _FIT.betas, []
+    out.append("""e AS (SELECT vec_id, (label % 2)::INT AS y, list_append(embedding::DOUBLE[], 1.0::DOUBLE) AS x FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL),
+c AS (SELECT y, (SELECT count(*) FROM e) / (2.0::DOUBLE * count(*)) AS cw FROM e GROUP BY y), d AS (SELECT vec_id, y, cw, x FROM e JOIN c USING (y)),
+s0 AS (SELECT list_transform(any_value(x), lambda v: 0.0::DOUBLE) AS w, list_transform(any_value(x), lambda v: 0.0::DOUBLE) AS m, list_transform(any_value(x), lambda v: 0.0::DOUBLE) AS v FROM e)""")
+    for n in range(1, _FIT.epochs * _FIT.batches + 1):
+        rate = training.rate_at(_FIT, (n - 1) // _FIT.batches)
+        out.append(f"""p{n} AS (SELECT x, cw, cw * (1 / (1 + exp(-2 * list_dot_product(x, w))) - y) AS off FROM d, s{n - 1} WHERE vec_id % {_FIT.batches} = {(n - 1) % _FIT.batches}),
+g{n} AS (SELECT pos, sum(off * xi) / sum(cw) AS g FROM (SELECT unnest(x) AS xi, generate_subscripts(x, 1) AS pos, off, cw FROM p{n}) GROUP BY pos),
+u{n} AS (SELECT pos, w[pos] AS w, {a!r}::DOUBLE * m[pos] + {1 - a!r}::DOUBLE * g AS m, {b!r}::DOUBLE * v[pos] + {1 - b!r}::DOUBLE * g * g AS v FROM g{n}, s{n - 1}),
+s{n} AS (SELECT list(w * {1 - rate * _FIT.decay!r}::DOUBLE - {rate!r}::DOUBLE * (m / {1 - a**n!r}::DOUBLE) / (sqrt(v / {1 - b**n!r}::DOUBLE) + {_FIT.eps!r}::DOUBLE) ORDER BY pos) AS w, list(m ORDER BY pos) AS m, list(v ORDER BY pos) AS v FROM u{n})""")
+    return "WITH " + ",\n".join(out) + f"\nSELECT (generate_subscripts(w, 1) - 1)::INT AS pos, round(unnest(w), 6) AS weight FROM s{n}"
+
+
+@query(_fit_sql())
+def k_trained_head(spark, sf):
+    """The weights of class 1 after three epochs of two steps on stored features."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding", (F.col("label") % 2).alias("y"))
+    head, _ = training.fit_head(rows, "embedding", "y", t=_FIT, batch="vec_id")
+    return spark.createDataFrame([(i, round(float(w), 6)) for i, w in enumerate(head[1])], "pos int, weight double")

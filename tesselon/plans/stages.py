@@ -213,6 +213,43 @@ def mine_stage(slides: DataFrame, open_slide: Callable, make: Callable, k: int,
     return gate.top_scored(scored, "slide_uid", "tumor_prob", "patch_id", k)
 
 
+def preview(points: DataFrame, open_slide: Callable, n: int, target: float = 0.5, out: int = 224, seed: int = 42, columns: int = 5) -> DataFrame:
+    """n tiles of each label for a look at them: points (slide_id, path, label, x_qp, y_qp, bounds_x, bounds_y).
+
+    Points are moved by the bounds of their slide and read at `target` microns a pixel. Each tile has its place in its
+    label's montage, its mean and share of dark pixels, whether it is too dark, and its pixels, or the read's error.
+    """
+    import numpy as np
+    from pyspark.sql import types as T
+
+    place = F.concat_ws(":", "slide_id", F.col("x_qp").cast("string"), F.col("y_qp").cast("string"))
+    chosen = summary.montage(points.withColumn("point", place), ["label"], "point", n, seed, columns)
+    chosen = chosen.withColumns({f"{c}0": (F.col(f"{c}_qp") + F.coalesce(F.col(f"bounds_{c}"), F.lit(0))).cast("int") for c in "xy"})
+    kept = ["label", "slot", "grid_row", "grid_col", "slide_id", "x_qp", "y_qp", "x0", "y0"]
+    made = [("mean", T.DoubleType()), ("black_frac", T.DoubleType()), ("dark", T.BooleanType()), ("h", T.IntegerType()), ("w", T.IntegerType()), ("rgb", T.BinaryType()), ("error", T.StringType())]
+
+    def run(frames):
+        import pandas as pd
+
+        for frame in frames:
+            rows = []
+            for row in frame.to_dict("records"):
+                got = dict.fromkeys(k for k, _ in made) | {"h": out, "w": out}
+                try:
+                    slide = open_slide(row["path"])
+                    p = slide.properties()
+                    mpp = (float(p["openslide.mpp-x"]) + float(p["openslide.mpp-y"])) / 2
+                    rgb = plugins.read_around(slide, row["x0"], row["y0"], mpp, target, out)
+                    mean, black = float(rgb.mean()), float((rgb.mean(-1) <= 5).mean())
+                    got |= {"mean": mean, "black_frac": black, "dark": mean < 5 or black >= 0.8, "rgb": rgb.astype(np.uint8).tobytes()}
+                except Exception as e:  # shown as a gap
+                    got["error"] = f"{type(e).__name__}: {' '.join(str(e).split())[:400]}"
+                rows.append({k: row[k] for k in kept} | got)
+            yield pd.DataFrame(rows, columns=[*kept, *(k for k, _ in made)])
+
+    return map_pandas(chosen.select(*kept, "path"), run, T.StructType([*(chosen.schema[c] for c in kept), *(T.StructField(k, v) for k, v in made)]))
+
+
 def training_points(slides: DataFrame, annotations: DataFrame, labels: dict[str, int], spacing: float = 56.0, per_class: int = 5000, least: int = 50, ignore: tuple[str, ...] = ()) -> DataFrame:
     """Labelled grid points of annotated polygons: slides (slide_id, mpp, w, h), annotations (slide_id, class_name, rings).
 
