@@ -13,8 +13,8 @@ from ..functions.shipping import map_pandas
 from ..operators import gate, masks, raster, summary, training
 from ..sources import plugins
 from . import run, stages
-from .base import PIXELS, query, table
-from .q_more import _kernel, scratch
+from .base import PIXELS, SIDE, query, table
+from .q_more import _grown, _kernel, scratch
 from .q_pixels import _GRAY, _HSV, _OD
 
 WIDE = 64
@@ -298,6 +298,25 @@ def k_stain_sources(spark, sf):
     return _kernel(spark, reasons, "source string, reason string, pixels long, valid_frac double")
 
 
+_PENS = masks.configured(border_px=0, dark_pen=False, ink_dilate=1)
+_GREEN = raster.ellipse_offsets(raster.odd(_PENS.green_dilate))
+
+
+@query(f"""WITH {PIXELS}, {_HSV.format(src='pixels')}, k AS (SELECT unnest([{', '.join(str(a) for a, _ in _GREEN)}]) AS dy, unnest([{', '.join(str(b) for _, b in _GREEN)}]) AS dx),
+seen AS (SELECT * FROM hsv WHERE NOT ({_GRAY} <= 8 OR (r <= 12 AND g <= 12 AND b <= 12))),
+ink AS (SELECT img, y, x FROM seen WHERE (v < 70 AND sat > 18) OR (hue BETWEEN 25 AND 110 AND sat > 22 AND v < 250) OR (hue BETWEEN 85 AND 140 AND sat > 22 AND v < 250) OR ((hue >= 145 OR hue <= 10) AND sat > 150 AND v < 245)),
+core AS (SELECT img, y, x FROM seen WHERE hue BETWEEN 25 AND 110 AND sat > 22 AND v > {_PENS.green_value}), near AS {_grown('core')},
+every AS (SELECT * FROM ink UNION SELECT * FROM near WHERE y BETWEEN 0 AND {SIDE - 1} AND x BETWEEN 0 AND {SIDE - 1})
+SELECT i.img, count(e.y) AS n, coalesce(sum(e.y), 0)::BIGINT AS sy, coalesce(sum(e.x), 0)::BIGINT AS sx FROM (SELECT DISTINCT img FROM pixels) i LEFT JOIN every e ON e.img = i.img GROUP BY i.img""")
+def k_ink(spark, sf):
+    """Pen marks of the tissue mask, green ones with what is near them."""
+    def pens(rgb):
+        y, x = np.nonzero(masks._pens(masks._Layers(rgb, _PENS), _PENS))
+        return {"n": [len(y)], "sy": [int(y.sum())], "sx": [int(x.sum())]}
+
+    return _kernel(spark, pens, "n long, sy long, sx long")
+
+
 _FIT = training.Training(epochs=3, rate=0.05, decay=0.01, batches=2)
 
 
