@@ -25,7 +25,8 @@ def window_density(candidates: DataFrame, mask: DataFrame, by: str, half: int, l
     """Candidates with the share of mask pixels in the square around them, clipped at the image, where it is enough.
 
     Each mask pixel is dealt to the coarse cells that its square can reach, so the range join is an equality join of
-    cells with a residual, and only pixels that are set travel. candidates has width and height.
+    cells with a residual, and only pixels that are set travel. candidates has width and height. Where the masks are
+    made from images in the same job, raster.window_share has the shares without a join.
     """
     side = 2 * half + 1
     m = mask.select(F.col(by).alias("__b"), F.col("x").alias("__x"), F.col("y").alias("__y"))
@@ -36,6 +37,7 @@ def window_density(candidates: DataFrame, mask: DataFrame, by: str, half: int, l
     m = m.withColumn("__cx", near("__x")).withColumn("__cy", near("__y"))
     c = candidates.withColumns({"__cx": F.floor(F.col("x") / side).cast("int"), "__cy": F.floor(F.col("y") / side).cast("int")})
     on = [c[by] == m["__b"], c["__cx"] == m["__cx"], c["__cy"] == m["__cy"], F.abs(c["x"] - m["__x"]) <= half, F.abs(c["y"] - m["__y"]) <= half]
+    m = m.hint("merge")  # its size is not known beforehand, and masks must not meet on the driver to be broadcast
     hit = c.join(m, on, "left").groupBy(*(c[k] for k in candidates.columns)).agg(F.count("__x").alias("n_in"))
 
     def span(v, size):

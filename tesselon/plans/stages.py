@@ -182,23 +182,29 @@ def mine_stage(slides: DataFrame, open_slide: Callable, make: Callable, k: int,
     from ..functions.shipping import map_pandas
     from ..operators import raster as R
 
-    thumbs = plugins.thumbnails(slides, open_slide, downsample).where("error is null")
+    # Each slide costs much more than its row, so a few rows must not end in one task; no pixel leaves the task that reads it.
+    spread = slides.where(F.col("slide_uid").isNotNull()).repartition(int(slides.sparkSession.conf.get("spark.sql.shuffle.partitions")), "slide_uid")
+    thumbs = plugins.thumbnails(spread, open_slide, downsample, ("path",)).where("error is null")
 
-    def clean(frames):
+    def windows(frames):
         import pandas as pd
 
+        names, rows = ["slide_uid", "path", "y", "x", "height", "width", "downsample"], []
         for frame in frames:
-            for uid, h, w, data in frame[["img", "h", "w", "rgb"]].itertuples(index=False):
-                y, x = np.nonzero(R.clean_mask(np.frombuffer(data, np.uint8).reshape(int(h), int(w), 3)))
-                yield pd.DataFrame({"slide_uid": uid, "y": y.astype("int32"), "x": x.astype("int32")})
-
-    mask = map_pandas(thumbs.select("img", "h", "w", "rgb"), clean, "slide_uid string, y int, x int")
-    sizes = thumbs.select(F.col("img").alias("slide_uid"), F.col("h").alias("height"), F.col("w").alias("width"), "downsample")
-    points = geo.window_density(geo.grid(sizes, "width", "height", stride), mask, "slide_uid", half, least)
+            for uid, path, h, w, ds, data in frame[["img", "path", "h", "w", "downsample", "rgb"]].itertuples(index=False):
+                mask = R.clean_mask(np.frombuffer(data, np.uint8).reshape(int(h), int(w), 3))
+                y, x = np.arange(0, int(h), stride), np.arange(0, int(w), stride)
+                i, j = np.nonzero(R.window_share(mask, y, x, half) >= least)
+                rows += [(uid, path, a, b, int(h), int(w), ds) for a, b in zip(y[i].tolist(), x[j].tolist())]
+                if len(rows) >= 10_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+        yield pd.DataFrame(rows, columns=names)
+
+    points = map_pandas(thumbs.select("img", "path", "h", "w", "downsample", "rgb"), windows, "slide_uid string, path string, y int, x int, height int, width int, downsample double")
     x0, y0 = (F.bround(F.col(c) * F.col("downsample")).cast("int") - s.read // 2 for c in ("x", "y"))
     points = points.withColumns({"x0": x0, "y0": y0, "patch_id": F.col("y").cast("long") * F.col("width") + F.col("x")})
-    inside = C.window_inside("x0", "y0", s.read, F.col("width") * F.col("downsample"), F.col("height") * F.col("downsample"))
-    points = points.where(inside).join(slides.select("slide_uid", "path"), "slide_uid")
+    points = points.where(C.window_inside("x0", "y0", s.read, F.col("width") * F.col("downsample"), F.col("height") * F.col("downsample")))
 
     def usable(frames):
         for frame in frames:

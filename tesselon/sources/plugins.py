@@ -205,20 +205,22 @@ def slide_levels(slides: DataFrame, open_slide: Callable[[str], SlideReader]) ->
     return map_pandas(slides.select("slide_uid", "path"), run, "slide_uid string, level int, width int, height int, downsample double, mpp double, error string")
 
 
-def thumbnails(slides: DataFrame, open_slide: Callable[[str], SlideReader], target: float = 32.0) -> DataFrame:
-    """(img, h, w, rgb, level, downsample, error): each slide's level that is nearest to a downsample, whole."""
+def thumbnails(slides: DataFrame, open_slide: Callable[[str], SlideReader], target: float = 32.0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(img, h, w, rgb, level, downsample, error, keep...): each slide's level that is nearest to a downsample, whole."""
+    kinds = dict(slides.dtypes)
+
     def run(frames):
         import pandas as pd
 
         for frame in frames:
             rows = []
-            for uid, path in frame[["slide_uid", "path"]].itertuples(index=False):
+            for uid, path, *kept in frame[["slide_uid", "path", *keep]].itertuples(index=False):
                 try:
                     s = open_slide(path)
                     k, (w, h, d) = min(enumerate(s.levels()), key=lambda v: abs(v[1][2] - target))
-                    rows.append((uid, h, w, s.read(0, 0, k, w, h).tobytes(), k, d, None))
+                    rows.append((uid, h, w, s.read(0, 0, k, w, h).tobytes(), k, d, None, *kept))
                 except Exception as e:  # recorded as the slide's status
-                    rows.append((uid, None, None, None, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["img", "h", "w", "rgb", "level", "downsample", "error"])
+                    rows.append((uid, None, None, None, None, None, f"{type(e).__name__}: {e}", *kept))
+            yield pd.DataFrame(rows, columns=["img", "h", "w", "rgb", "level", "downsample", "error", *keep])
 
-    return map_pandas(slides.select("slide_uid", "path"), run, "img string, h int, w int, rgb binary, level int, downsample double, error string")
+    return map_pandas(slides.select("slide_uid", "path", *(c for c in keep if c != "path")), run, "img string, h int, w int, rgb binary, level int, downsample double, error string" + "".join(f", `{c}` {kinds[c]}" for c in keep))

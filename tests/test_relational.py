@@ -228,6 +228,30 @@ def test_mining_and_training_points(spark):
     assert stages.training_points(slides_, a, {"Tumor": 1}, least=5000).count() == 0
 
 
+def test_mining_joins_and_broadcasts_nothing(spark):
+    import numpy as np
+
+    from tesselon.operators import geo, raster
+    from tesselon.plans import stages
+    from tesselon.sources import plugins
+
+    s = spark.createDataFrame([("s0", "/synthetic/0.svs"), ("s1", "/synthetic/1.svs"), (None, "/synthetic/2.svs")], "slide_uid string, path string").coalesce(1)
+    top = stages.mine_stage(s, plugins.SyntheticSlide, plugins.StandInClassifier, 3, 4.0, 32, s=stages.Settings(read=64, tile=32))
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan and "repartition" in plan.lower()
+    assert {r["slide_uid"] for r in top.collect()} == {"s0", "s1"}
+    mask = np.random.default_rng(3).random((23, 31)) < 0.4
+    ys, xs = np.arange(0, 23, 5), np.arange(0, 31, 4)
+    share = raster.window_share(mask, ys, xs, 3)
+    want = [[mask[max(0, y - 3) : y + 4, max(0, x - 3) : x + 4].mean() for x in xs] for y in ys]
+    assert np.array_equal(share, np.array(want))
+    rows = spark.createDataFrame([("a", int(y), int(x)) for y, x in zip(*np.nonzero(mask))], "slide string, y int, x int")
+    points = spark.createDataFrame([("a", int(y), int(x), 31, 23) for y in ys for x in xs], "slide string, y int, x int, width int, height int")
+    joined = geo.window_density(points, rows, "slide", 3, 0.0)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert {(r["y"], r["x"]): r["density"] for r in joined.collect()} == {(y, x): share[i, j] for i, y in enumerate(ys.tolist()) for j, x in enumerate(xs.tolist())}
+
+
 def test_failed_reads_are_rows(spark):
     from tesselon.sources import plugins
 
