@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.shipping import map_arrow
 
 ROW_GROUP = 16 << 20  # bytes that a task holds back before it writes them
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_dir: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
 
@@ -32,12 +33,23 @@ def _local_dir(app: str, master: str) -> str:
     return _own_dir[app]
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write df as Parquet in the shared folder, which cuts its lineage, and read it back."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    _made.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+def written(df: DataFrame, name: str, free: bool = False) -> tuple[DataFrame, str]:
+    """Write df as Parquet in the shared folder, which cuts its lineage, and read it back.
+
+    With free its shuffle files go as soon as it is written, not when the driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    before = spark.conf.get(_FREE, None)
+    if free:
+        spark.conf.set(_FREE, "true")
+    try:
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    finally:
+        if free:
+            spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def dropped(spark: SparkSession, path: str) -> None:

@@ -7,7 +7,8 @@ COVER, so any window found in two documents holds an anchor at the same place of
 dropped, the others extend to all windows around them, and those are compared by 128-bit hashes of their words.
 
 Hashes meet in compressed blobs, hot ones once a task (see meeting.py). Copies of whole documents have one signature and
-take part once.
+take part once. What has met is written before the texts move, and the shuffle files of each step go with the step, so that
+the disk holds one step's at a time.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .meeting import SENT, Sender, buckets_for, met
-from .shared import map_arrow, written
+from .shared import dropped, map_arrow, written
 
 # A perfect difference cover.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -91,9 +92,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 sha = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in rows]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(rows)), pa.array(np.diff(at)), pa.array(s1), pa.array(s2), pa.array(sha)], ["id", "n", "s1", "s2", "sha"])
 
-    table, _ = written(map_arrow(given, survey, "id long, n long, s1 long, s2 long, sha string"), "words")
+    table, _ = written(map_arrow(given, survey, "id long, n long, s1 long, s2 long, sha string"), "words", free=True)
     long_rows = table.where(F.col("id").isNotNull() & (F.col("n") >= window))
-    classes, _ = written(long_rows.groupBy("s1", "s2", "n").agg(F.min("id").alias("class_id")), "classes")
+    classes, _ = written(long_rows.groupBy("s1", "s2", "n").agg(F.min("id").alias("class_id")), "classes", free=True)
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = buckets_for(int(total) * len(COVER) // PERIOD)
 
@@ -111,8 +112,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield from out.add(h[real], s1[doc][real])
         yield from out.flush()
 
-    shared = _gathered(map_arrow(given, send_anchors, SENT), False, buckets).withColumnRenamed("ref", "s1")
-    near = classes.join(shared, "s1").select(F.col("class_id").alias("id"), "s1", "s2", "hashes")
+    shared, at = written(_gathered(map_arrow(given, send_anchors, SENT), False, buckets).withColumnRenamed("ref", "s1"), "anchors", free=True)
+    near = classes.join(shared.hint("merge"), "s1").select(F.col("class_id").alias("id"), "s1", "s2", "hashes")
 
     def extend(batches):
         import numpy as np
@@ -149,7 +150,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     )
 
     wide = near.join(given, "id").select("id", "s1", "s2", "hashes", "text")
-    held, _ = written(map_arrow(wide, extend, "id long, s1 long, s2 long, size long, blob binary, windows array<long>"), "windows")
+    held, _ = written(map_arrow(wide, extend, "id long, s1 long, s2 long, size long, blob binary, windows array<long>"), "windows", free=True)
+    dropped(given.sparkSession, at)
 
     def send_windows(batches):
         import numpy as np
@@ -165,7 +167,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield from out.add(run_hashes(words, window)[at], np.full(len(at), i, np.int64), run_hashes(words, window, 1)[at])
         yield from out.flush()
 
-    repeated = _gathered(map_arrow(held.select("id", "size", "blob", "windows"), send_windows, SENT), True, buckets).withColumnRenamed("ref", "id")
+    repeated, _ = written(_gathered(map_arrow(held.select("id", "size", "blob", "windows"), send_windows, SENT), True, buckets).withColumnRenamed("ref", "id"), "repeated", free=True)
 
     def cut(batches):
         import hashlib
@@ -193,7 +195,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     kept.append(left.decode("utf-8", "replace"))
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(gone, pa.int64()), pa.array(sha), pa.array(kept if text_out else [None] * len(kept), pa.string())], ["id", "s1", "s2", "gone", "new_sha", "new_text"])
 
-    changed = map_arrow(held.drop("windows").join(repeated, "id").select("id", "s1", "s2", "size", "blob", "hashes"), cut, "id long, s1 long, s2 long, gone long, new_sha string, new_text string").dropDuplicates(["id", "s1", "s2"])
+    changed = map_arrow(held.drop("windows").join(repeated.hint("merge"), "id").select("id", "s1", "s2", "size", "blob", "hashes"), cut, "id long, s1 long, s2 long, gone long, new_sha string, new_text string").dropDuplicates(["id", "s1", "s2"])
     out = table.join(classes, ["s1", "s2", "n"], "left").join(changed, ["id", "s1", "s2"], "left")
     copy = F.col("class_id") < F.col("id")
     none = F.lit("e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855")  # the digest of nothing

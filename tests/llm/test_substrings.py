@@ -84,6 +84,32 @@ def test_odd_rows(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_steps_leave_no_shuffle_files(spark):
+    """Once the texts' windows are written, what the steps before have shuffled is gone; the session's setting stays."""
+    import os
+    import time
+
+    from tesselon.llm import shared, substrings
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return sum(f.length() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllFiles()) if os.path.basename(f.getPath()).startswith("shuffle_"))
+
+    rows = corpus(4)
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA).repartition(5)
+    before, was = spark.conf.get(key, None), shuffled()
+    out = substrings.remove_repeats(df, text_out=False)
+    until = time.time() + 20
+    while shuffled() > was + 5_000 and time.time() < until:  # files go in the background; the few bytes of a sum may stay
+        time.sleep(0.2)
+    assert shuffled() <= was + 5_000 and spark.conf.get(key, None) == before
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out.collect()) == [x[:4] for x in brute(rows)]
+    kept = spark.range(50).groupBy("id").count()
+    assert shared.written(kept, "again", free=True)[0].count() == kept.count() == 50
+
+
 @pytest.mark.parametrize("checked", [False, True])
 def test_blobs_round_trip(checked):
     import numpy as np
